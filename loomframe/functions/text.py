@@ -7,11 +7,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Every character that Unicode counts as white space. Fixed values.
-WHITESPACE = (
-    r"[\x09-\x0d\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
-)
+# A run of characters that are no Unicode white space and no separator control. Fixed value.
+WORD = r"(?U)[^\s\x1c-\x1f]+"
 
 
 def _col(c: Column | str) -> Column:
@@ -25,7 +22,7 @@ def split_literal(c: Column | str, sep: str) -> Column:
 
 def tokens(c: Column | str) -> Column:
     """Words of a text: runs of white space separate, and none is left at the ends."""
-    return F.array_remove(F.split(_col(c), WHITESPACE), "")
+    return F.regexp_extract_all(_col(c), F.lit(WORD), F.lit(0))
 
 
 def field(c: Column | str, position: int, sep: str = " ") -> Column:

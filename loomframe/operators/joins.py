@@ -12,9 +12,13 @@ from loomframe.operators.layout import hot_keys
 
 
 def without(left: DataFrame, right: DataFrame, on: str | list[str]) -> DataFrame:
-    """Rows of ``left`` whose key ``right`` does not hold."""
+    """Rows of ``left`` whose key ``right`` does not hold.
+
+    The keys of ``right`` are made distinct first, in the shuffle that the join needs
+    anyway, so a key that fills ``right`` arrives once per task.
+    """
     on = [on] if isinstance(on, str) else on
-    return left.join(right.select(*on), on, "left_anti")
+    return left.join(right.select(*on).distinct(), on, "left_anti")
 
 
 def attach(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
@@ -84,33 +88,42 @@ def pairs(df: DataFrame, by: str, item: str, value: str | None = None, block: in
     One row per pair with the smaller item first: ``by``, ``item1``, ``item2``, and
     ``value1``, ``value2`` if a value column is named.
 
-    A key with more than ``block`` rows is cut into blocks of about that size and
-    every two blocks meet in a join cell of their own, so no task gets more than
-    about ``block ** 2`` pairs of one key, however many rows the key holds. Its rows
-    are repeated once per block; rows of all other keys are not.
+    Keys with up to ``block`` rows are joined to themselves on the key. A larger
+    key is cut into blocks of about ``block`` rows and every two blocks meet in a
+    join cell of their own, so no task gets more than about ``block ** 2`` pairs of
+    one key, however many rows the key holds. Where there is no large key, adaptive
+    execution drops that branch.
     """
     cols = {by: F.col(by), "item": F.col(item)} | ({"value": F.col(value)} if value else {})
     rows = df.select(*[c.alias(n) for n, c in cols.items()]).dropna(subset=[by, "item"])
-    large = rows.groupBy(by).agg(F.count("*").alias("_n")).where(F.col("_n") > block)
-    blocks = F.coalesce(F.ceil(F.col("_n") / block), F.lit(1)).cast("int")
-    mine = F.pmod(F.xxhash64("item"), F.col("_blocks")).cast("int")
+    n_rows = F.count("*")
+    if value:
+        # The same count, but it needs every column: so the branches share their input's shuffle.
+        n_rows = F.count("value") + F.count_if(F.col("value").isNull())
+    large = rows.groupBy(by).agg(n_rows.alias("_n")).where(F.col("_n") > block)
+    ordinary = _self_join(rows.join(large, by, "left_anti"), [by])
+
+    blocks = F.ceil(F.col("_n") / block).cast("int")
+    mine = F.pmod(F.xxhash64("item"), blocks).cast("int")
     cells = (
-        rows.join(large, by, "left")
-        .withColumn("_blocks", blocks)
-        .withColumn("_block", mine)
-        .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+        rows.join(large, by)
+        .select(*rows.columns, mine.alias("_block"), (blocks - 1).alias("_last"))
+        .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_last"))))
         .withColumn("_lo", F.least("_block", "_other"))
         .withColumn("_hi", F.greatest("_block", "_other"))
-        .drop("_n", "_blocks", "_other")
-    )
-    a, b = cells.alias("a"), cells.alias("b")
-    same_cell = (
-        (F.col(f"a.{by}") == F.col(f"b.{by}"))
-        & (F.col("a._lo") == F.col("b._lo"))
-        & (F.col("a._hi") == F.col("b._hi"))
+        .drop("_last", "_other")
     )
-    once = (F.col("a._lo") == F.col("a._hi")) | (F.col("a._block") != F.col("b._block"))
-    names = [F.col(f"a.{by}"), F.col("a.item").alias("item1"), F.col("b.item").alias("item2")]
-    if value:
+    # A cell of two blocks also holds pairs within either one; those have a cell of their own.
+    own = (F.col("a._lo") == F.col("a._hi")) | (F.col("a._block") != F.col("b._block"))
+    return ordinary.unionAll(_self_join(cells, [by, "_lo", "_hi"], own))
+
+
+def _self_join(rows: DataFrame, keys: list[str], also: Column | None = None) -> DataFrame:
+    """Pairs of rows with equal keys whose first item is the smaller one."""
+    a, b = rows.alias("a"), rows.alias("b")
+    match = reduce(lambda x, y: x & y, [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys])
+    match = match & (F.col("a.item") < F.col("b.item"))
+    names = [F.col(f"a.{keys[0]}"), F.col("a.item").alias("item1"), F.col("b.item").alias("item2")]
+    if "value" in rows.columns:
         names += [F.col("a.value").alias("value1"), F.col("b.value").alias("value2")]
-    return a.join(b, same_cell & (F.col("a.item") < F.col("b.item")) & once).select(*names)
+    return a.join(b, match if also is None else match & also).select(*names)

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -25,17 +25,37 @@ def key_skew(df: DataFrame, keys: list[str], k: int = 10) -> DataFrame:
 
 
 def hot_keys(
-    df: DataFrame, keys: list[str], share: float = 0.01, min_rows: int = 1_000_000, extra: tuple = ()
+    df: DataFrame,
+    keys: list[str],
+    share: float = 0.01,
+    min_rows: int = 1_000_000,
+    extra: tuple[Column, ...] = (),
 ) -> DataFrame:
     """Keys with more than ``share`` of all rows and more than ``min_rows`` rows.
 
     At most ``1 / share`` keys can qualify, whatever the data, so the result may
     always be broadcast. ``extra`` are further aggregates to return per key.
+
+    A frequent-items sketch of fixed size finds candidates without shuffling the
+    keys. Its error is far below ``share``, so it misses no hot key, and the
+    candidates are then counted exactly: the result does not depend on the sketch.
     """
-    total = df.agg(F.count("*")).scalar()
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_rows"), *extra)
-    limit = F.greatest(F.lit(float(min_rows)), total * F.lit(share))
-    return counts.where(F.col("_rows") > limit).drop("_rows")
+    hashed = f"xxhash64({', '.join(f'`{k}`' for k in keys)})"
+    sketch = F.expr(f"approx_top_k({hashed}, {int(2 / share)}, {int(100 / share)})")
+    seen = df.agg(sketch.alias("_top"), F.count("*").alias("_all"))
+    limit = F.greatest(F.lit(float(min_rows)), F.col("_all") * share)
+    candidates = (
+        seen.select(limit.alias("_limit"), F.explode("_top").alias("_top"))
+        .where(F.col("_top.count") * 2 > F.col("_limit"))
+        .select("_limit", F.col("_top.item").alias("_hash"))
+    )
+    counts = (
+        df.withColumn("_hash", F.expr(hashed))
+        .join(F.broadcast(candidates), "_hash")
+        .groupBy(*keys)
+        .agg(F.count("*").alias("_rows"), F.max("_limit").alias("_limit"), *extra)
+    )
+    return counts.where(F.col("_rows") > F.col("_limit")).drop("_rows", "_limit")
 
 
 @contextmanager

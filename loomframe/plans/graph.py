@@ -11,12 +11,9 @@ from loomframe.operators.ordering import argmax, argmin_all
 
 def degrees(lines: DataFrame, col: str = "value") -> DataFrame:
     """Number of neighbours per node, summed over all lines that start with it."""
-    per_line = lines.select(tokens(col).alias("ids")).where(F.size("ids") > 0)
-    return (
-        per_line.select(F.get("ids", F.lit(0)).alias("id"), (F.size("ids") - 1).alias("d"))
-        .groupBy("id")
-        .agg(F.sum("d").alias("connections"))
-    )
+    ids = tokens(col)
+    per_line = lines.select(F.get(ids, F.lit(0)).alias("id"), (F.size(ids) - 1).alias("d"))
+    return per_line.where("id IS NOT NULL").groupBy("id").agg(F.sum("d").alias("connections"))
 
 
 def most_connected(degree: DataFrame, names: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from loomframe.operators import aggs
 from loomframe.plans.logs import word_counts as count_words
 from loomframe.plans.similarity import item_similarity as similarity_of
-from workload.registry import Tables, query
+from workload.registry import Tables, day_text, query
 
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
@@ -144,7 +144,7 @@ def item_similarity(t: Tables):
     + " FROM events GROUP BY 1"
 )
 def agg_pivot(t: Tables):
-    day = F.date_format("ts", "yyyy-MM-dd").alias("day")
+    day = day_text("ts").alias("day")
     events = t.events.select(day, "event_type", F.floor("value").alias("whole"))
     return aggs.pivot_sum(events, "day", "event_type", "whole", EVENT_TYPES)
 

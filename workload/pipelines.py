@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from loomframe.plans import etl, graph, sales, similarity, warehouse
 from workload.aggregates import RATINGS_SQL, SIMS_SQL, ratings
-from workload.registry import Tables, query
+from workload.registry import Tables, day_text, query
 
 # --- item similarity -------------------------------------------------------------
 
@@ -114,7 +114,7 @@ DIRTY_ORDERS_SQL = """
 CLEAN_ORDERS_SQL = rf"""
     {DIRTY_ORDERS_SQL},
     clean_orders AS (
-        SELECT DISTINCT order_id, customer_id, product_id, order_date, abs(quantity) AS quantity,
+        SELECT order_id, customer_id, product_id, order_date, abs(quantity) AS quantity,
             abs(unit_price) AS unit_price, abs(total_amount) AS total_amount
         FROM (SELECT DISTINCT * FROM dirty_orders)
         WHERE regexp_matches(order_id, '^\d{{6}}$') AND regexp_matches(customer_id, '^\d{{4}}$')
@@ -139,9 +139,7 @@ def dirty_orders(t: Tables):
         F.when(F.col("l_partkey") % 23 == 0, "P1")
         .otherwise(F.concat(F.lit("P"), part))
         .alias("product_id"),
-        F.when(F.col("l_orderkey") % 11 != 0, F.date_format("o_orderdate", "yyyy-MM-dd")).alias(
-            "order_date"
-        ),
+        F.when(F.col("l_orderkey") % 11 != 0, day_text("o_orderdate")).alias("order_date"),
         turned("l_quantity", 0).cast("int").alias("quantity"),
         turned("l_extendedprice", 1).alias("unit_price"),
         turned("o_totalprice", 2).alias("total_amount"),
@@ -193,7 +191,7 @@ def _customers(t: Tables):
 
 
 def _orders(t: Tables):
-    return etl.clean_orders(dirty_orders(t)).dropDuplicates()
+    return etl.clean_orders(dirty_orders(t))
 
 
 def _products(t: Tables):
@@ -205,14 +203,9 @@ def etl_customers(t: Tables):
     return _customers(t)
 
 
-@query(
-    f"""
-    WITH {CLEAN_ORDERS_SQL.replace("SELECT DISTINCT order_id", "SELECT order_id")}
-    SELECT * FROM clean_orders
-    """
-)
+@query(f"WITH {CLEAN_ORDERS_SQL} SELECT * FROM clean_orders")
 def etl_orders(t: Tables):
-    return etl.clean_orders(dirty_orders(t))
+    return _orders(t)
 
 
 @query(f"WITH {CLEAN_PRODUCTS_SQL} SELECT * FROM clean_products")
@@ -240,7 +233,7 @@ def _order_etl(t: Tables) -> etl.OrderEtl:
     orders = t.orders.select(
         key.alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
-        F.when(key % 11 != 0, F.date_format("o_orderdate", "MMMd")).alias("date"),
+        F.when(key % 11 != 0, day_text("o_orderdate")).alias("date"),
         F.when(key % 6 != 0, F.col("o_totalprice")).alias("amount"),
     )
     customers = t.customer.where(F.col("c_custkey") % 9 != 0).select(

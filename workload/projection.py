@@ -8,7 +8,7 @@ from loomframe.functions import flatten_struct, grep, parse_json
 from loomframe.functions import split_columns as split_into
 from loomframe.operators import clean
 from loomframe.plans.sales import line_revenue as revenue_of
-from workload.registry import Tables, query
+from workload.registry import Tables, day_text, query
 
 
 @query("SELECT c_name, c_mktsegment FROM customer")
@@ -87,8 +87,8 @@ NULL_DATE_SQL = "CASE WHEN o_orderkey % 11 <> 0 THEN strftime(o_orderdate, '%Y-%
     """
 )
 def filter_not_null(t: Tables):
-    day = F.date_format("o_orderdate", "yyyy-MM-dd")
-    dated = t.orders.withColumn("placed", F.when(F.col("o_orderkey") % 11 != 0, day))
+    day = F.when(F.col("o_orderkey") % 11 != 0, day_text("o_orderdate"))
+    dated = t.orders.withColumn("placed", day)
     return dated.where(F.col("placed").isNotNull()).select("o_orderkey", "placed")
 
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +24,11 @@ class Tables:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
 
+def day_text(col: str) -> Column:
+    """The day of a timestamp as ``yyyy-MM-dd``."""
+    return F.col(col).cast("date").cast("string")
+
+
 def query(sql: str | None = None):
     """Register a function of ``Tables`` under its own name."""
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loomframe import sinks, sources
+from loomframe.operators.joins import without
 from workload.registry import Tables, query
 
 ORDERS_TEXT = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double"
@@ -118,7 +119,7 @@ def src_range(t: Tables):
     # Order numbers without any line: the generated sequence minus the numbers in use.
     last = t.orders.agg(F.max("o_orderkey")).first()[0]
     used = t.lineitem.select(F.col("l_orderkey").alias("id"))
-    return sources.sequence(t.spark, 0, last + 1).join(used, "id", "left_anti")
+    return without(sources.sequence(t.spark, 0, last + 1), used, "id")
 
 
 @query("SELECT p_partkey, p_brand, p_size FROM part WHERE p_size > 25")

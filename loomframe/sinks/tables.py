@@ -48,7 +48,7 @@ def replace_table(df: DataFrame, name: str, fmt: str = "parquet", path: str | No
 
 def register_external(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> None:
     """A table over files that already exist; dropping it leaves them in place."""
-    spark.sql(f"CREATE TABLE {_quoted(name)} USING {fmt} LOCATION '{path}'")
+    spark.catalog.createTable(name, path=path, source=fmt)
 
 
 def list_tables(spark: SparkSession, db: str | None = None) -> DataFrame:

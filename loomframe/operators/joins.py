@@ -95,7 +95,8 @@ def pairs(df: DataFrame, by: str, item: str, value: str | None = None, block: in
     execution drops that branch.
     """
     cols = {by: F.col(by), "item": F.col(item)} | ({"value": F.col(value)} if value else {})
-    rows = df.select(*[c.alias(n) for n, c in cols.items()]).dropna(subset=[by, "item"])
+    rows = df.select(*[c.alias(n) for n, c in cols.items()])
+    rows = rows.where(F.col(by).isNotNull() & F.col("item").isNotNull())
     n_rows = F.count("*")
     if value:
         # The same count, but it needs every column: so the branches share their input's shuffle.
@@ -105,13 +106,17 @@ def pairs(df: DataFrame, by: str, item: str, value: str | None = None, block: in
 
     blocks = F.ceil(F.col("_n") / block).cast("int")
     mine = F.pmod(F.xxhash64("item"), blocks).cast("int")
+    others = F.explode(F.sequence(F.lit(0), F.col("_last")))
     cells = (
         rows.join(large, by)
         .select(*rows.columns, mine.alias("_block"), (blocks - 1).alias("_last"))
-        .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_last"))))
-        .withColumn("_lo", F.least("_block", "_other"))
-        .withColumn("_hi", F.greatest("_block", "_other"))
-        .drop("_last", "_other")
+        .select(*rows.columns, "_block", others.alias("_other"))
+        .select(
+            *rows.columns,
+            "_block",
+            F.least("_block", "_other").alias("_lo"),
+            F.greatest("_block", "_other").alias("_hi"),
+        )
     )
     # A cell of two blocks also holds pairs within either one; those have a cell of their own.
     own = (F.col("a._lo") == F.col("a._hi")) | (F.col("a._block") != F.col("b._block"))

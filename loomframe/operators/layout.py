@@ -10,6 +10,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Share out an input that comes in fewer pieces than the session has cores.
+
+    For work that takes long per row on a few files that cannot be split further.
+    An input with enough pieces, as any large one has, is returned as it is. Keys
+    that are nearly unique share best.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+
+
 def partition_profile(df: DataFrame) -> DataFrame:
     """Number of rows in each partition that has any."""
     return df.select(F.spark_partition_id().alias("partition")).groupBy("partition").agg(

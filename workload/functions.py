@@ -20,6 +20,10 @@ from workload.registry import Tables, query
 TOKENS_SQL = f"[x FOR x IN string_split_regex(text, '{WHITESPACE_SQL}') IF x <> '']"
 
 
+def _documents(t: Tables):
+    return t.spread("documents", "doc_id")
+
+
 @query(
     """
     SELECT doc_id, array_to_string(string_split(text, ' '), '|') AS parts,
@@ -29,31 +33,31 @@ TOKENS_SQL = f"[x FOR x IN string_split_regex(text, '{WHITESPACE_SQL}') IF x <>
 )
 def fn_split(t: Tables):
     parts = split_literal("text", " ")
-    return t.documents.select(
+    return _documents(t).select(
         "doc_id", F.array_join(parts, "|").alias("parts"), F.size(parts).alias("n")
     )
 
 
 @query(f"SELECT doc_id, array_to_string({TOKENS_SQL}, '|') AS tokens FROM documents")
 def fn_tokenize(t: Tables):
-    return t.documents.select("doc_id", F.array_join(tokens("text"), "|").alias("tokens"))
+    return _documents(t).select("doc_id", F.array_join(tokens("text"), "|").alias("tokens"))
 
 
 @query(f"SELECT doc_id, CAST(len({TOKENS_SQL}) - 1 AS INTEGER) AS others FROM documents")
 def fn_array_size(t: Tables):
-    return t.documents.select("doc_id", (F.size(tokens("text")) - 1).alias("others"))
+    return _documents(t).select("doc_id", (F.size(tokens("text")) - 1).alias("others"))
 
 
 @query(f"SELECT doc_id, ({TOKENS_SQL})[1] AS first, ({TOKENS_SQL})[40] AS fortieth FROM documents")
 def fn_element(t: Tables):
-    return t.documents.select(
+    return _documents(t).select(
         "doc_id", token("text", 0).alias("first"), token("text", 39).alias("fortieth")
     )
 
 
 @query(f"SELECT doc_id, array_to_string(({TOKENS_SQL})[4:], ' ') AS message FROM documents")
 def fn_slice_join(t: Tables):
-    return t.documents.select("doc_id", rest_of_line("text", 3).alias("message"))
+    return _documents(t).select("doc_id", rest_of_line("text", 3).alias("message"))
 
 
 @query(
@@ -69,12 +73,12 @@ def fn_explode(t: Tables):
 
 @query(WORDS_SQL)
 def fn_words(t: Tables):
-    return words(t.documents.select("text"), "text")
+    return words(_documents(t).select("text"), "text")
 
 
 @query(f"SELECT word, CAST(length(word) AS INTEGER) AS length FROM ({WORDS_SQL})")
 def fn_word_length(t: Tables):
-    return word_lengths(t.documents, "text")
+    return word_lengths(_documents(t), "text")
 
 
 @query(

@@ -124,7 +124,8 @@ CLEAN_ORDERS_SQL = rf"""
 
 
 def dirty_orders(t: Tables):
-    joined = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    lines = t.spread("lineitem", "l_orderkey", "l_linenumber")
+    joined = lines.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
     line = F.col("l_linenumber") % 5
 
     def turned(col: str, rest: int):
@@ -153,8 +154,7 @@ DIRTY_PRODUCTS_SQL = """
             CASE WHEN p_partkey % 3 = 0 THEN -p_retailprice ELSE p_retailprice END AS price,
             CASE WHEN p_partkey % 4 = 0 THEN -p_retailprice / 2 ELSE p_retailprice / 2 END AS cost,
             CASE WHEN p_partkey % 13 = 0 THEN NULL WHEN p_partkey % 6 = 0 THEN -p_size ELSE p_size END AS stock_quantity
-        FROM part CROSS JOIN (VALUES (1), (2)) AS copies (c)
-        WHERE c = 1 OR p_partkey % 5 = 0
+        FROM (SELECT * FROM part UNION ALL SELECT * FROM part WHERE p_partkey % 5 = 0)
     )
 """
 CLEAN_PRODUCTS_SQL = rf"""

@@ -102,33 +102,48 @@ def pairs(df: DataFrame, by: str, item: str, value: str | None = None, block: in
         # The same count, but it needs every column: so the branches share their input's shuffle.
         n_rows = F.count("value") + F.count_if(F.col("value").isNull())
     large = rows.groupBy(by).agg(n_rows.alias("_n")).where(F.col("_n") > block)
-    ordinary = _self_join(rows.join(large, by, "left_anti"), [by])
+    light = rows.join(large, by, "left_anti")
+    a, b = light.alias("a"), light.alias("b")
+    same_key = F.col(f"a.{by}") == F.col(f"b.{by}")
+    ordinary = a.join(b, same_key & (F.col("a.item") < F.col("b.item"))).select(
+        F.col(f"a.{by}").alias(by),
+        F.col("a.item").alias("item1"),
+        F.col("b.item").alias("item2"),
+        *([F.col("a.value").alias("value1"), F.col("b.value").alias("value2")] if value else []),
+    )
+    return ordinary.unionAll(_pairs_of_large(rows.join(large, by), by, value is not None, block))
+
+
+def _pairs_of_large(rows: DataFrame, by: str, with_value: bool, block: int) -> DataFrame:
+    """Pairs within keys of ``_n`` rows each, one join cell per two blocks of a key.
 
+    The cells are few bytes but many pairs. A fixed number of partitions and a merge
+    join keep adaptive execution, which goes by bytes, from packing them together.
+    """
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = F.ceil(F.col("_n") / block).cast("int")
     mine = F.pmod(F.xxhash64("item"), blocks).cast("int")
-    others = F.explode(F.sequence(F.lit(0), F.col("_last")))
-    cells = (
-        rows.join(large, by)
-        .select(*rows.columns, mine.alias("_block"), (blocks - 1).alias("_last"))
-        .select(*rows.columns, "_block", others.alias("_other"))
-        .select(
-            *rows.columns,
-            "_block",
-            F.least("_block", "_other").alias("_lo"),
-            F.greatest("_block", "_other").alias("_hi"),
-        )
-    )
-    # A cell of two blocks also holds pairs within either one; those have a cell of their own.
-    own = (F.col("a._lo") == F.col("a._hi")) | (F.col("a._block") != F.col("b._block"))
-    return ordinary.unionAll(_self_join(cells, [by, "_lo", "_hi"], own))
-
-
-def _self_join(rows: DataFrame, keys: list[str], also: Column | None = None) -> DataFrame:
-    """Pairs of rows with equal keys whose first item is the smaller one."""
-    a, b = rows.alias("a"), rows.alias("b")
-    match = reduce(lambda x, y: x & y, [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys])
-    match = match & (F.col("a.item") < F.col("b.item"))
-    names = [F.col(f"a.{keys[0]}"), F.col("a.item").alias("item1"), F.col("b.item").alias("item2")]
-    if "value" in rows.columns:
-        names += [F.col("a.value").alias("value1"), F.col("b.value").alias("value2")]
-    return a.join(b, match if also is None else match & also).select(*names)
+    placed = rows.withColumns({"_mine": mine, "_last": blocks - 1})
+
+    kept = ["item", "value"] if with_value else ["item"]
+    cell = [by, "_lo", "_hi"]
+
+    def side(prefix: str, cells: Column, lo: str, hi: str) -> DataFrame:
+        named = [F.col(c).alias(f"{prefix}_{c}") for c in kept]
+        found = placed.select(by, *named, "_mine", F.explode(cells).alias("_other"))
+        return found.withColumnsRenamed({lo: "_lo", hi: "_hi"}).repartition(partitions, *cell)
+
+    # A row is on the left in the cells from its own block up and on the right in those down to it.
+    left = side("l", F.sequence("_mine", "_last"), "_mine", "_other")
+    right = side("r", F.sequence(F.lit(0), F.col("_mine")), "_other", "_mine")
+    in_order = F.col("l_item") < F.col("r_item")
+    met = left.join(right.hint("merge"), cell).where((F.col("_lo") < F.col("_hi")) | in_order)
+
+    def ordered(c: str) -> list[Column]:
+        first, second = F.col(f"l_{c}"), F.col(f"r_{c}")
+        return [
+            F.when(in_order, first).otherwise(second).alias(f"{c}1"),
+            F.when(in_order, second).otherwise(first).alias(f"{c}2"),
+        ]
+
+    return met.select(by, *[c for name in kept for c in ordered(name)])

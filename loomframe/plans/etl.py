@@ -30,6 +30,10 @@ CUSTOMERS_SCHEMA = """
 """
 
 
+ORDER_RULES = {"order_id": c.ORDER_ID, "customer_id": c.CUSTOMER_ID, "product_id": c.PRODUCT_ID}
+PRODUCT_RULES = {"product_id": c.PRODUCT_ID}
+
+
 def clean_customers(
     df: DataFrame, trim_first: bool = True, check_id: bool = False
 ) -> DataFrame:
@@ -49,18 +53,18 @@ def clean_customers(
     return c.drop_nulls(df)
 
 
-def clean_orders(df: DataFrame) -> DataFrame:
-    """Distinct orders with valid ids, positive amounts and no missing value."""
-    df = c.validate(
-        c.dedupe(df),
-        {"order_id": c.ORDER_ID, "customer_id": c.CUSTOMER_ID, "product_id": c.PRODUCT_ID},
-    )
+def clean_orders(df: DataFrame, rules: dict[str, str] = ORDER_RULES) -> DataFrame:
+    """Distinct orders with valid ids, positive amounts and no missing value.
+
+    ``rules`` are patterns per column, for ids of another form than the default.
+    """
+    df = c.validate(c.dedupe(df), rules)
     return c.drop_nulls(c.fix_sign(df, ["quantity", "unit_price", "total_amount"]))
 
 
-def clean_products(df: DataFrame) -> DataFrame:
+def clean_products(df: DataFrame, rules: dict[str, str] = PRODUCT_RULES) -> DataFrame:
     """Distinct products with a valid id, positive prices, stock of at least 0, no NULL."""
-    df = c.validate(c.dedupe(df), {"product_id": c.PRODUCT_ID})
+    df = c.validate(c.dedupe(df), rules)
     df = c.clamp_min(c.fix_sign(df, ["cost", "price"]), "stock_quantity")
     return c.drop_nulls(df)
 

@@ -9,6 +9,7 @@ import pytest
 from conftest import bag, final_plan
 from pyspark.sql import functions as F
 
+from loomframe import sinks, sources
 from loomframe.plans import etl, sales, similarity, warehouse
 
 
@@ -111,6 +112,41 @@ def test_order_etl(spark, tmp_path, digits):
     assert spark.read.parquet(str(tmp_path / "joined")).count() == 11
 
 
+def test_lake_job_from_files_to_tables(spark, tmp_path):
+    (tmp_path / "customers.csv").write_text(
+        "customer_id,first_name,last_name,email,phone,signup_date,country,state,postal_code,is_active,loyalty_points\n"
+        "1001, Ann ,Lee,a@b.co,555-123-4567,2024-01-02,U.S.A.,oh,45402,true,-5\n"
+        "1001,Ann,Lee,a@b.co,555-123-4567,2024-01-02,U.S.A.,oh,45402,true,-5\n"
+        "1002,Bob,Ray,a@b.co,555-123-4567,not a day,USA,oh,45402,true,5\n"
+    )
+    (tmp_path / "orders.csv").write_text(
+        "order_id,customer_id,product_id,order_date,ship_date,quantity,unit_price,discount_pct,total_amount,payment_method,order_status\n"
+        "100001,1001,P0001,2024-02-01,2024-02-03,-2,4.5,0.0,-9.0,card,shipped\n"
+        "100002,1001,P0002,2024-02-01,,1,4.5,0.0,4.5,card,open\n"
+    )
+    (tmp_path / "products.csv").write_text(
+        "product_id,product_name,category,brand,price,cost,stock_quantity,weight_kg,created_date,is_active\n"
+        "P0001,Pen,office,Acme,4.5,-1.5,-7,0.1,2023-01-01,true\n"
+        "BAD,Ink,office,Acme,4.5,1.5,7,0.1,2023-01-01,true\n"
+    )
+    sinks.ensure_database(spark, "shop")
+    for name, schema, clean in (
+        ("customers", etl.CUSTOMERS_SCHEMA, etl.clean_customers),
+        ("orders", etl.ORDERS_SCHEMA, etl.clean_orders),
+        ("products", etl.PRODUCTS_SCHEMA, etl.clean_products),
+    ):
+        raw = sources.read_csv(spark, str(tmp_path / f"{name}.csv"), schema)
+        sinks.replace_table(clean(raw), f"shop.{name}")
+    tables = [spark.table(f"shop.{n}") for n in ("customers", "orders", "products")]
+    assert bag(tables[0], "first_name", "country", "state", "loyalty_points") == {
+        ("Ann", "USA", "OH", 0): 1
+    }
+    assert bag(tables[1], "order_id", "quantity", "total_amount") == {("100001", 2, 9.0): 1}
+    assert bag(tables[2], "product_id", "cost", "stock_quantity") == {("P0001", 1.5, 0): 1}
+    assert bag(warehouse.who_bought_what(*tables)) == {("Ann", "Lee", "a@b.co", "Pen"): 1}
+    sinks.drop_database(spark, "shop", cascade=True)
+
+
 def test_spend_per_customer(spark):
     df = spark.createDataFrame([("a", 1.5), ("b", 4.0), ("a", 2.5), ("c", 9.0)], "c string, x double")
     spend = [tuple(r) for r in sales.spend_per_customer(df, "c", "x").collect()]

@@ -38,9 +38,26 @@ def item_avg_rating(t: Tables):
 
 # --- cleaning jobs ---------------------------------------------------------------
 
-DIRTY_CUSTOMERS_SQL = """
+# Ids are padded to the usual length and grow beyond it, so that no two rows share one.
+ID_RULES = {
+    "order_id": r"^\d{6,}$",
+    "customer_id": r"^\d{4,}$",
+    "product_id": r"^\w\d{4,}$",
+}
+
+
+def _padded(key: str, width: int):
+    text = F.col(key).cast("string")
+    return F.lpad(text, F.greatest(F.length(text), F.lit(width)), "0")
+
+
+def _padded_sql(key: str, width: int) -> str:
+    return f"lpad(CAST({key} AS VARCHAR), CAST(greatest(length(CAST({key} AS VARCHAR)), {width}) AS INTEGER), '0')"
+
+
+DIRTY_CUSTOMERS_SQL = f"""
     dirty_customers AS (
-        SELECT lpad(CAST(c_custkey AS VARCHAR), 4, '0') AS customer_id, ' ' || c_name AS first_name,
+        SELECT {_padded_sql('c_custkey', 4)} AS customer_id, ' ' || c_name AS first_name,
             CASE WHEN c_custkey % 17 <> 0 THEN c_name || ' ' END AS last_name,
             CASE WHEN c_custkey % 7 = 0 THEN 'nobody' ELSE 'c' || c_custkey || '@mail.test' END AS email,
             CASE c_custkey % 5 WHEN 0 THEN '(555) 123-4567' WHEN 1 THEN '555-1234'
@@ -49,7 +66,7 @@ DIRTY_CUSTOMERS_SQL = """
             CAST(floor(c_acctbal) AS INTEGER) AS loyalty_points
         FROM customer
         UNION ALL
-        SELECT lpad(CAST(c_custkey AS VARCHAR), 4, '0'), c_name || '  ', c_name, 'c' || c_custkey || '@mail.test',
+        SELECT {_padded_sql('c_custkey', 4)}, c_name || '  ', c_name, 'c' || c_custkey || '@mail.test',
             '+1 555.123.4567', 'N.' || c_nationkey || '-X', lower(c_mktsegment),
             CAST(floor(c_acctbal) AS INTEGER)
         FROM customer WHERE c_custkey % 10 = 3
@@ -74,7 +91,7 @@ def dirty_customers(t: Tables):
     key, points = F.col("c_custkey"), F.floor("c_acctbal").cast("int").alias("loyalty_points")
     mail = F.concat(F.lit("c"), key.cast("string"), F.lit("@mail.test"))
     phone = F.when(key % 5 == 0, "(555) 123-4567").when(key % 5 == 1, "555-1234")
-    number = F.lpad(key.cast("string"), 4, "0").alias("customer_id")
+    number = _padded("c_custkey", 4).alias("customer_id")
     country = F.concat(F.lit("N."), F.col("c_nationkey").cast("string"), F.lit("-X"))
     place = [country.alias("country"), F.lower("c_mktsegment").alias("state")]
     once = t.customer.select(
@@ -99,11 +116,11 @@ def dirty_customers(t: Tables):
 
 
 # Signs are turned, ids broken and dates lost by fixed rules on the keys.
-DIRTY_ORDERS_SQL = """
+DIRTY_ORDERS_SQL = f"""
     dirty_orders AS (
-        SELECT CASE WHEN l_orderkey % 19 = 0 THEN 'bad' ELSE lpad(CAST(l_orderkey AS VARCHAR), 6, '0') END AS order_id,
-            lpad(CAST(o_custkey AS VARCHAR), 4, '0') AS customer_id,
-            CASE WHEN l_partkey % 23 = 0 THEN 'P1' ELSE 'P' || lpad(CAST(l_partkey % 10000 AS VARCHAR), 4, '0') END AS product_id,
+        SELECT CASE WHEN l_orderkey % 19 = 0 THEN 'bad' ELSE {_padded_sql('l_orderkey', 6)} END AS order_id,
+            {_padded_sql('o_custkey', 4)} AS customer_id,
+            CASE WHEN l_partkey % 23 = 0 THEN 'P1' ELSE 'P' || {_padded_sql('l_partkey', 4)} END AS product_id,
             CASE WHEN l_orderkey % 11 <> 0 THEN strftime(o_orderdate, '%Y-%m-%d') END AS order_date,
             CAST(CASE WHEN l_linenumber % 5 = 0 THEN -l_quantity ELSE l_quantity END AS INTEGER) AS quantity,
             CASE WHEN l_linenumber % 5 = 1 THEN -l_extendedprice ELSE l_extendedprice END AS unit_price,
@@ -117,8 +134,8 @@ CLEAN_ORDERS_SQL = rf"""
         SELECT order_id, customer_id, product_id, order_date, abs(quantity) AS quantity,
             abs(unit_price) AS unit_price, abs(total_amount) AS total_amount
         FROM (SELECT DISTINCT * FROM dirty_orders)
-        WHERE regexp_matches(order_id, '^\d{{6}}$') AND regexp_matches(customer_id, '^\d{{4}}$')
-            AND regexp_matches(product_id, '^\w\d{{4}}$') AND order_date IS NOT NULL
+        WHERE regexp_matches(order_id, '^\d{{6,}}$') AND regexp_matches(customer_id, '^\d{{4,}}$')
+            AND regexp_matches(product_id, '^\w\d{{4,}}$') AND order_date IS NOT NULL
     )
 """
 
@@ -131,14 +148,13 @@ def dirty_orders(t: Tables):
     def turned(col: str, rest: int):
         return F.when(line == rest, -F.col(col)).otherwise(F.col(col))
 
-    part = F.lpad((F.col("l_partkey") % 10000).cast("string"), 4, "0")
     return joined.select(
         F.when(F.col("l_orderkey") % 19 == 0, "bad")
-        .otherwise(F.lpad(F.col("l_orderkey").cast("string"), 6, "0"))
+        .otherwise(_padded("l_orderkey", 6))
         .alias("order_id"),
-        F.lpad(F.col("o_custkey").cast("string"), 4, "0").alias("customer_id"),
+        _padded("o_custkey", 4).alias("customer_id"),
         F.when(F.col("l_partkey") % 23 == 0, "P1")
-        .otherwise(F.concat(F.lit("P"), part))
+        .otherwise(F.concat(F.lit("P"), _padded("l_partkey", 4)))
         .alias("product_id"),
         F.when(F.col("l_orderkey") % 11 != 0, day_text("o_orderdate")).alias("order_date"),
         turned("l_quantity", 0).cast("int").alias("quantity"),
@@ -147,9 +163,9 @@ def dirty_orders(t: Tables):
     )
 
 
-DIRTY_PRODUCTS_SQL = """
+DIRTY_PRODUCTS_SQL = f"""
     dirty_products AS (
-        SELECT CASE WHEN p_partkey % 19 = 0 THEN 'bad' ELSE 'P' || lpad(CAST(p_partkey % 10000 AS VARCHAR), 4, '0') END AS product_id,
+        SELECT CASE WHEN p_partkey % 19 = 0 THEN 'bad' ELSE 'P' || {_padded_sql('p_partkey', 4)} END AS product_id,
             p_name AS product_name, p_type AS category,
             CASE WHEN p_partkey % 3 = 0 THEN -p_retailprice ELSE p_retailprice END AS price,
             CASE WHEN p_partkey % 4 = 0 THEN -p_retailprice / 2 ELSE p_retailprice / 2 END AS cost,
@@ -163,14 +179,14 @@ CLEAN_PRODUCTS_SQL = rf"""
         SELECT product_id, product_name, category, abs(price) AS price, abs(cost) AS cost,
             CASE WHEN stock_quantity < 0 THEN 0 ELSE stock_quantity END AS stock_quantity
         FROM (SELECT DISTINCT * FROM dirty_products)
-        WHERE regexp_matches(product_id, '^\w\d{{4}}$') AND stock_quantity IS NOT NULL
+        WHERE regexp_matches(product_id, '^\w\d{{4,}}$') AND stock_quantity IS NOT NULL
     )
 """
 
 
 def dirty_products(t: Tables):
     key, price, size = F.col("p_partkey"), F.col("p_retailprice"), F.col("p_size")
-    number = F.concat(F.lit("P"), F.lpad((key % 10000).cast("string"), 4, "0"))
+    number = F.concat(F.lit("P"), _padded("p_partkey", 4))
     copies = F.explode(F.sequence(F.lit(1), F.when(key % 5 == 0, 2).otherwise(1)))
     return t.part.select(
         F.when(key % 19 == 0, "bad").otherwise(number).alias("product_id"),
@@ -191,11 +207,11 @@ def _customers(t: Tables):
 
 
 def _orders(t: Tables):
-    return etl.clean_orders(dirty_orders(t))
+    return etl.clean_orders(dirty_orders(t), ID_RULES)
 
 
 def _products(t: Tables):
-    return etl.clean_products(dirty_products(t))
+    return etl.clean_products(dirty_products(t), {"product_id": ID_RULES["product_id"]})
 
 
 @query(f"WITH {CLEAN_CUSTOMERS_SQL} SELECT * FROM clean_customers")
@@ -217,26 +233,27 @@ def etl_products(t: Tables):
 
 ORDER_ETL_SQL = """
     kept AS (
-        SELECT DISTINCT o_orderkey AS order_id, o_custkey AS customer_id,
+        SELECT DISTINCT o_orderkey AS order_id, CASE WHEN o_orderkey % 9 <> 0 THEN o_custkey ELSE -1 END AS customer_id,
             CASE WHEN o_orderkey % 6 <> 0 THEN o_totalprice ELSE 100 END AS amount
         FROM orders WHERE o_orderkey % 11 <> 0
     ),
     joined AS (
         SELECT k.*, 'city ' || c_nationkey AS city, c_mktsegment AS segment
-        FROM kept k JOIN customer ON customer_id = c_custkey WHERE c_custkey % 9 <> 0
+        FROM kept k JOIN customer ON customer_id = c_custkey
     )
 """
 
 
 def _order_etl(t: Tables) -> etl.OrderEtl:
+    """Orders with lost dates and amounts, and some of a customer that is not known."""
     key = F.col("o_orderkey")
     orders = t.orders.select(
         key.alias("order_id"),
-        F.col("o_custkey").alias("customer_id"),
+        F.when(key % 9 != 0, F.col("o_custkey")).otherwise(-1).alias("customer_id"),
         F.when(key % 11 != 0, day_text("o_orderdate")).alias("date"),
         F.when(key % 6 != 0, F.col("o_totalprice")).alias("amount"),
     )
-    customers = t.customer.where(F.col("c_custkey") % 9 != 0).select(
+    customers = t.customer.select(
         F.col("c_custkey").alias("customer_id"),
         F.concat(F.lit("city "), F.col("c_nationkey").cast("string")).alias("city"),
         F.col("c_mktsegment").alias("segment"),

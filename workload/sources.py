@@ -56,13 +56,15 @@ def src_parse_record(t: Tables):
     return sources.parse_delimited(_order_lines(t), schema)
 
 
-@query("SELECT p_partkey, p_name, p_size FROM part WHERE p_partkey % 3 < 2")
+@query("SELECT p_partkey, p_name, p_size FROM part")
 def src_glob(t: Tables):
+    # Two folders hold the parts, a third something else; the pattern matches the two.
     path = sinks.scratch_dir(t.spark, "part-files")
-    part = t.part.select("p_partkey", "p_name", "p_size")
-    for name, rest in (("sales_a", 0), ("sales_b", 1), ("other", 2)):
-        sinks.write_csv(part.where(F.col("p_partkey") % 3 == rest), f"{path}/{name}")
-    return sources.read_csv(t.spark, f"{path}/sales_*", PART_TEXT)
+    part, small = t.part.select("p_partkey", "p_name", "p_size"), F.col("p_size") <= 25
+    sinks.write_csv(part.where(small), f"{path}/parts_small")
+    sinks.write_csv(part.where(~small), f"{path}/parts_large")
+    sinks.write_csv(t.supplier.select("s_suppkey", "s_name"), f"{path}/other")
+    return sources.read_csv(t.spark, f"{path}/parts_*", PART_TEXT)
 
 
 @query("SELECT p_partkey, p_name, p_size FROM part")

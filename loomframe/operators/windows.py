@@ -83,12 +83,14 @@ def previous(
     )
     # One row per slice of a hot group, a number that slice_hot bounds.
     carry = last.withColumn("_carry", F.lag("_last").over(_ordered([by], [slice]))).drop("_last")
-    before = F.lag(F.struct(F.col(col).alias("v"))).over(_ordered([by, slice], order))
+    within = _ordered([by, slice], order)
     return (
-        attach(df.withColumn("_before", before), F.broadcast(carry), [by, slice])
-        .withColumn(
-            name, F.when(F.col("_before").isNull(), F.col("_carry")).otherwise(F.col("_before.v"))
+        attach(
+            df.withColumns({"_before": F.lag(col).over(within), "_row": F.row_number().over(within)}),
+            F.broadcast(carry),
+            [by, slice],
         )
+        .withColumn(name, F.when(F.col("_row") == 1, F.col("_carry")).otherwise(F.col("_before")))
         .select(*df.columns, name)
     )
 

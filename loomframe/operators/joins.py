@@ -82,7 +82,14 @@ def salted_join(
     return joined.select(*big.columns, *[c for c in small.columns if c not in on])
 
 
-def pairs(df: DataFrame, by: str, item: str, value: str | None = None, block: int = 2048) -> DataFrame:
+def pairs(
+    df: DataFrame,
+    by: str,
+    item: str,
+    value: str | None = None,
+    block: int = 2048,
+    hot_share: float = 1e-4,
+) -> DataFrame:
     """Unordered pairs of different items that share a ``by`` key.
 
     One row per pair with the smaller item first: ``by``, ``item1``, ``item2``, and
@@ -91,8 +98,10 @@ def pairs(df: DataFrame, by: str, item: str, value: str | None = None, block: in
     Keys with up to ``block`` rows are joined to themselves on the key. A larger
     key is cut into blocks of about ``block`` rows and every two blocks meet in a
     join cell of their own, so no task gets more than about ``block ** 2`` pairs of
-    one key, however many rows the key holds. Where there is no large key, adaptive
-    execution drops that branch.
+    one key, however many rows the key holds. Large keys with more than ``hot_share``
+    of all rows, of which there are at most ``1 / hot_share``, are told apart by a
+    broadcast, so their rows are never brought together. Where there is no large
+    key, adaptive execution drops these branches.
     """
     cols = {by: F.col(by), "item": F.col(item)} | ({"value": F.col(value)} if value else {})
     rows = df.select(*[c.alias(n) for n, c in cols.items()])
@@ -101,8 +110,14 @@ def pairs(df: DataFrame, by: str, item: str, value: str | None = None, block: in
     if value:
         # The same count, but it needs every column: so the branches share their input's shuffle.
         n_rows = F.count("value") + F.count_if(F.col("value").isNull())
-    large = rows.groupBy(by).agg(n_rows.alias("_n")).where(F.col("_n") > block)
-    light = rows.join(large, by, "left_anti")
+    counts = rows.groupBy(by).agg(n_rows.alias("_n"))
+    large = counts.where(F.col("_n") > block)
+    hot = large.where(F.col("_n") > counts.agg(F.sum("_n")).scalar() * F.lit(hot_share))
+    # An outer join, as an anti-join would be pushed below the shuffle that the branches share.
+    marked = rows.join(F.broadcast(hot.withColumnRenamed("_n", "_hot")), by, "left")
+    rest = marked.where(F.col("_hot").isNull()).drop("_hot")
+    light = rest.join(large, by, "left_anti")
+
     a, b = light.alias("a"), light.alias("b")
     same_key = F.col(f"a.{by}") == F.col(f"b.{by}")
     ordinary = a.join(b, same_key & (F.col("a.item") < F.col("b.item"))).select(
@@ -111,7 +126,8 @@ def pairs(df: DataFrame, by: str, item: str, value: str | None = None, block: in
         F.col("b.item").alias("item2"),
         *([F.col("a.value").alias("value1"), F.col("b.value").alias("value2")] if value else []),
     )
-    return ordinary.unionAll(_pairs_of_large(rows.join(large, by), by, value is not None, block))
+    sized = rest.join(large, by).unionByName(rows.join(F.broadcast(hot), by))
+    return ordinary.unionAll(_pairs_of_large(sized, by, value is not None, block))
 
 
 def _pairs_of_large(rows: DataFrame, by: str, with_value: bool, block: int) -> DataFrame:

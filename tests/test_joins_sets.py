@@ -75,17 +75,19 @@ def brute_pairs(rows):
     return found
 
 
-@pytest.mark.parametrize("block", [1, 3, 7, 1000])
-def test_pairs_equal_brute_force_for_any_block_size(spark, block):
+@pytest.mark.parametrize("hot_share", [1e-4, 0.3, 1.0])
+@pytest.mark.parametrize("block", [1, 7, 1000])
+def test_pairs_equal_brute_force_for_any_block_size(spark, block, hot_share):
     rng = random.Random(block)
     rows = [(rng.choice([1, 1, 1, 2, 3, None]), rng.randrange(25), rng.choice([1, 2, None])) for _ in range(120)]
     rows += [(9, i, 1) for i in range(40)] + [(4, None, 1), (5, 1, 2)]
     df = spark.createDataFrame(rows, "u int, i int, r int")
-    assert bag(joins.pairs(df, "u", "i", "r", block)) == brute_pairs(rows)
+    assert bag(joins.pairs(df, "u", "i", "r", block, hot_share)) == brute_pairs(rows)
     without_value = Counter()
     for (k, i, j, _, _), n in brute_pairs(rows).items():
         without_value[(k, i, j)] += n
-    assert bag(joins.pairs(df, "u", "i", block=block)) == without_value
+    found = joins.pairs(df, "u", "i", block=block, hot_share=hot_share)
+    assert bag(found) == without_value
 
 
 def test_pairs_of_nothing(spark):

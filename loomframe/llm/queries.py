@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from loomframe.llm.lsh_forest import near_duplicates
+from loomframe.llm.mixing import mix
+from loomframe.llm.suffix_dedup import repeated_spans
+from loomframe.llm.url_filter import Rule, filter_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,3 +36,57 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query()
 def op3_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
+@query()
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_spans(table(spark, sf_dir, "documents")).drop("spans")
+
+
+@query()
+def op5_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents")).drop("copies")
+
+
+#: The rules of sites.
+SITES = [
+    Rule("allow", "org", "/"),
+    Rule("block", "example.org", "/es/"),
+    Rule("block", "example.org", "/en/1"),
+    Rule("allow", "com", "/fr/"),
+    Rule("block", "com", "/de/"),
+]
+
+
+@query(
+    """
+    WITH parts AS (
+        SELECT page_id,
+            CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS tail
+        FROM pages
+    ), split AS (
+        SELECT page_id,
+            translate(regexp_extract(tail, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+            regexp_extract(tail, '^[^/?#]*([^?#]*)', 1) AS path
+        FROM parts
+    ), ruled AS (
+        SELECT *, CASE
+            WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+            WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/es/') THEN 'example.org/es/'
+            WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/fr/') THEN 'com/fr/'
+            WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/de/') THEN 'com/de/'
+            WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/') THEN 'org/'
+        END AS rule
+        FROM split
+    )
+    SELECT page_id, host, path, rule, CASE
+        WHEN rule IN ('org/', 'com/fr/') THEN 'allow'
+        WHEN rule IS NOT NULL THEN 'block'
+        WHEN regexp_matches(host || path, '(^|[./-])(spam-farm\\.|(casino|viagra|porn|xxx|warez)[./-])') THEN 'block'
+        ELSE 'allow'
+    END AS verdict
+    FROM ruled
+    """
+)
+def op6_url_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(table(spark, sf_dir, "pages"), SITES)

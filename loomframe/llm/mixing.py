@@ -6,7 +6,8 @@ fraction as probability. The flight of the cube method moves these probabilities
 null-space of the balancing constraints (the tokens and the documents of a source) until
 they are 0 or 1. It runs in blocks of documents; what a block leaves open, two documents
 at most, goes on into the blocks of the next level, until one block holds the rest of a
-source. There the landing drops first the constraint on documents, then that on tokens.
+source. There the landing drops the constraint on documents; the one document that is then
+left open is taken in part, or by chance.
 """
 
 from __future__ import annotations
@@ -71,8 +72,11 @@ def _step(out: list[float], active: list[int], u: tuple[float, ...], draw: float
         out[i] = 0.0 if moved < NEAR else 1.0 if moved > 1 - NEAR else moved
 
 
-def landing(sizes: list[float], chances: list[float], draws: Iterator[float]) -> list[float]:
-    """Decide the documents that a flight leaves open: first with tokens alone balanced, then by chance."""
+def landing(sizes: list[float], chances: list[float], draws: Iterator[float], part: bool) -> list[float]:
+    """Decide the documents that a flight leaves open: first with tokens alone balanced, the last by chance.
+
+    With ``part`` the last one keeps its fraction and is taken in part, which keeps the tokens of the source exact.
+    """
     out = flight(sizes, chances, draws)
     active = [i for i in range(len(out)) if NEAR < out[i] < 1 - NEAR]
     if len(active) == 2:
@@ -81,12 +85,12 @@ def landing(sizes: list[float], chances: list[float], draws: Iterator[float]) ->
         u = (1.0, -1.0) if sizes[a] == sizes[b] else (sizes[b] / big, -sizes[a] / big)
         _step(out, active, u, next(draws))
         active = [i for i in active if NEAR < out[i] < 1 - NEAR]
-    for i in active:
+    for i in active if not part else ():
         out[i] = 1.0 if next(draws) < out[i] else 0.0
     return out
 
 
-def _fly(last: bool):
+def _fly(last: bool, part: bool):
     def fly(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, ["place", "block"], 20_000):
             place, block = table.column("place").to_numpy(), table.column("block").to_numpy()
@@ -97,7 +101,10 @@ def _fly(last: bool):
             for lo, hi in zip(new[:-1].tolist(), new[1:].tolist(), strict=True):
                 rng = np.random.default_rng([int(place[lo]), int(block[lo]), hi - lo])
                 draws = iter(rng.random(hi - lo + 8).tolist())
-                moved += (landing if last else flight)(sizes[lo:hi], chances[lo:hi], draws)
+                if last:
+                    moved += landing(sizes[lo:hi], chances[lo:hi], draws, part)
+                else:
+                    moved += flight(sizes[lo:hi], chances[lo:hi], draws)
             table = table.set_column(table.column_names.index("chance"), "chance", pa.array(moved, pa.float64()))
             yield from table.to_batches()
 
@@ -138,12 +145,16 @@ def targets(sizes: DataFrame, weights: tuple[float, ...], share: float, most: fl
     )
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0) -> DataFrame:
+def mix(
+    docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, part: bool = True
+) -> DataFrame:
     """``doc_id``, ``size``, ``source_size``, ``target``, ``copies`` and ``taken`` of every row of ``docs`` (doc_id, text, source).
 
-    ``size`` counts words, ``taken`` is ``copies`` times ``size``; the copies of a
-    source are balanced so that its taken words come within a document or two of
-    its target. The result depends on the rows only, not on how they are spread.
+    ``size`` counts words, ``taken`` the words taken: ``copies`` times ``size``, and
+    for at most one document of a source a part of a further copy, so that the
+    source meets its target to a word. Without ``part`` that document is taken
+    or left by chance, and the source comes within its size of the target. The
+    result depends on the rows only, not on how they are spread.
 
     A null text has size 0 and is taken without effect; a null source is a source
     of its own; repeated rows are documents of their own. With no words at all
@@ -179,18 +190,22 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float =
             units.withColumn("block", block)
             .repartition("place", "block")
             .sortWithinPartitions("place", "block", F.desc("size"), "content", "doc_id")
-            .mapInArrow(_fly(last), schema)
+            .mapInArrow(_fly(last, part), schema)
         )
         flown = kept(flown.select(*names), f"flight-{level}")
         open_now = F.col("chance").between(NEAR, 1 - NEAR)
-        settled = flown.where(~open_now)
+        settled = flown if last else flown.where(~open_now)
         decided = settled if decided is None else decided.union(settled)
         if last:
             break
         units = flown.where(open_now).withColumn("blocks", F.ceil(F.col("blocks") * 2 / BLOCK).cast("long"))
         level += 1
-    copies = (F.col("sure") + F.round("chance")).cast("long")
+    whole = F.when(F.col("chance") > 1 - NEAR, 1).otherwise(0)
     return decided.select(
-        "doc_id", "size", F.col("source_size").cast("long").alias("source_size"), "target", copies.alias("copies")
-    ).withColumn("taken", F.col("copies") * F.col("size"))
-
+        "doc_id",
+        "size",
+        F.col("source_size").cast("long").alias("source_size"),
+        "target",
+        (F.col("sure") + whole).cast("long").alias("copies"),
+        (F.col("sure") * F.col("size") + F.round(F.col("chance") * F.col("size"))).cast("long").alias("taken"),
+    )

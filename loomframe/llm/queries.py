@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from loomframe.llm.html_text import extract
 from loomframe.llm.lsh_forest import near_duplicates
 from loomframe.llm.mixing import mix
+from loomframe.llm.quality import fit, held_out, score_quality
 from loomframe.llm.suffix_dedup import repeated_spans
 from loomframe.llm.url_filter import Rule, filter_urls
 
@@ -39,6 +41,15 @@ def op1_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
 
+@query()
+def op2_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").withColumn("held_out", held_out(F.col("doc_id")))
+    model = fit(docs, labels.where("not held_out"))
+    scored = score_quality(docs, model).withColumn("held_out", held_out(F.col("doc_id")))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 @query()
 def op3_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)

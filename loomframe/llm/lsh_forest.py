@@ -8,9 +8,11 @@ two steps:
 1. Neighbours in the sorted order. A region that is too large for one task is cut
    deeper, by as many further values as it takes, and then by document: nothing is
    lost by that, since step 2 looks at whole regions.
-2. All pairs of a region that the first step has not put in one component. Groups of
-   copies, however large, are one component by then and are left out before any row
-   is moved; what remains of a large region is compared block by block.
+2. All pairs of a region that the first step has not put in one component. Regions that
+   are one component by then, as large groups of copies are, are left out before any
+   row is moved; what remains of a large region is compared block by block. Pairs
+   are never written: rows with a promising partner get their sets, and the task that
+   compares them again returns links between components only.
 
 Signatures only decide what is compared (two documents at the threshold stay apart
 with a probability below ``MISS``); every link is confirmed on full shingle sets.
@@ -40,6 +42,7 @@ MISS = 1e-6
 #: Rows of a region that one task compares with each other.
 BLOCK = 2048
 
+CELL = ["tree", "key", "cell"]
 SIGNED = "doc_id long, n_shingles long, h1 long, h2 long, keys array<long>, orders array<binary>, sig binary"
 
 
@@ -120,35 +123,84 @@ def _near(least: int):
     return near
 
 
+def _candidates(table: pa.Table, least: int, percent: int) -> Iterator[tuple[int, int, int, np.ndarray]]:
+    """Bounds of each cell, and for each of its rows the later rows that are worth a comparison.
+
+    These are of another component and of a fitting size, share no region of an earlier tree with it (they are
+    compared there) and agree in ``least`` signature values.
+    """
+    sizes, component, block, two, tree = (
+        table.column(c).to_numpy() for c in ("n_shingles", "component", "block", "two", "tree")
+    )
+    sig = _matrix(table.column("sig").combine_chunks())
+    keys = table.column("keys").combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)
+    bounds = group_bounds(*(table.column(c).to_numpy() for c in CELL))
+    for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        earlier = int(tree[lo])
+        for i in range(lo, hi - 1):
+            rest = slice(i + 1, hi)
+            fits = component[rest] != component[i]
+            fits &= 100 * np.minimum(sizes[rest], sizes[i]) >= percent * np.maximum(sizes[rest], sizes[i])
+            if two[i]:
+                fits &= block[rest] != block[i]
+            at = np.flatnonzero(fits) + i + 1
+            if len(at):
+                at = at[~(keys[at, :earlier] == keys[i, :earlier]).any(axis=1)]
+                at = at[(sig[at] == sig[i]).sum(axis=1) >= least]
+                if len(at):
+                    yield lo, hi, i, at
+
+
 def _across(least: int, percent: int):
-    """Pairs of different components within each cell whose signatures agree in ``least`` values."""
+    """The rows of each cell that have a partner worth a comparison."""
 
     def across(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_groups(batches, ["tree", "key", "cell"]):
+        for table in whole_groups(batches, CELL):
+            marked = np.zeros(table.num_rows, bool)
+            for _, _, i, at in _candidates(table, least, percent):
+                marked[i] = True
+                marked[at] = True
+            yield from table.filter(pa.array(marked)).to_batches()
+
+    return across
+
+
+def _confirm_cells(least: int, percent: int):
+    """Links of each cell by full sets: of those that lead from a row into one and the same component, one."""
+
+    def confirm(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, CELL):
             ids = table.column("doc_id").to_numpy()
-            sizes = table.column("n_shingles").to_numpy()
-            component = table.column("component").to_numpy()
-            block = table.column("block").to_numpy()
-            mixed_cell = table.column("two").to_numpy()
-            sig = _matrix(table.column("sig").combine_chunks())
-            bounds = group_bounds(*(table.column(c).to_numpy() for c in ("tree", "key", "cell")))
-            found: list[tuple[np.ndarray, np.ndarray]] = []
-            for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                for i in range(lo, hi - 1):
-                    rest = slice(i + 1, hi)
-                    fits = component[rest] != component[i]
-                    fits &= 100 * np.minimum(sizes[rest], sizes[i]) >= percent * np.maximum(sizes[rest], sizes[i])
-                    if mixed_cell[i]:
-                        fits &= block[rest] != block[i]
-                    at = np.flatnonzero(fits) + i + 1
-                    if len(at):
-                        at = at[(sig[at] == sig[i]).sum(axis=1) >= least]
-                        found.append((np.full(len(at), ids[i]), ids[at]))
+            sets = [np.frombuffer(w, np.uint64) for w in table.column("words").to_pylist()]
+            found: list[tuple[int, int]] = []
+            cell, start, known, flags, root = -1, 0, sets[0], sets[0], ids
+            bounds = np.zeros(1, np.int64)
+            for lo, hi, i, at in _candidates(table, least, percent):
+                if cell != lo:
+                    cell, start = lo, lo
+                    bounds = np.concatenate(([0], np.cumsum([len(s) for s in sets[lo:hi]])))
+                    distinct, known = np.unique(np.concatenate(sets[lo:hi]), return_inverse=True)
+                    flags = np.zeros(len(distinct), np.int64)
+                    root = table.column("component").to_numpy()[lo:hi].copy()
+                at, i = at - start, i - start
+                own = known[bounds[i] : bounds[i + 1]]
+                flags[own] = 1
+                at = at[root[at] != root[i]]
+                if len(at):
+                    first = int(at[0])
+                    inside = flags[known[bounds[first] : bounds[int(at[-1]) + 1]]]
+                    shared = np.add.reduceat(inside, bounds[first : int(at[-1]) + 1] - bounds[first])[at - first]
+                    total = len(own) + np.diff(bounds)[at] - shared
+                    for j in at[100 * shared >= percent * total].tolist():
+                        if root[j] != root[i]:
+                            found.append((ids[start + i], ids[start + j]))
+                            root[root == root[j]] = root[i]
+                flags[own] = 0
             if found:
-                a, b = (np.concatenate(x) for x in zip(*found, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+                a, b = zip(*found, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return across
+    return confirm
 
 
 def _set_maker(size: int):
@@ -180,15 +232,10 @@ def _confirm(percent: int):
     return confirm
 
 
-def _confirmed(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The links among candidate pairs. Sets are made only of documents that are in a pair."""
-    needed = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = docs.select("doc_id", "text").join(needed, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    sets = kept(texts.mapInArrow(_set_maker(size), "doc_id long, words binary"), "sets")
-    both = pairs
-    for side in ("a", "b"):
-        both = both.join(sets.select(F.col("doc_id").alias(side), F.col("words").alias(f"words_{side}")), side)
-    return kept(both.select("a", "b", "words_a", "words_b").mapInArrow(_confirm(percent), "a long, b long"), "links")
+def _sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
+    """Shingle sets of the documents asked for."""
+    texts = docs.select("doc_id", "text").join(ids.distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return texts.mapInArrow(_set_maker(size), "doc_id long, words binary")
 
 
 def _cut(tree: Column, rows: Column, order: Column, doc: Column, depth: int) -> Column:
@@ -223,14 +270,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     trees = (
         usable.join(classes.select(F.col("class").alias("doc_id")), "doc_id", "left_semi")
         .dropDuplicates(["doc_id"])
-        .select("doc_id", "n_shingles", "sig", F.posexplode(F.arrays_zip("keys", "orders")).alias("tree", "at"))
-        .select("doc_id", "n_shingles", "sig", "tree", F.col("at.keys").alias("key"), F.col("at.orders").alias("order"))
-    )
-    counts = signed.where("n_shingles > 0 and doc_id is not null").join(
-        classes.select(F.col("class").alias("doc_id")), "doc_id", "left_semi"
-    ).dropDuplicates(["doc_id"]).select(F.posexplode("keys").alias("tree", "key")).groupBy("tree", "key").agg(
-        F.count("*").alias("rows")
+        .select("doc_id", "n_shingles", "sig", "keys", F.posexplode("orders").alias("tree", "order"))
+        .withColumn("key", F.col("keys")[F.col("tree")])
     )
+    counts = trees.groupBy("tree", "key").agg(F.count("*").alias("rows"))
     regions = kept(trees.join(counts.where("rows > 1"), ["tree", "key"]), "regions")
 
     cut = _cut(F.col("tree"), F.col("rows"), F.col("order"), F.col("doc_id"), depth)
@@ -254,7 +297,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         .mapInArrow(_near(least), "a long, b long")
     )
     pairs = kept(neighbours.distinct(), "pairs")
-    links = _confirmed(docs, pairs, size, percent)
+    sets = kept(_sets(docs, pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")), size), "sets")
+    for side in ("a", "b"):
+        pairs = pairs.join(sets.select(F.col("doc_id").alias(side), F.col("words").alias(f"words_{side}")), side)
+    links = pairs.select("a", "b", "words_a", "words_b").mapInArrow(_confirm(percent), "a long, b long")
     first = components(links)
 
     labelled = (
@@ -276,12 +322,17 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("two", F.col("other") != F.col("block"))
         .withColumn("cell", F.least("block", "other") * F.col("blocks") + F.greatest("block", "other"))
-        .select("tree", "key", "cell", "block", "two", "doc_id", "n_shingles", "component", "sig")
-        .repartition("tree", "key", "cell")
-        .sortWithinPartitions("tree", "key", "cell")
+        .select("tree", "key", "cell", "block", "two", "doc_id", "n_shingles", "component", "sig", "keys")
+    )
+    promising = cells.repartition(*CELL).sortWithinPartitions(*CELL).mapInArrow(_across(least, percent), cells.schema)
+    promising = kept(promising, "cells")
+    sets = _sets(docs, promising.select("doc_id"), size)
+    links = (
+        promising.join(sets, "doc_id")
+        .repartition(*CELL)
+        .sortWithinPartitions(*CELL)
+        .mapInArrow(_confirm_cells(least, percent), "a long, b long")
     )
-    more = cells.mapInArrow(_across(least, percent), "a long, b long").distinct().join(pairs, ["a", "b"], "left_anti")
-    links = _confirmed(docs, kept(more, "pairs"), size, percent)
     for side in ("a", "b"):
         label = first.select(F.col("node").alias(side), F.col("component").alias(f"c_{side}"))
         links = links.join(label, side, "left").withColumn(side, F.coalesce(f"c_{side}", side)).drop(f"c_{side}")

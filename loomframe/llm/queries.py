@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomframe.llm.cells import finite
 from loomframe.llm.html_text import extract
+from loomframe.llm.inner_products import top_inner_products
 from loomframe.llm.lsh_forest import near_duplicates
 from loomframe.llm.mixing import mix
 from loomframe.llm.quality import fit, held_out, score_quality
+from loomframe.llm.rp_forest import nearest
 from loomframe.llm.suffix_dedup import repeated_spans
 from loomframe.llm.url_filter import Rule, filter_urls
 
@@ -107,3 +110,33 @@ SITES = [
 )
 def op6_url_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), SITES)
+
+
+@query()
+def op8_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    return nearest(vectors, vectors.where("vec_id % 100 = 0"), k=10)
+
+
+@query(
+    """
+    WITH whole AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    ), scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id,
+            list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+        FROM whole q JOIN whole c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+    )
+    SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+    FROM scored
+    QUALIFY rank <= 10
+    """
+)
+def op10_inner_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").where(finite(F.col("embedding")))
+    whole = F.transform("embedding", lambda x: F.floor(1024 * x.cast("double")).cast("long"))
+    vectors = vectors.select("vec_id", whole.alias("vector"))
+    return top_inner_products(vectors, vectors.where("vec_id % 100 = 0"), k=10)

@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomframe.llm.common import group_bounds, kept, mixed, prefix_sums, span_hash, whole_groups
+from loomframe.llm.common import chunks, group_bounds, kept, mixed, prefix_sums, span_hash, whole_groups
 
 LENGTH = 200
 GRAM = 25
@@ -38,6 +38,8 @@ WIDTH = LENGTH - GRAM + 1
 PLACE = 28
 #: Surroundings of a bucket that one task compares.
 LARGE = 2000
+#: Surroundings that are refined at once, whole buckets.
+PART = 1000
 
 ANCHORS = "gram long, around long, doc long, at int, left short, right short"
 MARK = "lo int, hi int, gram long, at int, settled boolean, surroundings long"
@@ -165,22 +167,27 @@ def _runs(owner: np.ndarray, start: np.ndarray) -> np.ndarray:
 
 def _refine(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Repeated spans of surroundings that are alone, from the windows they share with others of their bucket."""
-    for table in whole_groups(batches, ["gram"], 2000):
-        texts = table.column("around").to_pylist()
-        gram, doc, lo = (table.column(c).to_numpy() for c in ("gram", "doc", "lo"))
-        left, settled = table.column("left").to_numpy(), table.column("settled").to_numpy()
-        bounds = group_bounds(gram)
-        group = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-        bucket, owner, start = window_buckets(texts)
-        bucket = _named(bucket, group[owner], left[owner] - start)
-        repeated = (np.bincount(bucket)[bucket] > 1) & ~settled[owner]
-        owner, start = owner[repeated], start[repeated]
-        if len(owner):
-            runs = _runs(owner, start)
-            first, last = runs[:-1], runs[1:] - 1
-            begin = lo[owner[first]] + start[first]
-            end = lo[owner[last]] + start[last] + LENGTH
-            yield pa.RecordBatch.from_arrays([pa.array(doc[owner[first]]), pa.array(begin.astype(np.int32)), pa.array(end.astype(np.int32))], names=["doc", "lo", "hi"])
+    for table in whole_groups(batches, ["gram"]):
+        bounds = group_bounds(table.column("gram").to_numpy())
+        for first, last in chunks(np.diff(bounds), PART):
+            part = table.slice(bounds[first], bounds[last] - bounds[first])
+            group = np.repeat(np.arange(last - first), np.diff(bounds[first : last + 1]))
+            yield from _repeated(part, group)
+
+
+def _repeated(part: pa.Table, group: np.ndarray) -> Iterator[pa.RecordBatch]:
+    doc, lo, left, settled = (part.column(c).to_numpy() for c in ("doc", "lo", "left", "settled"))
+    bucket, owner, start = window_buckets(part.column("around").to_pylist())
+    bucket = _named(bucket, group[owner], left[owner] - start)
+    repeated = (np.bincount(bucket)[bucket] > 1) & ~settled[owner]
+    owner, start = owner[repeated], start[repeated]
+    if len(owner):
+        runs = _runs(owner, start)
+        first, last = runs[:-1], runs[1:] - 1
+        begin = lo[owner[first]] + start[first]
+        end = lo[owner[last]] + start[last] + LENGTH
+        columns = [pa.array(doc[owner[first]]), pa.array(begin.astype(np.int32)), pa.array(end.astype(np.int32))]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc", "lo", "hi"])
 
 
 def _windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

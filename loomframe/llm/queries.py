@@ -14,6 +14,7 @@ from loomframe.llm.lsh_forest import near_duplicates
 from loomframe.llm.mixing import mix
 from loomframe.llm.quality import fit, held_out, score_quality
 from loomframe.llm.rp_forest import nearest
+from loomframe.llm.segmentation import decode_ids, encode_texts
 from loomframe.llm.suffix_dedup import repeated_spans
 from loomframe.llm.url_filter import Rule, filter_urls
 
@@ -118,6 +119,24 @@ def op8_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(vectors, vectors.where("vec_id % 100 = 0"), k=10)
 
 
+#: The model of pieces; a parameter of the operator, read on the driver.
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@query()
+def op9_nbest_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = decode_ids(encode_texts(docs, PIECES, n=3), PIECES)
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_pieces"),
+        "score",
+        F.col("nbest.score").alias("nbest_scores"),
+        "ids",
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("restored"),
+    )
+
+
 @query(
     """
     WITH whole AS (

@@ -54,7 +54,7 @@ class Pieces:
         self.longest = max(map(len, self.texts))
         self.known = dict(zip(self.texts, zip(self.ids, self.scores, strict=True), strict=True))
         #: Below every piece, so that bytes are used only where there is no other way.
-        self.byte_score = min(s for s in self.scores if s > -1e6) - 10
+        self.byte_score = min(self.scores) - 10
         if any("\n" in t or MARK in t.lstrip(MARK) for t in self.texts):
             raise ValueError("pieces that lead over a space or a line feed are not supported")
 
@@ -63,10 +63,13 @@ class Pieces:
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         every = range(model.get_piece_size())
         plain = [i for i in every if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
+        scores = [model.get_score(i) for i in plain]
+        # Some models score pieces that are there for completeness by a huge penalty; they count as below all others.
+        least = min(s for s in scores if s > -1e6) - 10
         return Pieces(
             [model.id_to_piece(i) for i in plain],
             plain,
-            [model.get_score(i) for i in plain],
+            [max(s, least) for s in scores],
             [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)],
         )
 

@@ -150,6 +150,8 @@ def mix(
 ) -> DataFrame:
     """``doc_id``, ``size``, ``source_size``, ``target``, ``copies`` and ``taken`` of every row of ``docs`` (doc_id, text, source).
 
+    ``content`` identifies a row by a hash of these three columns.
+
     ``size`` counts words, ``taken`` the words taken: ``copies`` times ``size``, and
     for at most one document of a source a part of a further copy, so that the
     source meets its target to a word. Without ``part`` that document is taken
@@ -203,9 +205,22 @@ def mix(
     whole = F.when(F.col("chance") > 1 - NEAR, 1).otherwise(0)
     return decided.select(
         "doc_id",
+        "content",
         "size",
         F.col("source_size").cast("long").alias("source_size"),
         "target",
         (F.col("sure") + whole).cast("long").alias("copies"),
         (F.col("sure") * F.col("size") + F.round(F.col("chance") * F.col("size"))).cast("long").alias("taken"),
     )
+
+
+def take(docs: DataFrame, **how) -> DataFrame:
+    """The rows of ``docs`` as often as ``mix`` takes them whole: the mixed corpus, with the same columns.
+
+    Repeated rows are drawn one by one and come out as often as all of them together are taken.
+    """
+    content = F.xxhash64("doc_id", F.col("source").cast("string"), F.col("text").cast("string"))
+    copies = mix(docs, part=False, **how).groupBy("content").agg(F.sum("copies").cast("int").alias("copies"))
+    rows = docs.withColumn("content", content).join(copies.where("copies > 0"), "content").dropDuplicates(["content"])
+    every = F.explode(F.sequence(F.lit(1), F.col("copies")))
+    return rows.withColumn("copy", every).select(*docs.columns)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomframe.llm import secrets
 from loomframe.llm.cells import finite
 from loomframe.llm.html_text import extract
 from loomframe.llm.inner_products import top_inner_products
@@ -66,7 +67,7 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op5_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents")).drop("copies")
+    return mix(table(spark, sf_dir, "documents")).drop("copies", "content")
 
 
 #: The rules of sites.
@@ -113,6 +114,14 @@ def op6_url_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), SITES)
 
 
+@query()
+def op7_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    forest = secrets.fit(secrets.labelled_findings(spark))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan(docs, forest).select("doc_id", F.posexplode("findings").alias("place", "found"))
+    return found.select("doc_id", "place", F.col("found.text").alias("candidate"), "found.score", "found.secret")
+
+
 @query()
 def op8_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))

@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 
 from loomframe.sinks.files import scratch_dir
@@ -87,6 +88,20 @@ def chunks(lengths: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
         yield first, len(lengths)
 
 
+def pack_texts(key: str):
+    """A function for ``mapInArrow``: the rows' ``key`` and their compressed ``text``, for a shuffle of texts."""
+
+    def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                packed = [packer.compress(t) for t in utf8(part.column("text"))]
+                yield pa.RecordBatch.from_arrays([part.column(key), pa.array(packed, pa.binary())], names=[key, "packed"])
+
+    return pack
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """Texts as bytes; null is empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

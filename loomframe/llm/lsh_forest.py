@@ -25,11 +25,12 @@ from math import exp, log
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from loomframe.llm.common import chunks, group_bounds, kept, mixed, utf8, whole_groups
+from loomframe.llm.common import chunks, group_bounds, kept, mixed, pack_texts, utf8, whole_groups
 from loomframe.llm.components import components
 from loomframe.llm.shingles import minhash_seeds, minhashes, shingle_set
 
@@ -205,14 +206,13 @@ def _confirm_cells(least: int, percent: int):
 
 def _set_maker(size: int):
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        opener = zstandard.ZstdDecompressor()
         for batch in batches:
-            texts = utf8(batch.column("text"))
-            for lo, hi in chunks(np.fromiter(map(len, texts), np.int64, len(texts)), 2 << 20):
-                sets = [shingle_set(t, size).tobytes() for t in texts[lo:hi]]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(lo, hi - lo).cast(pa.int64()), pa.array(sets, pa.binary())],
-                    names=["doc_id", "words"],
-                )
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                sets = [shingle_set(opener.decompress(t), size).tobytes() for t in part.column("packed").to_pylist()]
+                columns = [part.column("doc_id"), pa.array(sets, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "words"])
 
     return make
 
@@ -232,12 +232,6 @@ def _confirm(percent: int):
     return confirm
 
 
-def _sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """Shingle sets of the documents asked for."""
-    texts = docs.select("doc_id", "text").join(ids.distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return texts.mapInArrow(_set_maker(size), "doc_id long, words binary")
-
-
 def _cut(tree: Column, rows: Column, order: Column, doc: Column, depth: int) -> Column:
     """What splits the sorted order of a region that is too large: one further value, two ..., then the document."""
     deeper = F.lit("")
@@ -265,22 +259,27 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = kept(docs.mapInArrow(_signer(size, depth), SIGNED), "signed")
     usable = signed.where("doc_id is not null and n_shingles > 0")
-    classes = usable.groupBy("h1", "h2", "n_shingles").agg(F.min("doc_id").alias("class"))
-    # One row of every class: the signature is that of any member.
-    trees = (
-        usable.join(classes.select(F.col("class").alias("doc_id")), "doc_id", "left_semi")
-        .dropDuplicates(["doc_id"])
-        .select("doc_id", "n_shingles", "sig", "keys", F.posexplode("orders").alias("tree", "order"))
-        .withColumn("key", F.col("keys")[F.col("tree")])
-    )
-    counts = trees.groupBy("tree", "key").agg(F.count("*").alias("rows"))
-    regions = kept(trees.join(counts.where("rows > 1"), ["tree", "key"]), "regions")
-
+    classes = kept(usable.groupBy("h1", "h2", "n_shingles").agg(F.min("doc_id").alias("class")), "classes")
+    # One row of every class: the signature is that of any member. Only keys are moved to find shared regions. What
+    # these joins look for grows with the corpus, so none of it is broadcast.
+    heads = classes.select(F.col("class").alias("doc_id"))
+    keys = usable.select("doc_id", "keys").join(heads.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    places = keys.select("doc_id", F.posexplode("keys").alias("tree", "key"))
+    counts = places.groupBy("tree", "key").agg(F.count("*").alias("rows")).where("rows > 1")
+    regions = kept(places.join(counts.hint("merge"), ["tree", "key"]), "regions")
+    sharing = kept(regions.select("doc_id").distinct(), "sharing")
+    signs = usable.select("doc_id", "n_shingles", "sig", "keys", "orders")
+    signs = kept(signs.join(sharing.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "signs")
+    texts = docs.mapInArrow(pack_texts("doc_id"), "doc_id long, packed binary")
+    texts = texts.join(sharing.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    sets = kept(texts.mapInArrow(_set_maker(size), "doc_id long, words binary"), "sets")
+
+    chained = regions.where(F.col("tree") < CHAINS).join(signs.hint("merge"), "doc_id")
+    chained = chained.withColumn("order", F.col("orders")[F.col("tree")])
     cut = _cut(F.col("tree"), F.col("rows"), F.col("order"), F.col("doc_id"), depth)
     order = Window.partitionBy("tree", "key", "cut").orderBy("order", "doc_id")
     neighbours = (
-        regions.where(F.col("tree") < CHAINS)
-        .withColumn("cut", cut)
+        chained.withColumn("cut", cut)
         .select(
             F.col("doc_id").alias("x"),
             F.lead("doc_id").over(order).alias("y"),
@@ -297,18 +296,14 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         .mapInArrow(_near(least), "a long, b long")
     )
     pairs = kept(neighbours.distinct(), "pairs")
-    sets = kept(_sets(docs, pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")), size), "sets")
     for side in ("a", "b"):
-        pairs = pairs.join(sets.select(F.col("doc_id").alias(side), F.col("words").alias(f"words_{side}")), side)
+        words = sets.select(F.col("doc_id").alias(side), F.col("words").alias(f"words_{side}"))
+        pairs = pairs.join(words.hint("merge"), side)
     links = pairs.select("a", "b", "words_a", "words_b").mapInArrow(_confirm(percent), "a long, b long")
     first = components(links)
 
-    labelled = (
-        regions.join(first.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-        .withColumn("component", F.coalesce("component", "doc_id"))
-        .drop("order", "rows")
-    )
-    labelled = kept(labelled, "labelled")
+    labelled = regions.join(first.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    labelled = kept(labelled.withColumn("component", F.coalesce("component", "doc_id")), "labelled")
     apart = (
         labelled.groupBy("tree", "key")
         .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("rows"))
@@ -318,6 +313,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     block = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("blocks")).cast("int")
     cells = (
         labelled.join(apart, ["tree", "key"])
+        .join(signs.hint("merge"), "doc_id")
         .withColumn("block", block)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("two", F.col("other") != F.col("block"))
@@ -326,9 +322,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     )
     promising = cells.repartition(*CELL).sortWithinPartitions(*CELL).mapInArrow(_across(least, percent), cells.schema)
     promising = kept(promising, "cells")
-    sets = _sets(docs, promising.select("doc_id"), size)
     links = (
-        promising.join(sets, "doc_id")
+        promising.join(sets.hint("merge"), "doc_id")
         .repartition(*CELL)
         .sortWithinPartitions(*CELL)
         .mapInArrow(_confirm_cells(least, percent), "a long, b long")

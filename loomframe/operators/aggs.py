@@ -87,11 +87,13 @@ def salt(df: DataFrame, salts: int) -> Column:
 def salted_agg(df: DataFrame, keys: Keys, col: str, salts: int = 16) -> DataFrame:
     """Sum and count per key in two stages, first per (key, salt).
 
-    For a key so hot that even one row per task is too much for one reducer.
+    For a key so hot that even one row per task is too much for one reducer. The salt
+    is the task's, so a task sends one row per key into the first stage.
     """
     keys = _list(keys)
     narrow = df.select(*keys, col)
-    part = narrow.withColumn("_salt", salt(narrow, salts)).groupBy(*keys, "_salt")
+    task = F.pmod(F.spark_partition_id(), F.lit(salts))
+    part = narrow.withColumn("_salt", task).groupBy(*keys, "_salt")
     return (
         part.agg(F.sum(col).alias("_sum"), F.count(col).alias("_count"))
         .groupBy(*keys)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomframe.operators.aggs import salt
-from loomframe.operators.layout import hot_keys
+from loomframe.operators.layout import hot_hashes
 
 
 def without(left: DataFrame, right: DataFrame, on: str | list[str]) -> DataFrame:
@@ -54,31 +54,36 @@ def salted_join(
     on: list[str],
     salts: int = 16,
     how: str = "inner",
-    share: float = 0.01,
+    share: float = 1e-3,
     min_rows: int = 1_000_000,
 ) -> DataFrame:
     """Equi-join in which the rows of hot keys are spread over ``salts`` buckets.
 
-    Only keys that hold more than ``share`` of ``big`` are spread, and only their
-    rows of ``small`` are repeated, once per bucket. ``how`` is inner or left.
-    Rows of ``big`` with a NULL key match nothing and are spread as well.
+    Adaptive execution splits the hot keys of an inner join by itself; this is for
+    what it leaves whole. Keys that seem to hold more than ``share`` of ``big`` in one
+    pass of a sketch are spread, and only their rows of ``small`` are repeated, once
+    per bucket; spreading one more or less changes nothing in the result. ``how`` is
+    inner or left. Rows of ``big`` with a NULL key match nothing and are spread as well.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be inner or left, not {how}")
-    hot = F.broadcast(
-        hot_keys(big.select(*on), on, share, min_rows).withColumn("_hot", F.lit(True))
-    )
+    kinds = {c: big.schema[c].dataType for c in on}
+    small = small.withColumns({c: F.col(c).cast(kinds[c]) for c in on})
+    hashes = hot_hashes(big.select(*on), on, share, min_rows)
+    hot = F.broadcast(hashes.select("_hash", F.lit(True).alias("_hot")))
+    hashed = F.xxhash64(*on).alias("_hash")
     no_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
-    left = big.join(hot, on, "left").withColumn(
+    left = big.select("*", hashed).join(hot, "_hash", "left").withColumn(
         "_salt", F.when(F.col("_hot") | no_key, salt(big, salts)).otherwise(0)
     )
     last = F.when(F.col("_hot"), F.lit(salts - 1)).otherwise(0)
     right = (
-        small.join(hot, on, "left")
+        small.select("*", hashed)
+        .join(hot, "_hash", "left")
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), last)))
-        .drop("_hot")
+        .drop("_hot", "_hash")
     )
-    joined = left.drop("_hot").join(right, [*on, "_salt"], how).drop("_salt")
+    joined = left.drop("_hot", "_hash").join(right, [*on, "_salt"], how).drop("_salt")
     return joined.select(*big.columns, *[c for c in small.columns if c not in on])
 
 
@@ -106,9 +111,9 @@ def pairs(
     cols = {by: F.col(by), "item": F.col(item)} | ({"value": F.col(value)} if value else {})
     rows = df.select(*[c.alias(n) for n, c in cols.items()])
     rows = rows.where(F.col(by).isNotNull() & F.col("item").isNotNull())
-    n_rows = F.count("*")
+    # The count of all rows, but it needs every column: so the branches share their input's shuffle.
+    n_rows = F.count("item")
     if value:
-        # The same count, but it needs every column: so the branches share their input's shuffle.
         n_rows = F.count("value") + F.count_if(F.col("value").isNull())
     counts = rows.groupBy(by).agg(n_rows.alias("_n"))
     large = counts.where(F.col("_n") > block)

@@ -40,29 +40,50 @@ def top_per_group(
     return df.withColumn(name, rank).where(F.col(name) <= n)
 
 
+#: Cut points are looked up in two steps of this size.
+STEP = 16
+
+
 def slice_hot(
     df: DataFrame,
     by: str,
     order: str,
-    slices: int = 1024,
-    share: float = 0.01,
+    share: float = 1e-4,
     min_rows: int = 1_000_000,
     name: str = "slice",
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Add a slice number: 0 for ordinary groups, 1 and up for parts of hot ones.
 
-    A hot group has more than ``share`` of all rows and more than ``min_rows``. Its
-    range of ``order`` is cut into ``slices`` parts of equal width, so at most
-    ``slices / share`` slices exist in total. Slice numbers grow with ``order``, and
-    equal values are never parted.
+    A hot group has more than ``share`` of all rows and more than ``min_rows``. It is
+    cut at the 255 quantiles of its own ``order`` values, so that its slices hold about
+    equally many rows wherever the values lie; a burst or one odd date costs nothing.
+    Slice numbers grow with ``order``. Equal values are never parted, and NULL goes first.
+
+    ``hot`` takes the result of ``hot_cuts``, so that one search serves several calls.
     """
     at = seconds_of(df, order)
-    extra = (F.min(at).alias("_lo"), F.max(at).alias("_hi"))
-    hot = F.broadcast(hot_keys(df.select(by, order), [by], share, min_rows, extra))
-    width = (F.col("_hi") - F.col("_lo") + 1) / F.lit(slices)
-    part = F.floor((at - F.col("_lo")) / width).cast("int")
-    number = F.when(F.col("_lo").isNull(), 0).otherwise(F.coalesce(part, F.lit(0)) + 1)
-    return attach(df, hot, [by]).withColumn(name, number).select(*df.columns, name)
+    if hot is None:
+        hot = hot_cuts(df, by, order, share, min_rows)
+    coarse = F.size(F.filter("_coarse", lambda x: x < at))
+    fine = F.size(F.filter(F.slice("_cuts", coarse * STEP + 1, STEP - 1), lambda x: x < at))
+    number = F.when(F.col("_cuts").isNull(), 0).otherwise(
+        F.when(at.isNull(), 1).otherwise(coarse * STEP + fine + 1)
+    )
+    return attach(df, F.broadcast(hot), [by]).withColumn(name, number.cast("int")).select(*df.columns, name)
+
+
+def hot_cuts(df: DataFrame, by: str, order: str, share: float = 1e-4, min_rows: int = 1_000_000) -> DataFrame:
+    """The hot groups of ``df`` with the quantiles of ``order``: at most ``1 / share`` rows of 2 kB."""
+    parts = STEP * STEP
+    at = seconds_of(df, order)
+    shares = ", ".join(f"{i / parts}D" for i in range(1, parts))
+    cuts = F.expr(f"approx_percentile(_at, array({shares}), {20 * parts})")
+    rows = df.select(by, at.cast("double").alias("_at"))
+    hot = hot_keys(rows, [by], share, min_rows, (cuts.alias("_cuts"),))
+    every = F.expr(f"filter(_cuts, (x, i) -> (i + 1) % {STEP} = 0)")
+    none = F.array().cast("array<double>")
+    return hot.select(by, F.coalesce(every, none).alias("_coarse"), F.coalesce("_cuts", none).alias("_cuts"))
 
 
 def previous(
@@ -81,13 +102,13 @@ def previous(
         .groupBy(by, slice)
         .agg(F.max_by(col, F.struct(*order)).alias("_last"))
     )
-    # One row per slice of a hot group, a number that slice_hot bounds.
+    # One row per slice of a hot group; a value may be of any size, so Spark chooses how to join.
     carry = last.withColumn("_carry", F.lag("_last").over(_ordered([by], [slice]))).drop("_last")
     within = _ordered([by, slice], order)
     return (
         attach(
             df.withColumns({"_before": F.lag(col).over(within), "_row": F.row_number().over(within)}),
-            F.broadcast(carry),
+            carry,
             [by, slice],
         )
         .withColumn(name, F.when(F.col("_row") == 1, F.col("_carry")).otherwise(F.col("_before")))
@@ -147,12 +168,18 @@ def rolling_mean(
     """Mean of ``col`` over the last ``days`` day numbers, this one included.
 
     Counts days by their number and not by rows, so days may be missing or repeat.
-    Values are first summed per day: what reaches a window is one row per group
-    and day, whatever the number of rows behind it.
+    For groups with very many rows a day see ``rolling_mean_by_day``.
     """
+    recent = _ordered([by], [day]).rangeBetween(1 - days, Window.currentRow)
+    return df.withColumn(name, F.avg(col).over(recent))
+
+
+def rolling_mean_by_day(
+    df: DataFrame, by: str, day: str, col: str, days: int = 7, name: str = "rolling_average"
+) -> DataFrame:
+    """The same, from sums per day: what reaches a window is one row per group and day, however many stand behind it."""
     per_day = df.groupBy(by, day).agg(F.sum(col).alias("_sum"), F.count(col).alias("_count"))
     recent = _ordered([by], [day]).rangeBetween(1 - days, Window.currentRow)
     count = F.sum("_count").over(recent)
     mean = F.when(count > 0, F.sum("_sum").over(recent) / count)
-    means = per_day.select(by, day, mean.alias(name))
-    return attach(df, means, [by, day])
+    return attach(df, per_day.select(by, day, mean.alias(name)), [by, day])

@@ -22,16 +22,13 @@ def item_similarity(
     """Cosine score and number of common users for every pair of items.
 
     Returns ``item1 < item2``, ``score``, ``num_pairs``, for pairs with at least
-    ``min_pairs`` common users. An item with fewer ratings than that cannot be in
-    such a pair and is left out before pairing, which changes no result.
+    ``min_pairs`` pairs of ratings by one user. A user who rated an item several times
+    gives as many pairs, so an item rated once can be in a pair with more.
 
     Pairs are folded into partial sums in the task that forms them; only one row
     per item pair and task is shuffled. Integer ratings keep the sums exact.
     """
     rows = ratings.select(user, item, F.col(rating).cast(_sum_type(ratings, rating)).alias(rating))
-    if min_pairs > 1:
-        rated = rows.groupBy(item).agg(F.count("*").alias("_n")).where(F.col("_n") >= min_pairs)
-        rows = rows.join(rated.select(item), item, "left_semi")
     paired = pairs(rows, user, item, rating, block)
     sims = paired.groupBy("item1", "item2").agg(*_score(F.col("value1"), F.col("value2")))
     return sims if min_pairs <= 1 else sims.where(F.col("num_pairs") >= min_pairs)

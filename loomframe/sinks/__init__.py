@@ -4,7 +4,7 @@ from loomframe.sinks.files import (
     write_lines,
     write_parquet,
     write_partitioned,
-    write_single,
+    write_files,
 )
 from loomframe.sinks.tables import (
     count_rows,
@@ -35,5 +35,5 @@ __all__ = [
     "write_lines",
     "write_parquet",
     "write_partitioned",
-    "write_single",
+    "write_files",
 ]

@@ -37,17 +37,13 @@ def write_lines(df: DataFrame, path: str, col: str = "value", mode: str = "error
     df.select(F.col(col).cast("string").alias("value")).write.mode(mode).text(path)
 
 
-def write_single(df: DataFrame, path: str, max_rows: int = 1_000_000) -> int:
-    """CSV in one file, or in as few files of about ``max_rows`` as the data needs.
+def write_files(df: DataFrame, path: str, files: int) -> None:
+    """CSV in ``files`` files with a header, whatever the number of rows.
 
-    One file means one task, so the row count is checked first: only an output
-    of at most ``max_rows`` goes through a single one. Returns the file count.
+    Every file is written by one task, so one file is a choice for small results
+    and the caller's to make.
     """
-    rows = df.count()
-    files = max(1, -(-rows // max_rows))
-    compact = df.coalesce(1) if files == 1 else df.repartition(files)
-    compact.write.csv(path, header=True)
-    return files
+    df.repartition(files).write.csv(path, header=True)
 
 
 def write_partitioned(

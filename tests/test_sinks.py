@@ -26,9 +26,9 @@ def test_parquet_csv_and_text(spark, tmp_path):
 
 def test_single_file_only_below_the_limit(spark, tmp_path):
     df = spark.range(100).repartition(7)
-    assert sinks.write_single(df, str(tmp_path / "one")) == 1
+    sinks.write_files(df, str(tmp_path / "one"), 1)
     assert len(parts(str(tmp_path / "one"))) == 1
-    assert sinks.write_single(df, str(tmp_path / "few"), max_rows=30) == 4
+    sinks.write_files(df, str(tmp_path / "few"), 4)
     assert len(parts(str(tmp_path / "few"))) == 4
     assert spark.read.csv(str(tmp_path / "few"), header=True).count() == 100
 

@@ -29,7 +29,7 @@ SIMS_SQL = f"""
 
 def ratings(t: Tables):
     """One rating from 1 to 5 per customer and supplier, from the ordered quantities."""
-    lines = t.spread("lineitem", "l_orderkey", "l_linenumber")
+    lines = t.lineitem
     lines = lines.select("l_orderkey", "l_suppkey", "l_quantity")
     orders = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
     stars = F.ceil(F.col("l_quantity") / 10).cast("int")
@@ -118,7 +118,7 @@ WORDS_SQL = f"""
 
 @query(f"SELECT word, count(*) AS n FROM ({WORDS_SQL}) GROUP BY 1")
 def word_counts(t: Tables):
-    return count_words(t.spread("documents", "doc_id"), "text")
+    return count_words(t.documents, "text")
 
 
 @query(

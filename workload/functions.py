@@ -21,7 +21,7 @@ TOKENS_SQL = f"[x FOR x IN string_split_regex(text, '{WHITESPACE_SQL}') IF x <>
 
 
 def _documents(t: Tables):
-    return t.spread("documents", "doc_id")
+    return t.documents
 
 
 @query(

@@ -141,7 +141,7 @@ CLEAN_ORDERS_SQL = rf"""
 
 
 def dirty_orders(t: Tables):
-    lines = t.spread("lineitem", "l_orderkey", "l_linenumber")
+    lines = t.lineitem
     joined = lines.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
     line = F.col("l_linenumber") % 5
 

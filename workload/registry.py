@@ -7,8 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomframe.operators.layout import spread
-
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -25,10 +23,6 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
-    def spread(self, name: str, *keys: str) -> DataFrame:
-        """A table for work that is long per row, on as many tasks as there are cores."""
-        return spread(getattr(self, name), *keys)
-
 
 def day_text(col: str) -> Column:
     """The day of a timestamp as ``yyyy-MM-dd``."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 from loomframe.functions.numeric import exact_sum
 from loomframe.operators import clean as c
 from loomframe.operators.aggs import total_by
+from loomframe.operators.layout import reused
 from loomframe.operators.ordering import top_k
 from loomframe.sinks.files import write_partitioned
 
@@ -102,8 +105,31 @@ def order_etl(
     per customer is shuffled; top customers need the join just to leave out
     orders of unknown ones. ``digits`` sums amounts with that many decimals exactly.
     """
+    return _outputs(_kept_orders(orders, default_amount), customers, top, digits)
+
+
+@contextmanager
+def shared_order_etl(
+    orders: DataFrame,
+    customers: DataFrame,
+    default_amount: float = 100,
+    top: int = 3,
+    digits: int | None = None,
+) -> Iterator[OrderEtl]:
+    """``order_etl`` for several outputs: inside the ``with`` block orders are read and cleaned once.
+
+    The clean orders are kept in memory and on disk with their lineage and released at the end.
+    """
+    with reused(_kept_orders(orders, default_amount)) as kept, reused(customers) as known:
+        yield _outputs(kept, known, top, digits)
+
+
+def _kept_orders(orders: DataFrame, default_amount: float) -> DataFrame:
     kept = c.fill_const(orders, {"amount": default_amount}).where(F.col("date").isNotNull())
-    kept = c.dedupe(kept)
+    return c.dedupe(kept)
+
+
+def _outputs(kept: DataFrame, customers: DataFrame, top: int, digits: int | None) -> OrderEtl:
     total = F.sum("amount") if digits is None else exact_sum("amount", digits)
     spent = kept.groupBy("customer_id").agg(
         total.alias("total_spending"), F.count("amount").alias("n_orders")

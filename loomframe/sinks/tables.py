@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+#: Property of tables whose files were written for them.
+OWNED = "loomframe.owned"
+
+
 def _quoted(name: str) -> str:
     return ".".join(f"`{part}`" for part in name.split("."))
 
@@ -29,21 +33,44 @@ def create_table(
 def replace_table(df: DataFrame, name: str, fmt: str = "parquet", path: str | None = None) -> None:
     """Create the table or replace its whole content, also when ``df`` reads it.
 
-    The rows go to a new table first and take the name once they are complete, so
-    a failed write leaves the old table as it was. ``path`` holds the files of an
-    external table and has to be new for each replacement.
+    The rows go to files of their own first. A table of the same columns is then
+    pointed to them, which is one step of the catalog: its name always leads to the
+    old rows or to the new ones, and no byte is copied. Where columns differ the
+    name is given anew. The retired files are removed last, unless they are files that
+    were only registered. ``path`` holds the files and has to be new for each replacement.
     """
     spark = df.sparkSession
-    suffix = uuid.uuid4().hex[:12]
-    fresh, retired = f"{name}_new_{suffix}", f"{name}_old_{suffix}"
-    writer = df.write.format(fmt)
-    (writer.option("path", path) if path else writer).saveAsTable(fresh)
-    existed = spark.catalog.tableExists(name)
-    if existed:
-        spark.sql(f"ALTER TABLE {_quoted(name)} RENAME TO {_quoted(retired)}")
-    spark.sql(f"ALTER TABLE {_quoted(fresh)} RENAME TO {_quoted(name)}")
-    if existed:
-        drop_table(spark, retired)
+    base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    path = path or f"{base}/{name.rsplit('.', 1)[-1]}-{uuid.uuid4().hex}"
+    df.write.format(fmt).save(path)
+    if not spark.catalog.tableExists(name):
+        register_external(spark, name, path, fmt)
+        _own(spark, name)
+        return
+    owned = _property(spark, name, "Type") == "MANAGED" or OWNED in _property(spark, name, "Table Properties")
+    retired = _property(spark, name, "Location") if owned else ""
+    same = spark.table(name).dtypes == spark.read.format(fmt).load(path).dtypes
+    if same and _property(spark, name, "Provider").lower() == fmt.lower():
+        spark.sql(f"ALTER TABLE {_quoted(name)} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(name)
+    else:
+        drop_table(spark, name)
+        register_external(spark, name, path, fmt)
+    _own(spark, name)
+    if retired:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(retired)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _property(spark: SparkSession, name: str, key: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(name)}").where(F.col("col_name") == key)
+    found = rows.select("data_type").first()
+    return found[0] if found else ""
+
+
+def _own(spark: SparkSession, name: str) -> None:
+    """Mark the files of a table as written for it, so that a replacement may remove them."""
+    spark.sql(f"ALTER TABLE {_quoted(name)} SET TBLPROPERTIES ('{OWNED}' = 'true')")
 
 
 def register_external(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> None:

@@ -136,6 +136,26 @@ def item_similarity(t: Tables):
     return sims.withColumn("score", F.round("score", 9))
 
 
+@query(
+    """
+    WITH ratings AS (
+        SELECT o_custkey AS usr, l_suppkey AS item, CAST(ceil(l_quantity / 10) AS INTEGER) AS rating
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+    )
+    SELECT a.item AS item1, b.item AS item2, count(*) AS num_pairs, round(sum(a.rating * b.rating)
+        / (sqrt(sum(a.rating * a.rating)) * sqrt(sum(b.rating * b.rating))), 9) AS score
+    FROM ratings a JOIN ratings b ON a.usr = b.usr AND a.item < b.item GROUP BY 1, 2 HAVING count(*) >= 12
+    """
+)
+def item_similarity_min(t: Tables):
+    # A customer rates a supplier once for each order line, so ratings repeat.
+    orders = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("usr"))
+    stars = F.ceil(F.col("l_quantity") / 10).cast("int").alias("rating")
+    rated = t.lineitem.join(orders, "l_orderkey").select("usr", F.col("l_suppkey").alias("item"), stars)
+    sims = similarity_of(rated, "usr", "item", "rating", min_pairs=12)
+    return sims.withColumn("score", F.round("score", 9))
+
+
 @query(
     "SELECT strftime(ts, '%Y-%m-%d') AS day, "
     + ", ".join(

@@ -74,6 +74,26 @@ def join_self_pairs(t: Tables):
     return joins.pairs(t.lineitem, "l_orderkey", "l_partkey")
 
 
+@query(
+    """
+    WITH sized AS (SELECT p_size, p_partkey, p_partkey % 7 AS grade FROM part)
+    SELECT a.p_size, count(*) AS n, CAST(sum(a.p_partkey) AS BIGINT) AS lower_items,
+        CAST(sum(a.grade * b.grade) AS BIGINT) AS products
+    FROM sized a JOIN sized b ON a.p_size = b.p_size AND a.p_partkey < b.p_partkey
+    GROUP BY 1
+    """
+)
+def join_pairs_split(t: Tables):
+    # Blocks so small that every size of the parts table is cut into many cells.
+    sized = t.part.select("p_size", "p_partkey", (F.col("p_partkey") % 7).alias("grade"))
+    paired = joins.pairs(sized, "p_size", "p_partkey", "grade", block=3, hot_share=0.05)
+    return paired.groupBy("p_size").agg(
+        F.count("*").alias("n"),
+        F.sum("item1").alias("lower_items"),
+        F.sum(F.col("value1") * F.col("value2")).alias("products"),
+    )
+
+
 @query(
     """
     SELECT c_name, o_orderkey, l_linenumber, p_name

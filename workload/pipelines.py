@@ -283,6 +283,26 @@ def etl_top3(t: Tables):
     return _order_etl(t).top_customers
 
 
+@query(
+    f"""
+    WITH {ORDER_ETL_SQL}
+    SELECT 'city' AS report, city AS name, round(sum(amount), 2) AS amount FROM joined GROUP BY 2
+    UNION ALL SELECT 'segment', segment, round(avg(amount), 4) FROM joined GROUP BY 2
+    UNION ALL (
+        SELECT 'customer', CAST(customer_id AS VARCHAR), round(sum(amount), 2) FROM joined GROUP BY customer_id
+        ORDER BY 3 DESC, customer_id LIMIT 3
+    )
+    """
+)
+def etl_reports(t: Tables):
+    # All reports in one plan, which reads and cleans the orders once.
+    made = _order_etl(t)
+    city = made.sales_by_city.select(F.lit("city").alias("report"), F.col("city").alias("name"), F.col("total_sales").alias("amount"))
+    segment = made.average_by_segment.select(F.lit("segment"), "segment", F.round("avg_amount", 4))
+    customer = made.top_customers.select(F.lit("customer"), F.col("customer_id").cast("string"), "total_spending")
+    return city.union(segment).union(customer)
+
+
 # --- warehouse queries -----------------------------------------------------------
 
 

@@ -66,11 +66,39 @@ def ext_table(t: Tables):
     """
 )
 def describe_table(t: Tables):
+    # The schema is that of the given files, which are registered as they lie.
     name = _table_name("part_described")
-    sinks.replace_table(t.part, name, path=sinks.scratch_dir(t.spark, name))
+    sinks.register_external(t.spark, name, f"{t.sf_dir}/part.parquet")
     return sinks.describe(t.spark, name)
 
 
+@query("SELECT 1 AS databases, 1 AS tables, count(*) AS n_rows, CAST(sum(r_regionkey) AS BIGINT) AS keys FROM region")
+def table_lifecycle(t: Tables):
+    # A database with an empty typed table, filled from the given rows, read, and dropped with all in it.
+    db, path = _table_name("geo"), sinks.scratch_dir(t.spark, "geo")
+    sinks.ensure_database(t.spark, db)
+    sinks.create_table(t.spark, f"{db}.regions", "r_regionkey int, r_name string")
+    t.region.select(F.col("r_regionkey").cast("int"), "r_name").write.insertInto(f"{db}.regions")
+    named = t.spark.sql(f"SHOW DATABASES LIKE '{db}'").agg(F.count("*").cast("int").alias("databases"))
+    tables = sinks.list_tables(t.spark, db).agg(F.count("*").cast("int").alias("tables"))
+    rows = t.spark.table(f"{db}.regions").agg(F.count("*").alias("n_rows"), F.sum("r_regionkey").alias("keys"))
+    report = named.select("databases", tables.scalar().alias("tables"), F.lit(1).alias("one"))
+    sinks.write_parquet(report.join(rows.withColumn("one", F.lit(1)), "one").drop("one"), path)
+    sinks.drop_table(t.spark, f"{db}.regions")
+    sinks.drop_database(t.spark, db)
+    return t.spark.read.parquet(path)
+
+
+@query("SELECT least(count(*), 7) AS n_rows, least(count(*), 7) AS known FROM nation")
+def table_preview(t: Tables):
+    # Which rows come first is open; each has to be one of the table.
+    name = _table_name("nation_preview")
+    sinks.register_external(t.spark, name, f"{t.sf_dir}/nation.parquet")
+    few = sinks.preview(t.spark, name, 7)
+    known = t.nation.select("n_nationkey", F.lit(1).alias("known"))
+    return few.join(known, "n_nationkey", "left").agg(F.count("*").alias("n_rows"), F.count("known").alias("known"))
+
+
 @query("SELECT count(*) AS n_rows FROM lineitem")
 def count_rows(t: Tables):
     return sinks.count_rows(t.lineitem)

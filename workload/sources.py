@@ -74,18 +74,27 @@ def src_dir(t: Tables):
     return sources.read_dir(t.spark, path, PART_TEXT)
 
 
-@query("SELECT n_regionkey AS region, count(*) AS n, true AS one_region_per_file FROM nation GROUP BY 1")
+@query(
+    """
+    SELECT CAST(n_regionkey AS INTEGER) AS region, count(*) AS n, CAST(1 AS BIGINT) AS regions_in_file,
+        CAST(n_regionkey AS VARCHAR) || '-of-the-world' AS folder
+    FROM nation GROUP BY n_regionkey
+    """
+)
 def src_filename(t: Tables):
     path = sinks.scratch_dir(t.spark, "nation-files")
     nation = t.nation.select("n_nationkey", "n_name", F.col("n_regionkey").alias("region"))
-    nation.repartition("region").write.option("header", True).partitionBy("region").csv(path)
-    read = sources.read_csv(t.spark, path, "n_nationkey int, n_name string, region int")
-    per_file = sources.with_source_file(read).groupBy("filename", "region").agg(
-        F.count("*").alias("n")
-    )
-    return per_file.groupBy("region").agg(
-        F.sum("n").alias("n"), (F.count("filename") >= 1).alias("one_region_per_file")
+    folders = nation.select("*", F.concat(F.col("region").cast("string"), F.lit("-of-the-world")).alias("folder"))
+    folders.repartition("folder").write.option("header", True).partitionBy("folder").csv(path)
+    # The region is in the rows, its folder only in the path of the file.
+    read = t.spark.read.schema("n_nationkey int, n_name string, region int").csv(f"{path}/*", header=True)
+    named = sources.with_source_file(read).withColumn("path", F.col("_metadata.file_path"))
+    folder = F.regexp_extract("path", "folder=([^/]*)/", 1)
+    regions = F.count_distinct("region")
+    per_file = named.groupBy("filename", folder.alias("folder")).agg(
+        F.count("*").alias("n"), regions.alias("regions_in_file"), F.max("region").alias("region")
     )
+    return per_file.select("region", "n", "regions_in_file", "folder")
 
 
 @query(
@@ -119,9 +128,48 @@ def src_malformed(t: Tables):
 )
 def src_range(t: Tables):
     # Order numbers without any line: the generated sequence minus the numbers in use.
-    last = t.orders.agg(F.max("o_orderkey")).first()[0]
+    # The bound stays in the plan: chunks of a thousand numbers up to it, each made long where it is used.
     used = t.lineitem.select(F.col("l_orderkey").alias("id"))
-    return without(sources.sequence(t.spark, 0, last + 1), used, "id")
+    last = F.col("last")
+    chunks = t.orders.agg(F.max("o_orderkey").alias("last")).where(last >= 0).select(
+        last, F.explode(F.sequence(F.lit(0), F.floor(last / 1000))).alias("chunk")
+    )
+    upper = F.least(F.col("chunk") * 1000 + 999, last)
+    ids = chunks.repartition("chunk").select(F.explode(F.sequence(F.col("chunk") * 1000, upper)).alias("id"))
+    return without(ids, used, "id")
+
+
+@query("SELECT CAST(c_custkey AS INTEGER) AS cust, c_nationkey AS nation, c_acctbal AS balance FROM customer")
+def src_no_header(t: Tables):
+    path = sinks.scratch_dir(t.spark, "customer-bare")
+    sinks.write_csv(t.customer.select("c_custkey", "c_nationkey", "c_acctbal"), path, header=False)
+    return sources.read_csv(t.spark, path, "cust int, nation int, balance double", header=False)
+
+
+@query("SELECT n_nationkey, 'Gebühr|' || n_name AS name, CAST(n_regionkey AS INTEGER) AS region FROM nation")
+def src_pipe_charset(t: Tables):
+    path = sinks.scratch_dir(t.spark, "nation-latin")
+    # A name that holds the separator and a letter outside ASCII, in ISO-8859-1.
+    named = t.nation.select("n_nationkey", F.concat(F.lit("Gebühr|"), "n_name").alias("name"), "n_regionkey")
+    named.write.csv(path, sep="|", encoding="ISO-8859-1")
+    schema = "n_nationkey int, name string, region int"
+    return sources.read_csv(t.spark, path, schema, header=False, sep="|", encoding="ISO-8859-1")
+
+
+@query("SELECT p_partkey, p_name || ' \"new\"' AS name, p_size FROM part")
+def src_quoted(t: Tables):
+    path = sinks.scratch_dir(t.spark, "part-quoted")
+    # Names with spaces between fields separated by spaces, and quotes within the quoted.
+    named = t.part.select("p_partkey", F.concat("p_name", F.lit(' "new"')).alias("name"), "p_size")
+    sinks.write_csv(named, path, header=False, sep=" ")
+    return sources.read_csv(t.spark, path, "p_partkey bigint, name string, p_size int", header=False, sep=" ")
+
+
+@query("SELECT CAST(s_suppkey AS INTEGER) AS s_suppkey, s_name, s_acctbal FROM supplier")
+def src_inferred(t: Tables):
+    path = sinks.scratch_dir(t.spark, "supplier-inferred")
+    sinks.write_csv(t.supplier.select("s_suppkey", "s_name", "s_acctbal"), path)
+    return sources.read_dir(t.spark, path)
 
 
 @query("SELECT p_partkey, p_brand, p_size FROM part WHERE p_size > 25")

@@ -109,3 +109,63 @@ def win_rolling_range(t: Tables):
 def sessionize(t: Tables):
     events = t.events.select("event_id", "user_id", "ts")
     return sessions_of(events, "user_id", "ts", tiebreak="event_id").drop("ts")
+
+
+# A third of the events belong to one user, one of them with a time far from all others.
+HOT_EVENTS_SQL = """
+    hot_events AS (
+        SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS user_id,
+            CASE WHEN event_id = 3 THEN TIMESTAMP '1971-01-01 00:00:00' ELSE CAST(ts AS TIMESTAMP) END AS ts,
+            CAST(round(value * 100) AS BIGINT) AS cents
+        FROM events
+    )
+"""
+#: Low limits, so that the small tables have hot users too.
+HOT = {"share": 0.05, "min_rows": 100}
+
+
+def hot_events(t: Tables):
+    user = F.when(F.col("event_id") % 3 == 0, 0).otherwise(F.col("user_id"))
+    early = F.lit("1971-01-01 00:00:00").cast(t.events.schema["ts"].dataType)
+    ts = F.when(F.col("event_id") == 3, early).otherwise(F.col("ts"))
+    cents = F.rint(F.col("value") * 100).cast("long")
+    return t.events.select("event_id", user.alias("user_id"), ts.alias("ts"), cents.alias("cents"))
+
+
+HOT_WINDOW = "OVER (PARTITION BY user_id ORDER BY ts, event_id"
+
+
+@query(
+    f"""
+    WITH {HOT_EVENTS_SQL}, flagged AS (
+        SELECT event_id, user_id, ts, CASE WHEN floor(epoch(ts)) - floor(epoch(lag(ts) {HOT_WINDOW}))) > 1800
+            THEN 1 ELSE 0 END AS fresh
+        FROM hot_events
+    )
+    SELECT event_id, user_id, CAST(sum(fresh) {HOT_WINDOW} ROWS UNBOUNDED PRECEDING) AS BIGINT) AS session_id
+    FROM flagged
+    """
+)
+def sessionize_hot(t: Tables):
+    events = hot_events(t).select("event_id", "user_id", "ts")
+    return sessions_of(events, "user_id", "ts", tiebreak="event_id", **HOT).drop("ts")
+
+
+@query(
+    f"""
+    WITH {HOT_EVENTS_SQL} SELECT event_id, user_id,
+        CAST(sum(cents) {HOT_WINDOW} ROWS UNBOUNDED PRECEDING) AS BIGINT) AS running_total
+    FROM hot_events
+    """
+)
+def win_running_sum_hot(t: Tables):
+    sliced = windows.slice_hot(hot_events(t), "user_id", "ts", **HOT)
+    summed = windows.running_sum(sliced, "user_id", ["ts", "event_id"], "cents", slice="slice")
+    return summed.select("event_id", "user_id", "running_total")
+
+
+@query(f"WITH {HOT_EVENTS_SQL} SELECT event_id, user_id, lag(cents) {HOT_WINDOW}) AS previous FROM hot_events")
+def win_lag_hot(t: Tables):
+    sliced = windows.slice_hot(hot_events(t), "user_id", "ts", **HOT)
+    found = windows.previous(sliced, "user_id", ["ts", "event_id"], "cents", slice="slice")
+    return found.select("event_id", "user_id", "previous")

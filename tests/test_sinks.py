@@ -91,3 +91,36 @@ def test_external_table_leaves_its_files(spark, tmp_path):
 def test_scratch_is_in_the_shared_folder(spark):
     a, b = sinks.scratch_dir(spark, "x"), sinks.scratch_dir(spark, "x")
     assert a != b and a.startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_failed_replacement_leaves_the_old_rows(spark, monkeypatch):
+    from loomframe.sinks import tables
+
+    name = "kept_rows"
+    sinks.replace_table(spark.range(3), name)
+    before = tables._property(spark, name, "Location")
+
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(tables, "_property", fail)
+    with pytest.raises(RuntimeError, match="lost"):
+        sinks.replace_table(spark.range(9), name)
+    monkeypatch.undo()
+    assert spark.table(name).count() == 3
+    sinks.replace_table(spark.table(name).union(spark.range(5)), name)
+    assert spark.table(name).count() == 8
+    assert tables._property(spark, name, "Location") != before
+    assert not os.path.exists(before.removeprefix("file:"))
+    sinks.replace_table(spark.range(2).selectExpr("id", "'x' AS other"), name)
+    assert spark.table(name).columns == ["id", "other"]
+    sinks.drop_table(spark, name)
+
+
+def test_registered_files_outlive_a_replacement(spark, tmp_path):
+    spark.range(4).write.parquet(f"{tmp_path}/given")
+    sinks.register_external(spark, "given_rows", f"{tmp_path}/given")
+    sinks.replace_table(spark.range(1), "given_rows", path=f"{tmp_path}/new")
+    assert spark.table("given_rows").count() == 1
+    assert spark.read.parquet(f"{tmp_path}/given").count() == 4
+    sinks.drop_table(spark, "given_rows")

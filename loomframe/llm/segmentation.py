@@ -9,8 +9,8 @@ scores and extends little else.
 No piece leads over the beginning of a space or over a line feed, so the lattice falls
 into units. Forward scores, the best way and the score of the second best are computed
 for all new units of many texts at once. The n best segmentations of a text differ from
-the best in at most ``n - 1`` units, those that lose least by their second best; the
-search runs on the lattice of these.
+the best in at most ``n - 1`` units, those that lose least by their second best. The
+search runs on the lattices of these and their ways are combined in the order of scores.
 """
 
 from __future__ import annotations
@@ -155,6 +155,7 @@ class Encoder:
 
     def forget(self) -> None:
         self.index: dict[str, int] = {}
+        self.ways: dict[str, list[tuple[float, list[int]]]] = {}
         self.score, self.loss, self.length = [np.zeros(0)], [np.zeros(0)], [np.zeros(0, np.int64)]
         self.ids = [np.zeros(0, np.int32)]
 
@@ -253,7 +254,7 @@ class Encoder:
         for held in (self.score, self.loss, self.length, self.ids):
             held[:] = [np.concatenate(held)]
         score, loss, length, ids = self.score[0], self.loss[0], self.length[0], self.ids[0]
-        begin = np.cumsum(length) - length
+        self.begin = begin = np.cumsum(length) - length
         get = self.index.__getitem__
         sizes, parts, ranked = [], [], []
         for text in units:
@@ -262,51 +263,43 @@ class Encoder:
             sizes.append(int(n.sum()))
             parts.append(np.repeat(begin[at] - (np.cumsum(n) - n), n) + np.arange(sizes[-1]))
             total = float(score[at].sum())
-            ranked.append([{"score": total, "n_pieces": sizes[-1], "swaps": []}, *self._others(text, at, total, sizes[-1], loss[at], n, ids, begin)])
+            ranked.append([{"score": total, "n_pieces": sizes[-1], "swaps": []}, *self._others(text, at, total, sizes[-1], loss[at])])
         flat = ids[np.concatenate(parts)] if parts else ids[:0]
         yield flat, np.array(sizes, np.int64), ranked
 
-    def _others(self, text: list[str], at: np.ndarray, total: float, size: int, loss: np.ndarray, length: np.ndarray, ids: np.ndarray, begin: np.ndarray) -> list[dict]:
+    def _others(self, text: list[str], at: np.ndarray, total: float, size: int, loss: np.ndarray) -> list[dict]:
         """The second to n-th best segmentation of a text as changes of the best."""
         if self.n < 2 or not len(at):
             return []
-        least = np.lexsort((np.arange(len(loss)), loss))[: self.n - 1] if len(loss) < 64 else None
-        if least is None:
-            border = np.partition(loss, self.n - 2)[self.n - 2]
-            close = np.flatnonzero(loss <= border)
-            least = close[np.lexsort((close, loss[close]))[: self.n - 1]]
-        chosen = sorted(int(i) for i in least if loss[i] < np.inf)
-        if not chosen:
-            return []
-        ending: list[list[Edge]] = [[]]
-        bounds = [0]
-        for i in chosen:
-            own = edges(text[i], self.pieces)
-            ending += [[(bounds[-1] + start, score, ids_) for start, score, ids_ in e] for e in own[1:]]
-            bounds.append(len(ending) - 1)
-        best = [tuple(ids[begin[at[i]] : begin[at[i]] + length[i]].tolist()) for i in chosen]
+        close = np.arange(len(loss))
+        if len(loss) > self.n:
+            close = np.flatnonzero(loss <= np.partition(loss, self.n - 2)[self.n - 2])
+        least = close[np.argsort(loss[close], kind="stable")[: self.n - 1]]
+        chosen = sorted(i for i in least.tolist() if loss[i] < np.inf)
+        # Losses of the ways through the chosen units, the best first: each unit adds one of its n best.
+        combined: list[tuple[float, tuple[int, ...]]] = [(0.0, ())]
+        found = [self._ways(text[i]) for i in chosen]
+        for ways in found:
+            combined = sorted((lost + ways[0][0] - score, (*way, k)) for lost, way in combined for k, (score, _) in enumerate(ways))[: self.n]
         out = []
-        ways = best_ways(ending, self.n)
-        top = ways[0][0]
-        same = None
-        for rank, (score, way) in enumerate(ways):
-            made: list[list[int]] = [[] for _ in chosen]
-            unit = 0
-            for start, _, ids_ in way:
-                while start >= bounds[unit + 1]:
-                    unit += 1
-                made[unit] += ids_
-            swaps = [
-                {"unit": i, "ids": m} for i, m, b in zip(chosen, made, best, strict=True) if tuple(m) != b
-            ]
-            if not swaps:
-                same = rank
-            grown = sum(len(m) for m in made) - sum(map(len, best))
-            out.append({"score": total - top + score, "n_pieces": size + grown, "swaps": swaps})
-        # The best way as it stands comes first; of ways with equal scores another may have been met before it.
-        del out[len(out) - 1 if same is None else same]
+        for lost, way in combined[1:]:
+            swaps = [{"unit": i, "ids": ways[k][1]} for i, ways, k in zip(chosen, found, way, strict=True) if k]
+            grown = sum(len(ways[k][1]) - len(ways[0][1]) for ways, k in zip(found, way, strict=True))
+            out.append({"score": total - lost, "n_pieces": size + grown, "swaps": swaps})
         return out
 
+    def _ways(self, unit: str) -> list[tuple[float, list[int]]]:
+        """The n best ways through a unit, the one that stands for it first."""
+        known = self.ways.get(unit)
+        if known is None:
+            at = self.index[unit]
+            best = self.ids[0][self.begin[at] : self.begin[at] + self.length[0][at]].tolist()
+            ways = [(score, [i for edge in way for i in edge[2]]) for score, way in best_ways(edges(unit, self.pieces), self.n)]
+            # Of ways with equal scores the search may meet another first.
+            rest = [w for w in ways if w[1] != best]
+            known = self.ways[unit] = [(ways[0][0], best), *rest[: len(ways) - 1]]
+        return known
+
 
 def decode(ids: Iterable[int], pieces: list[bytes]) -> str:
     """The text that numbers of pieces stand for: exactly what was encoded."""
@@ -352,12 +345,20 @@ def encode_texts(docs: DataFrame, model_file: str, n: int = 3) -> DataFrame:
 
 
 def _decode(pieces: list[bytes]):
+    """Texts of whole batches: the bytes of all pieces in a row, cut at the ends of the texts."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spelt = pa.array(pieces, pa.binary())
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                texts = [decode(i or (), pieces) for i in part.column("ids").to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*part.schema.names, "decoded"])
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                ids = part.column("ids").fill_null([])
+                bounds = ids.offsets.to_numpy()
+                inside = spelt.take(ids.values.slice(bounds[0], bounds[-1] - bounds[0]))
+                ends = np.frombuffer(inside.buffers()[1], np.int32)[bounds - bounds[0]]
+                joined = pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(ends.tobytes()), inside.buffers()[2]])
+                texts = pa.array([t.decode("utf-8", "replace")[1:] for t in joined.to_pylist()], pa.string())
+                yield pa.RecordBatch.from_arrays([*part.columns, texts], names=[*part.schema.names, "decoded"])
 
     return run
 

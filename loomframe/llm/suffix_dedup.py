@@ -248,8 +248,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     # Rows with equal id and text get equal results, so they may share an identifier.
     docs = docs.withColumn("doc", F.xxhash64("doc_id", "text"))
     found = kept(docs.select("doc", "text").mapInArrow(_anchor_rows, ANCHORS), "anchors")
-    shared = found.groupBy("gram").agg(F.count("*").alias("rows")).where("rows > 1").select("gram")
-    repeated = kept(found.join(shared, "gram"), "shared")
+    # Written first, so that both sides of the join are plain shuffles and a gram with very many rows can be split.
+    shared = kept(found.groupBy("gram").agg(F.count("*").alias("rows")).where("rows > 1").select("gram"), "grams")
+    repeated = kept(found.join(shared.hint("merge"), "gram"), "shared")
 
     span = [(F.col("at") - F.col("left")).cast("int").alias("lo"), (F.col("at") + F.col("right")).cast("int").alias("hi")]
     classes = kept(
@@ -258,11 +259,12 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         ),
         "classes",
     )
-    open_buckets = (
+    open_buckets = kept(
         classes.groupBy("gram")
         .agg(F.count("*").alias("surroundings"), F.min("rows").alias("least"))
         .where("surroundings > 1 and least = 1")
-        .select("gram", "surroundings")
+        .select("gram", "surroundings"),
+        "open",
     )
     asked = (
         classes.join(open_buckets, "gram")

@@ -264,8 +264,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     # these joins look for grows with the corpus, so none of it is broadcast.
     heads = classes.select(F.col("class").alias("doc_id"))
     keys = usable.select("doc_id", "keys").join(heads.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    keys = kept(keys, "keys")
     places = keys.select("doc_id", F.posexplode("keys").alias("tree", "key"))
-    counts = places.groupBy("tree", "key").agg(F.count("*").alias("rows")).where("rows > 1")
+    # Written first, so that both sides of the join are plain shuffles and a region with very many rows can be split.
+    counts = kept(places.groupBy("tree", "key").agg(F.count("*").alias("rows")).where("rows > 1"), "counts")
     regions = kept(places.join(counts.hint("merge"), ["tree", "key"]), "regions")
     sharing = kept(regions.select("doc_id").distinct(), "sharing")
     signs = usable.select("doc_id", "n_shingles", "sig", "keys", "orders")
@@ -310,6 +312,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         .where("low < high")
         .select("tree", "key", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks"))
     )
+    apart = kept(apart, "apart")
     block = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("blocks")).cast("int")
     cells = (
         labelled.join(apart, ["tree", "key"])

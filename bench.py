@@ -13,6 +13,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -22,8 +23,8 @@ from pyspark.sql import SparkSession  # noqa: E402
 from workload import ORACLES, QUERIES  # noqa: E402
 
 HEADLINE = [
-    "item_similarity", "similar_items", "item_avg_rating",
-    "sessionize", "win_running_sum", "win_rolling_range", "win_row_number",
+    "item_similarity", "item_similarity_min", "similar_items", "item_avg_rating",
+    "sessionize", "sessionize_hot", "win_running_sum", "win_rolling_range", "win_row_number",
     "join_three_way", "join_preaggregated", "join_salted", "join_self_pairs", "join_anti",
     "agg_sum_by", "agg_pivot", "agg_having_dups", "clean_dedupe", "set_subtract",
     "etl_orders", "etl_sales_by_group", "wh_spend", "wh_who_bought",
@@ -50,6 +51,7 @@ def spark_times(names: list[str], sf_dir: str, cpus: str) -> dict[str, float]:
         .appName("bench")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.driver.memory", "16g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")

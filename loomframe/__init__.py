@@ -1,5 +1,6 @@
 """User-level analytics operators and pipelines on Spark DataFrames.
 
 Every function takes and returns lazy DataFrames built from Spark's own column
-expressions; nothing here collects rows or runs Python on the executors.
+expressions; outside of the operators for training corpora, which nothing else
+uses, nothing collects rows or runs Python on the executors.
 """

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 def exact_sum(c: Column | str, digits: int = 2) -> Column:
     """Sum of an amount with a fixed number of decimals, kept in a double column.
 
-    Adds whole units of the last decimal as 64-bit integers, so the result does
-    not depend on the order in which partitions are merged.
+    Each value is first rounded to ``digits`` decimals. Adds whole units of the last
+    decimal as 64-bit integers, so the result does not depend on the order in which
+    partitions are merged.
     """
     c = F.col(c) if isinstance(c, str) else c
     unit = 10**digits

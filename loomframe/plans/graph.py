@@ -5,16 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomframe.functions.text import WORD
+from loomframe.functions.text import tokens
 from loomframe.operators.ordering import argmax, argmin_all
 
 
 def degrees(lines: DataFrame, col: str = "value") -> DataFrame:
     """Number of neighbours per node, summed over all lines that start with it."""
-    node = F.regexp_extract(col, WORD, 0).alias("id")
-    neighbours = (F.regexp_count(F.col(col), F.lit(WORD)) - 1).alias("d")
-    filled = lines.where(F.col(col).rlike(WORD))
-    return filled.select(node, neighbours).groupBy("id").agg(F.sum("d").alias("connections"))
+    parts = lines.select(tokens(col).alias("parts")).where(F.size("parts") > 0)
+    node, neighbours = F.col("parts")[0].alias("id"), (F.size("parts") - 1).alias("d")
+    return parts.select(node, neighbours).groupBy("id").agg(F.sum("d").alias("connections"))
 
 
 def most_connected(degree: DataFrame, names: DataFrame) -> DataFrame:

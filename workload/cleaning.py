@@ -49,7 +49,7 @@ def clean_fill_const(t: Tables):
 
 
 @query(
-    r"""
+    rf"""
     WITH dirty AS (
         SELECT c_custkey,
             CASE WHEN c_custkey % 7 = 0 THEN 'nobody' ELSE 'c' || c_custkey || '@mail.test' END AS email,
@@ -58,9 +58,9 @@ def clean_fill_const(t: Tables):
         FROM customer
     )
     SELECT c_custkey,
-        CASE WHEN regexp_matches(email, '[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\.[a-zA-Z0-9-.]+') THEN email END AS email,
+        CASE WHEN regexp_matches(email, '{clean.EMAIL}') THEN email END AS email,
         CASE WHEN regexp_matches(phone,
-            '^(\+?\d{1,3}[\s.-]?)?(\(\d{3}\)|\d{3})[\s.-]?\d{3}[\s.-]?\d{4}$') THEN phone END AS phone
+            '{clean.PHONE}') THEN phone END AS phone
     FROM dirty
     """
 )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from loomframe.operators import clean
 from loomframe.plans import etl, graph, sales, similarity, warehouse
 from workload.aggregates import RATINGS_SQL, SIMS_SQL, ratings
 from workload.registry import Tables, day_text, query
@@ -80,9 +81,9 @@ CLEAN_CUSTOMERS_SQL = rf"""
             regexp_replace(trim(country), '[^a-zA-Z0-9\s]', '', 'g') AS country, upper(trim(state)) AS state,
             CASE WHEN loyalty_points < 0 THEN 0 ELSE loyalty_points END AS loyalty_points
         FROM dirty_customers
-        WHERE last_name IS NOT NULL AND regexp_matches(email, '[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\.[a-zA-Z0-9-.]+')
+        WHERE last_name IS NOT NULL AND regexp_matches(email, '{clean.EMAIL}')
             AND regexp_matches(trim(phone),
-                '^(\+?\d{{1,3}}[\s.-]?)?(\(\d{{3}}\)|\d{{3}})[\s.-]?\d{{3}}[\s.-]?\d{{4}}$')
+                '{clean.PHONE}')
     )
 """
 

@@ -53,6 +53,7 @@ BESIDE = re.compile(
     r"tags|toolbar|widgets?|complementary|alert|alertdialog|reader-comments|user-comments)(?:$|[\s_-])",
     re.IGNORECASE,
 )
+COMMENT = re.compile(r"(?:^|[\s_-])(?:comments?|repl(?:y|ies))(?:$|[\s_-])", re.IGNORECASE)
 ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]*))?""", re.IGNORECASE)
 TAG = re.compile(r"""</?[a-zA-Z](?:[^"'<>]|"[^"<]*"|'[^'<]*')*+>""")
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
@@ -112,13 +113,15 @@ def _beside(name: str, attributes: str) -> bool:
     """Whether an element stands beside the article by its name or what its attributes say."""
     if name in ASIDE:
         return True
-    if not attributes or name in ("html", "body", "main", "article"):
+    if not attributes or name in ("html", "body", "main"):
         return False
+    # An article may be called anything but a comment.
+    words = COMMENT if name == "article" else BESIDE
     for key, value in ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'")
         if key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
             return True
-        if key in ("class", "id", "role") and BESIDE.search(value):
+        if key in ("class", "id", "role") and words.search(value):
             return True
     return False
 
@@ -138,8 +141,9 @@ def lines(page: str) -> tuple[list[tuple[str, int]], bool]:
         nonlocal linked
         line = SPACES.sub(" ", html.unescape("".join(text))).strip()
         if line or not text:
-            length = 0 if beside or (len(line) and linked > LINKS * len(line)) else len(line)
-            out.append((line, length, main))
+            # Outside of a marked main part, lines that are mostly links are menus.
+            menu = not main and linked > LINKS * len(line)
+            out.append((line, 0 if beside or menu else len(line), main))
         text.clear()
         linked = 0
 

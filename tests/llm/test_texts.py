@@ -29,6 +29,8 @@ PAGES = [
     ("<article><p>5 < 6 &copy b</p><ul><li>item one<li>item two</ul></article>", "5 < 6 © b\nitem one\nitem two"),
     ('<article><p title="a > b">quoted</p><p hidden>no</p><div role="navigation">no</div></article>', "quoted"),
     ("<title>t</title>", ""),
+    ("<article><p><a href=x>all linked</a></p></article><article class='comment'><p>me too</p></article>", "all linked"),
+    ("<ul><li><a href=x>Menu entry</a></ul><div><p>" + "words " * 9 + "</p></div>", ("words " * 9).strip()),
 ]
 
 

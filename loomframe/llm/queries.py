@@ -55,12 +55,69 @@ def op2_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
-@query()
+@query(
+    r"""
+    WITH RECURSIVE split AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+        FROM documents
+    ), sets AS (
+        SELECT doc_id, CASE
+            WHEN len(w) < 3 THEN list_filter([array_to_string(w, ' ')], lambda x: x <> '')
+            ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))
+        END AS shingles
+        FROM split
+    ), single AS (
+        SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM sets
+    ), links AS (
+        SELECT a.doc_id AS x, b.doc_id AS y
+        FROM single a JOIN single b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+        GROUP BY a.doc_id, b.doc_id, a.n, b.n
+        HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+    ), reach AS (
+        SELECT doc_id, doc_id AS other FROM documents
+        UNION
+        SELECT reach.doc_id, links.y FROM reach JOIN links ON reach.other = links.x
+    )
+    SELECT doc_id, len(any_value(shingles)) AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
+    FROM sets JOIN reach USING (doc_id) GROUP BY doc_id
+    """
+)
 def op3_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
 
 
-@query()
+@query(
+    r"""
+    WITH texts AS (
+        SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b, octet_length(encode(coalesce(text, ''))) AS n
+        FROM documents
+    ), starts AS (
+        SELECT r, b, unnest(range(1, n - 198)) AS p FROM texts WHERE n >= 200
+    ), windows AS (
+        SELECT r, p, hash(b[p:p + 199]) AS h FROM starts
+    ), twice AS (
+        SELECT h FROM windows GROUP BY h HAVING count(*) > 1
+    ), gone AS (
+        SELECT r, p, coalesce(p > lag(p) OVER (PARTITION BY r ORDER BY p) + 200, true) AS fresh
+        FROM windows JOIN twice USING (h)
+    ), numbered AS (
+        SELECT r, p, sum(fresh::INTEGER) OVER (PARTITION BY r ORDER BY p) AS run FROM gone
+    ), runs AS (
+        SELECT r, min(p) AS lo, max(p) + 199 AS hi FROM numbered GROUP BY r, run
+    ), pieces AS (
+        SELECT r, lo, hi, coalesce(lag(hi) OVER (PARTITION BY r ORDER BY lo), 0) AS before FROM runs
+    ), cut AS (
+        SELECT r, sum(hi - lo + 1) AS removed, count(*) AS spans, max(hi) AS last,
+            string_agg(CASE WHEN lo > before + 1 THEN hex(b[before + 1:lo - 1]) ELSE '' END, '' ORDER BY lo) AS head
+        FROM pieces JOIN texts USING (r) GROUP BY r
+    )
+    SELECT doc_id, n AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
+        sha256(CASE WHEN removed IS NULL THEN b
+            ELSE unhex(head || CASE WHEN last < n THEN hex(b[last + 1:n]) ELSE '' END) END) AS kept_sha256
+    FROM texts LEFT JOIN cut USING (r)
+    """
+)
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_spans(table(spark, sf_dir, "documents")).drop("spans")
 

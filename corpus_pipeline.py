@@ -14,7 +14,7 @@ from loomframe.llm.common import kept
 from loomframe.llm.lsh_forest import near_duplicates
 from loomframe.llm.mixing import take
 from loomframe.llm.queries import PIECES
-from loomframe.llm.segmentation import decode_ids, encode_texts
+from loomframe.llm.segmentation import encode_texts
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +52,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The numbers of the pieces of every document, the scores of its best segmentations, and whether they restore it."""
-    encoded = decode_ids(encode_texts(docs, PIECES, n=3), PIECES)
+    encoded = encode_texts(docs, PIECES, n=3, decoded=True)
     return encoded.select(
         "doc_id",
         "lang",

@@ -93,15 +93,21 @@ def pack_texts(key: str):
 
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=3)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                packed = [packer.compress(t) for t in utf8(part.column("text"))]
-                yield pa.RecordBatch.from_arrays([part.column(key), pa.array(packed, pa.binary())], names=[key, "packed"])
+        for batch in sliced(batches):
+            packed = [packer.compress(t) for t in utf8(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(packed, pa.binary())], names=[key, "packed"])
 
     return pack
 
 
+def sliced(batches: Iterable[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``rows`` rows, so that a task holds few texts as objects; memory goes back at the end."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+    pa.default_memory_pool().release_unused()
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """Texts as bytes; null is empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from loomframe.llm.common import chunks, group_bounds, kept, mixed, pack_texts, utf8, whole_groups
+from loomframe.llm.common import chunks, group_bounds, kept, mixed, pack_texts, sliced, utf8, whole_groups
 from loomframe.llm.components import components
 from loomframe.llm.shingles import minhash_seeds, minhashes, shingle_set
 
@@ -67,7 +67,7 @@ def _signer(size: int, depth: int):
     seeds = minhash_seeds(TREES * DEPTH)
 
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             texts = utf8(batch.column("text"))
             for lo, hi in chunks(np.fromiter(map(len, texts), np.int64, len(texts)), 2 << 20):
                 sets = [shingle_set(t, size) for t in texts[lo:hi]]

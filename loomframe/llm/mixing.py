@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from loomframe.llm.common import SPACE, chunks, kept, utf8, whole_groups
+from loomframe.llm.common import SPACE, chunks, kept, sliced, utf8, whole_groups
 
 #: Documents in a block of the flight.
 BLOCK = 1000
@@ -28,7 +28,7 @@ NEAR = 1e-9
 
 
 def _count_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches):
         texts = utf8(batch.column("text"))
         counts = []
         for lo, hi in chunks(np.fromiter(map(len, texts), np.int64, len(texts)), 4 << 20):

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomframe.llm.common import SPACE, chunks, mixed, utf8, word_hashes
+from loomframe.llm.common import SPACE, chunks, mixed, sliced, utf8, word_hashes
 
 #: Hash values of words, and as many again of character n-grams.
 BITS = 17
@@ -126,19 +126,17 @@ def bag(text: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _bags(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, 200):
-            part = batch.slice(at, 200)
-            made = [bag(t) for t in utf8(part.column("text"))]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column("doc_id"),
-                    part.column("quality"),
-                    pa.array([i.astype(np.int32).tobytes() for i, _ in made], pa.binary()),
-                    pa.array([s.tobytes() for _, s in made], pa.binary()),
-                ],
-                names=["doc_id", "quality", "ids", "shares"],
-            )
+    for batch in sliced(batches, 200):
+        made = [bag(t) for t in utf8(batch.column("text"))]
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("doc_id"),
+                batch.column("quality"),
+                pa.array([i.astype(np.int32).tobytes() for i, _ in made], pa.binary()),
+                pa.array([s.tobytes() for _, s in made], pa.binary()),
+            ],
+            names=["doc_id", "quality", "ids", "shares"],
+        )
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
@@ -178,7 +176,7 @@ def held_out(doc_id: Column) -> Column:
 
 def _scorer(model: Model):
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             scores = pa.array(model.score(utf8(batch.column("text"))), pa.float64())
             columns = [batch.column(c) for c in batch.schema.names if c != "_text"]
             names = [c for c in batch.schema.names if c != "_text"]

@@ -15,7 +15,7 @@ from loomframe.llm.lsh_forest import near_duplicates
 from loomframe.llm.mixing import mix
 from loomframe.llm.quality import fit, held_out, score_quality
 from loomframe.llm.rp_forest import nearest
-from loomframe.llm.segmentation import decode_ids, encode_texts
+from loomframe.llm.segmentation import encode_texts
 from loomframe.llm.suffix_dedup import repeated_spans
 from loomframe.llm.url_filter import Rule, filter_urls
 
@@ -192,7 +192,7 @@ PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 @query()
 def op9_nbest_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = decode_ids(encode_texts(docs, PIECES, n=3), PIECES)
+    encoded = encode_texts(docs, PIECES, n=3, decoded=True)
     return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_pieces"),

@@ -23,17 +23,20 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomframe.llm.common import chunks, prefix_sums, span_hash
+from loomframe.llm.common import chunks, prefix_sums, sliced, span_hash
 
 MARK = "▁"
 #: Units up to this number of characters are searched together with others.
 SHORT = 48
 #: Units that a task remembers.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
+#: Bytes of text that are encoded at once.
+PART = 1 << 19
 TABLE = 20
 
 Edge = tuple[int, float, tuple[int, ...]]
@@ -243,7 +246,7 @@ class Encoder:
         self._store(units, first[end], first[end] - second[end], np.bincount(owner, minlength=len(units)), ids)
         return []
 
-    def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, list[list[dict]]]]:
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[list[dict]]]:
         """Numbers of the pieces of all texts, how many each text has, and the n best segmentations of each."""
         if len(self.index) > REMEMBERED:
             self.forget()
@@ -265,7 +268,7 @@ class Encoder:
             total = float(score[at].sum())
             ranked.append([{"score": total, "n_pieces": sizes[-1], "swaps": []}, *self._others(text, at, total, sizes[-1], loss[at])])
         flat = ids[np.concatenate(parts)] if parts else ids[:0]
-        yield flat, np.array(sizes, np.int64), ranked
+        return flat, np.array(sizes, np.int64), ranked
 
     def _others(self, text: list[str], at: np.ndarray, total: float, size: int, loss: np.ndarray) -> list[dict]:
         """The second to n-th best segmentation of a text as changes of the best."""
@@ -310,27 +313,28 @@ SEGMENTED = "ids array<int>, score double, nbest array<struct<score: double, n_p
 _NBEST = pa.list_(pa.struct([("score", pa.float64()), ("n_pieces", pa.int32()), ("swaps", pa.list_(pa.struct([("unit", pa.int32()), ("ids", pa.list_(pa.int32()))])))]))
 
 
-def _encode(pieces: Pieces, n: int):
+def _encode(pieces: Pieces, n: int, decoded: bool):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(pieces, n)
-        for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            for lo, hi in chunks(np.fromiter(map(len, texts), np.int64, len(texts)), 1 << 20):
-                for flat, sizes, ranked in encoder.encode(texts[lo:hi]):
-                    offsets = pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32))
-                    columns = [
-                        *batch.slice(lo, hi - lo).columns,
-                        pa.ListArray.from_arrays(offsets, pa.array(flat)),
-                        pa.array([r[0]["score"] for r in ranked], pa.float64()),
-                        pa.array(ranked, _NBEST),
-                    ]
-                    yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "ids", "score", "nbest"])
+        spelt = pa.array(pieces.decoder(), pa.binary())
+        for batch in sliced(batches):
+            lengths = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+            for lo, hi in chunks(lengths, PART):
+                part = batch.slice(lo, hi - lo)
+                flat, sizes, ranked = encoder.encode([t or "" for t in part.column("text").to_pylist()])
+                ids = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)), pa.array(flat))
+                made = [ids, pa.array([r[0]["score"] for r in ranked], pa.float64()), pa.array(ranked, _NBEST)]
+                names = ["ids", "score", "nbest"]
+                if decoded:
+                    made.append(_texts(ids, spelt))
+                    names.append("decoded")
+                yield pa.RecordBatch.from_arrays([*part.columns, *made], names=[*part.schema.names, *names])
 
     return run
 
 
-def encode_texts(docs: DataFrame, model_file: str, n: int = 3) -> DataFrame:
-    """The columns of ``docs`` with ``ids``, ``score`` and ``nbest`` of ``text``.
+def encode_texts(docs: DataFrame, model_file: str, n: int = 3, decoded: bool = False) -> DataFrame:
+    """The columns of ``docs`` with ``ids``, ``score`` and ``nbest`` of ``text``, and with ``decoded`` what ``ids`` give back.
 
     ``ids`` are the pieces of the best segmentation, ``nbest`` the ``n`` best with their
     scores; each lists the units in which it differs from the best. A text with fewer
@@ -339,26 +343,27 @@ def encode_texts(docs: DataFrame, model_file: str, n: int = 3) -> DataFrame:
     Null and empty texts have no pieces and one segmentation of score 0. Columns of
     the same names are replaced, others stay; repeated rows get equal results.
     """
-    given = docs.drop("ids", "score", "nbest").withColumn("text", F.col("text").cast("string"))
+    given = docs.drop("ids", "score", "nbest", *["decoded"] * decoded).withColumn("text", F.col("text").cast("string"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema)
-    return given.mapInArrow(_encode(Pieces.load(model_file), n), f"{schema}, {SEGMENTED}")
+    schema = f"{schema}, {SEGMENTED}" + ", decoded string" * decoded
+    return given.mapInArrow(_encode(Pieces.load(model_file), n, decoded), schema)
 
 
-def _decode(pieces: list[bytes]):
-    """Texts of whole batches: the bytes of all pieces in a row, cut at the ends of the texts."""
+def _texts(ids: pa.ListArray, spelt: pa.Array) -> pa.Array:
+    """Texts of lists of pieces: the bytes of all pieces in a row, cut at the ends of the lists."""
+    bounds = ids.offsets.to_numpy()
+    inside = spelt.take(ids.values.slice(bounds[0], bounds[-1] - bounds[0]))
+    ends = np.frombuffer(inside.buffers()[1], np.int32)[bounds - bounds[0]]
+    joined = pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(ends.tobytes()), inside.buffers()[2]])
+    return pa.array([t.decode("utf-8", "replace")[1:] for t in joined.to_pylist()], pa.string())
+
 
+def _decode(pieces: list[bytes]):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spelt = pa.array(pieces, pa.binary())
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                ids = part.column("ids").fill_null([])
-                bounds = ids.offsets.to_numpy()
-                inside = spelt.take(ids.values.slice(bounds[0], bounds[-1] - bounds[0]))
-                ends = np.frombuffer(inside.buffers()[1], np.int32)[bounds - bounds[0]]
-                joined = pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(ends.tobytes()), inside.buffers()[2]])
-                texts = pa.array([t.decode("utf-8", "replace")[1:] for t in joined.to_pylist()], pa.string())
-                yield pa.RecordBatch.from_arrays([*part.columns, texts], names=[*part.schema.names, "decoded"])
+        for batch in sliced(batches):
+            texts = _texts(batch.column("ids").fill_null([]), spelt)
+            yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=[*batch.schema.names, "decoded"])
 
     return run
 

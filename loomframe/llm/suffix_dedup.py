@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomframe.llm.common import chunks, group_bounds, kept, mixed, prefix_sums, span_hash, whole_groups
+from loomframe.llm.common import chunks, group_bounds, kept, mixed, prefix_sums, sliced, span_hash, whole_groups
 
 LENGTH = 200
 GRAM = 25
@@ -73,7 +73,7 @@ def anchors(data: np.ndarray) -> tuple[np.ndarray, ...]:
 
 def _anchor_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["gram", "around", "doc", "at", "left", "right"]
-    for batch in batches:
+    for batch in sliced(batches):
         held: list[tuple[np.ndarray, ...]] = []
         size = 0
         for doc, text in zip(batch.column("doc").to_pylist(), batch.column("text").to_pylist(), strict=True):

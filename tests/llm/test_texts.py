@@ -193,7 +193,7 @@ def test_n_best_equal_all_segmentations(pieces):
     decoder = pieces.decoder()
     for _ in range(150):
         text = "".join(rng.choice("the an xqz \n▁é学😀  .3") for _ in range(rng.randint(1, 11)))
-        ((flat, _, ranked),) = encoder.encode([text])
+        flat, _, ranked = encoder.encode([text])
         assert segmentation.decode(flat.tolist(), decoder) == text
         assert [r["score"] for r in ranked[0]] == all_ways(text, pieces, 4)
         ways = {tuple((s["unit"], *s["ids"]) for s in r["swaps"]) for r in ranked[0]}
@@ -206,6 +206,8 @@ def test_texts_come_back_exactly(spark):
     docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, ids string")
     docs = docs.unionByName(table(spark, "/root/testdata/sf0.001", "documents").selectExpr("doc_id", "text", "'' AS ids"))
     made = segmentation.decode_ids(segmentation.encode_texts(docs, PIECES), PIECES)
+    at_once = segmentation.encode_texts(docs, PIECES, decoded=True)
+    assert at_once.where("decoded <> coalesce(text, '') or decoded is null").count() == 0
     assert made.columns == ["doc_id", "text", "ids", "score", "nbest", "decoded"]
     assert made.where("decoded <> coalesce(text, '')").count() == 0 and made.count() == docs.count()
     assert made.where("doc_id in (1, 2) and text is null and size(ids) = 0 and size(nbest) = 1").count() == 1
@@ -215,6 +217,6 @@ def test_texts_come_back_exactly(spark):
 
 def test_ties_of_a_long_unit_are_not_all_followed(pieces):
     begin = time.process_time()
-    ((flat, _, ranked),) = segmentation.Encoder(pieces, 3).encode(["a" * 20_000])
+    flat, _, ranked = segmentation.Encoder(pieces, 3).encode(["a" * 20_000])
     assert time.process_time() - begin < 30 and len(ranked[0]) == 3
     assert segmentation.decode(flat.tolist(), pieces.decoder()) == "a" * 20_000

@@ -175,8 +175,8 @@ def op6_url_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     forest = secrets.fit(secrets.labelled_findings(spark))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = secrets.scan(docs, forest).select("doc_id", F.posexplode("findings").alias("place", "found"))
-    return found.select("doc_id", "place", F.col("found.text").alias("candidate"), "found.score", "found.secret")
+    found = secrets.scan(docs, forest).select("doc_id", F.posexplode_outer("findings").alias("place", "found"))
+    return found.where("place is not null").select("doc_id", "place", F.col("found.text").alias("candidate"), "found.score", "found.secret")
 
 
 @query()

@@ -1,8 +1,10 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest.
 
-Candidates are long runs of the characters that keys consist of. Each is described by its
-length, the transitions between kinds of characters, how much of it words cover, whether it
-stands in a path, and the words next to it. A random forest trained from labelled findings
+Candidates are long runs of the characters that keys consist of, whole private keys, and
+whatever is assigned to a name like password or token or stands as user:password@, however
+short. Each is described by its length, the transitions between kinds of characters, how
+much of it words cover, whether it stands in a path, and the words next to it. A random
+forest trained from labelled findings
 decides which are secrets. It is written out as one SQL expression, so that texts are
 scanned, judged and redacted row by row in the JVM, without any shuffle.
 """
@@ -15,11 +17,37 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A run of key characters with a digit or a change to upper case in it, or the head of a private key.
-CANDIDATE = (
-    r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*(?:[0-9]|[a-z][A-Z]))[A-Za-z0-9+/_=-]{16,}"
-    r"|-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"
+#: A private key from its head to its end; without an end, the head and the lines of key characters after it.
+PRIVATE_KEY = (
+    r"-----BEGIN [A-Z0-9 ]{0,20}PRIVATE KEY(?: BLOCK)?-----"
+    r"(?:[^-]*+(?:-(?!----)[^-]*+){0,400}+-----END [A-Z0-9 ]{0,20}PRIVATE KEY(?: BLOCK)?-----"
+    r"|(?:(?:\s|\\[nr]){1,4}+[A-Za-z0-9+/=]{16,}+){1,400}+(?:(?:\s|\\[nr]){1,4}+[A-Za-z0-9+/]++={0,2}+\z)?+"
+    r"|)"
 )
+#: What stands between a user and a host: after ``user:`` and up to the last @ before the host.
+USERINFO = r"""(?<=:)(?<=(?://[^\s/:@"'<>]{0,256}|[\w.%+-]):)[^\s/"'<>]+(?=@[\w\[])"""
+#: The end of a name that secrets are assigned to, the sign, and an opening quote.
+NAMED = (
+    r"(?:pass|pwd|secret|token|credential|authorization|(?<![a-z])auth(?![a-z])|bearer"
+    r"|(?:api|access|private|encryption|signing|master|account|service|session|shared|client|storage|ssh|aws)[_. -]?key)"
+    r"[\w.\]-]{0,24}(?:\\?[\"'`])?[\"'`\]]?(?:[ \t]?:[ \t]?[a-z]{1,12})?[ \t]{0,3}(?:[!=]?={1,2}>?|:=?|[?]=)[ \t]{0,3}"
+    r"(?:(?:bearer|basic|token|digest)[ \t])?"
+)
+#: A value: between quotes, or up to white space, without closing punctuation and further fields.
+ASSIGNED = (
+    # The first tests are cheap and fail nearly everywhere, so that names are seldom looked for.
+    r"""(?<=[=:>"'`\\ \t])(?<=[=:>]["'`\\ \t]{0,5}|(?i:earer|asic|oken|igest)[ \t]["'`\\]{0,2})"""
+    rf"""(?<=(?i:{NAMED})(?:\\?["'`])?)(?:"""
+    r"""(?<=\\")[^"\\\r\n]++(?=\\")"""
+    r"""|(?<=")(?:[^"\\\r\n]++|\\.)++(?=")"""
+    r"""|(?<=')(?:[^'\\\r\n]++|\\.)++(?=')"""
+    r"""|(?<=`)[^`\r\n]++(?=`)"""
+    r"""|(?!(?i:bearer|basic|token|digest)[ \t])(?!\\["'])(?=[^\s=:"'`>])\S+?"""
+    r"""(?=[.,;:!?)\]}>"'`\\]{0,3}(?:\s|\z)|[&;,][\w.-]{1,40}[=:]|["']\s?/?>|</))"""
+)
+#: A run of key characters with a digit or a change to upper case in it, from after any = on.
+RUN = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*(?:[0-9]|[a-z][A-Z]))[A-Za-z0-9+/_-]{16,}+(?:={1,2}(?![A-Za-z0-9+/_=-]))?"
+CANDIDATE = f"{PRIVATE_KEY}|{USERINFO}|{ASSIGNED}|{RUN}"
 BEFORE, AFTER = 48, 24
 REDACTED = "[SECRET]"
 
@@ -62,6 +90,11 @@ FEATURES = {
     "assigned": "cast(c.before rlike '[=:] ?[\"'']?$' as double)",
     "quoted": "cast(c.before rlike '[\"'']$' and c.after rlike '^[\"'']' as double)",
     "harmless_word": "cast(lower(c.before) rlike '(commit|sha.?[0-9]*|md5|checksum|digest|hash|revision|etag|uuid|guid|build|isbn|order|invoice|card|phone|serial|example|sample|dummy|test|fake)[^a-z]*$' as double)",
+    "userinfo": "cast(c.before rlike '//[^ /]*:$' and c.after rlike '^@' as double)",
+    "before_at": "cast(c.before rlike ':$' and c.after rlike '^@' as double)",
+    "reference": "cast(c.text rlike '^[$%<{*(]|[({]|^(os|self|this|config|settings|env|process|request|args|params|data|https?:/)[.:/]' as double)",
+    "dull": "cast(lower(c.text) rlike '^(true|false|null|none|nil|undefined|string|str|int|required|optional|changed|expired|invalid|missing|unknown|yes|no|the|a|an|is|to|and|not|if|for|all|any|please|see|from|this|that|your|it|[0-9]{1,3})$' as double)",
+    "spaces": "length(c.text) - length(replace(c.text, ' ', ''))",
     "placeholder": "cast(lower(c.text) rlike '(example|sample|dummy|placeholder|your|changeme|test|fake|xxxx|0000|1234567|abcdef0|abcdefg)' as double)",
 }
 NAMES = list(FEATURES)
@@ -183,6 +216,7 @@ def labelled_findings(spark: SparkSession, rows: int = TRAIN_ROWS) -> DataFrame:
     raw = "regexp_replace(base64(unhex(sha2(concat('b', id), 256))), '[+/=]', '')"
     keyed = pick(1, 'token = "', "token: ", 'api_key = "', "secret=", "password: '", "Authorization: Bearer ", 'access_key="', "auth_token = ", "my secret key is ", "export API_KEY=")
     prose = pick(2, "see the notes on ", "of the ", "and then ", "was named ", "in ", "", "it is called ", "= ", ": ")
+    passed = pick(68, 'password = "', 'password: "', "password=", "PASSWORD=", "passwd: ", "pwd=", "DB_PASS='", '"password": "', "secret: ", "token=", "client_secret = '", "api_key: ")
     counted = pick(3, "commit ", "sha256: ", "sha1=", "md5 ", "checksum: ", "digest ", "revision ", "etag: ", 'hash = "', "build ", "uuid ", "order ", "card ", "serial ")
     closing = pick(4, '"', "'", " ", "\n", "", " and the ")
     shapes = [
@@ -203,15 +237,57 @@ def labelled_findings(spark: SparkSession, rows: int = TRAIN_ROWS) -> DataFrame:
         ("lpad(cast(abs(xxhash64(id)) as string), 16, '4')", f"concat({prose}, {pick(21, '', 'card ', 'phone ')})", closing, 0),
         (f"concat({pick(22, 'YOUR_', 'EXAMPLE_', 'SAMPLE_', 'test_', 'dummy_')}, {pick(23, 'TOKEN', 'API_KEY', 'SECRET', 'PASSWORD')}, '_', repeat({pick(24, 'x', '0', '1234', 'abc')}, 6), '1')", keyed, closing, 0),
         (f"concat(repeat({pick(25, 'x', '0', 'a1', '=', '-', 'ab')}, 20), pmod(id, 10))", keyed, closing, 0),
+        (f"concat({pick(28, 'hunter', 'dragon', 'monkey', 'summer', 'letmein', 'qwerty', 'Winter', 'Passw0rd')}, pmod(id, 2030))", passed, closing, 1),
+        (f"concat({pick(29, 'c0rrect', 'Tr0ub', 'h0rse', 'Sup3r', 'p4ss', 'b4ttery')}, {pick(30, '!', '#', '$', '@', '&', '^', '*', '%')}, initcap({name(31)}), {pick(32, '#', '!', '9', '?', '+')}, pmod(id, 97))", passed, closing, 1),
+        (f"substr({raw}, 1, cast(6 + pmod(id, 14) as int))", passed, closing, 1),
+        (f"concat(substr({raw}, 1, 8), {pick(33, '!', '#', ' ', '.', '~', ':')}, substr({raw}, 9, cast(4 + pmod(id, 9) as int)))", pick(34, 'password = "', 'passwd: "', '"password": "', 'SECRET="', 'db_pass = "', 'passphrase: "'), pick(35, '"', '",', '" '), 1),
+        (f"concat(substr({raw}, 1, cast(6 + pmod(id, 16) as int)), {pick(36, '', '!', '$', '9')})", f"concat({pick(37, 'postgres://bob:', 'mysql://root:', 'https://user:', 'redis://:', 'amqp://guest:', 'ftp://admin:', 'mongodb://app:')})", pick(38, "@db/x", "@localhost:5432/app", "@example.com/", "@10.0.0.1"), 1),
+        (f"concat({pick(39, 'hunter', 'dragon', 'S3cret', 'secret', 'letmein')}, pmod(id, 2030))", pick(40, "postgres://bob:", "mysql://root:", "https://user:", "redis://:", "bob:", "admin:"), pick(41, "@db/x", "@localhost:5432/app", "@example.com/"), 1),
+        (f"concat('-----BEGIN ', {pick(42, 'RSA ', 'EC ', '', 'OPENSSH ')}, 'PRIVATE KEY-----\\n', repeat(concat({raw}, '\\n'), cast(1 + pmod(id, 3) as int)), '-----END PRIVATE KEY-----')", pick(43, "", "key:\n", "see "), pick(44, "\n", "", " "), 1),
+        (f"concat('-----BEGIN ', {pick(74, 'RSA ', 'EC ', '', 'OPENSSH ')}, 'PRIVATE KEY-----\\n', repeat(concat({raw}, '\\n'), cast(1 + pmod(id, 40) as int)), '-----END PRIVATE KEY-----')", pick(75, "", "key:\n", "see "), pick(76, "\n", "", " "), 1),
+        (f"concat('-----BEGIN ', {pick(77, 'RSA ', 'EC ', '', 'OPENSSH ')}, 'PRIVATE KEY-----\\\\n', repeat(concat({raw}, '\\\\n'), cast(1 + pmod(id, 20) as int)), '-----END PRIVATE KEY-----')", pick(78, "", "key:\n", "see "), pick(79, "\n", "", " "), 1),
+        (f"{pick(45, '-----BEGIN RSA PRIVATE KEY-----', '-----BEGIN PRIVATE KEY-----')}", pick(46, "a file with ", "the line ", "starts with "), pick(47, " is a key", " and more", "."), 0),
+        (pick(48, "required", "string", "true", "null", "None", "expired", "optional", "invalid", "the", "a", "not", "12", "see", "please", "changed"), passed, closing, 0),
+        (name(49), passed, closing, 0),
+        (f"concat({pick(50, '${', 'get_', 'os.environ[', 'self.', 'config.', '<your-', 'process.env.')}, upper({name(51)}), {pick(52, '}', '()', ']', '_KEY', '>')})", passed, pick(53, " ", "\n", ";"), 0),
+        (f"concat({name(54)}, ' ', {name(55)}, ' ', {name(56)})", pick(57, 'password: "', 'token = "', 'secret: "'), pick(58, '"', '",'), 0),
+        (name(59), pick(60, "mailto:", "email:", "contact:", "from:", "cc:"), pick(61, "@example.com", "@mail.org"), 0),
+        (f"concat({name(62)}, '.', {name(63)})", pick(64, "mailto:", "email:", "contact:", "https://example.com:"), pick(65, "@example.com", "@mail.org"), 0),
+        (f"initcap({name(71)})", pick(72, "secretary: ", "passenger: ", "Passage: ", "tokenizer: ", "tokens: ", "secret: ", "compass: "), pick(73, " ", ", ", "."), 0),
+        (f"concat('https://example.com/', {name(66)})", pick(67, "auth: ", "token_url = ", "auth_url: ", "secret: "), closing, 0),
         (f"substr({raw}, 1, 40)", pick(26, "data:image/png;base64,", "src=/static/", "integrity sha384-", "https://cdn.example.com/", "?v="), pick(27, ".js", ".png", ".css", "=="), 0),
     ]
     ids = spark.range(rows)
-    case = "CASE pmod(id, {}) {} END"
+    # By hash, so that a split of the rows by number leaves no shape out.
+    case = "CASE pmod(xxhash64(id, 80), {}) {} END"
 
     def choose(at: int) -> str:
         return case.format(len(shapes), " ".join(f"WHEN {i} THEN {s[at]}" for i, s in enumerate(shapes)))
 
-    return ids.selectExpr(f"{choose(0)} AS text", f"{choose(1)} AS before", f"{choose(2)} AS after", f"{choose(3)} AS secret", "id")
+    planted = ids.selectExpr(f"{choose(0)} AS planted", f"{choose(1)} AS lead", f"{choose(2)} AS tail", f"{choose(3)} AS label", "id")
+    # The texts are searched as any other, so that findings look as they do in scans.
+    around = word.format("'', 'a line of words\\n', 'set '", 69, 3), word.format("'', '\\n', ' and so on'", 70, 3)
+    made = planted.withColumn("text", F.expr(f"concat({around[0]}, lead, planted, tail, {around[1]})"))
+    # The outer form, as a filter of empty lists would repeat the whole search below it.
+    listed = with_candidates(made).withColumn("_one", F.explode_outer("_listed"))
+    one = listed.selectExpr("_one.text AS text", "_one.before AS before", "_one.after AS after", "label", "planted", "id")
+    hit = "contains(planted, text) or contains(text, planted)"
+    return one.selectExpr("text", "before", "after", f"if({hit}, label, 0) AS secret", "id")
+
+
+def with_candidates(texts: DataFrame) -> DataFrame:
+    """``texts`` with the candidates of ``text`` (``_runs``), what stands between them (``_rest``) and both together (``_listed``).
+
+    What stands before and after a candidate may reach into its neighbours.
+    """
+    pattern = _sql_text(CANDIDATE)
+    runs = texts.withColumn("_runs", F.expr(f"regexp_extract_all(text, {pattern}, 0)"))
+    # One part more than there are candidates.
+    parts = runs.withColumn("_rest", F.expr(f"CASE WHEN size(_runs) > 0 THEN split(text, {pattern}, -1) END"))
+    before = f"right(concat(coalesce(right(get(_runs, i - 1), {BEFORE}), ''), right(_rest[i], {BEFORE})), {BEFORE})"
+    after = f"left(concat(left(_rest[i + 1], {AFTER}), coalesce(left(get(_runs, i + 1), {AFTER}), '')), {AFTER})"
+    listed = f"transform(_runs, (r, i) -> struct(r AS text, {before} AS before, {after} AS after))"
+    return parts.withColumn("_listed", F.expr(listed))
 
 
 def scan(docs: DataFrame, forest: list[Node], threshold: float = 0.5) -> DataFrame:
@@ -222,16 +298,11 @@ def scan(docs: DataFrame, forest: list[Node], threshold: float = 0.5) -> DataFra
     have no findings and stay null, as do texts without candidates. Columns of the
     same names are replaced, others stay; rows are judged alone.
     """
-    pattern = _sql_text(CANDIDATE)
-    given = docs.drop("findings", "redacted", "_runs", "_rest", "_found").withColumn("text", F.col("text").cast("string"))
-    runs = given.withColumn("_runs", F.expr(f"regexp_extract_all(text, {pattern}, 0)"))
-    # What stands between the candidates: one part more than there are candidates.
-    parts = runs.withColumn("_rest", F.expr(f"CASE WHEN size(_runs) > 0 THEN split(text, {pattern}, -1) END"))
-    listed = f"transform(_runs, (r, i) -> struct(r AS text, right(_rest[i], {BEFORE}) AS before, left(_rest[i + 1], {AFTER}) AS after))"
-    found = parts.withColumn("_found", F.expr(f"CASE WHEN size(_runs) > 0 THEN {_described(listed)} END"))
+    given = docs.drop("findings", "redacted", "_runs", "_rest", "_listed", "_found").withColumn("text", F.col("text").cast("string"))
+    found = with_candidates(given).withColumn("_found", F.expr(f"CASE WHEN size(_runs) > 0 THEN {_described('_listed')} END"))
     scored = f"transform(_found, f -> struct(f.text AS text, {forest_sql(forest, 'f')} AS score))"
     judged = f"transform({scored}, s -> struct(s.text AS text, s.score AS score, s.score >= {threshold}D AS secret))"
     found = found.withColumn("findings", F.expr(f"coalesce({judged}, array())"))
     shown = f"concat(array(_rest[0]), transform(findings, (f, i) -> concat(if(f.secret, {_sql_text(REDACTED)}, f.text), _rest[i + 1])))"
     redacted = F.expr(f"CASE WHEN exists(findings, f -> f.secret) THEN array_join({shown}, '') ELSE text END")
-    return found.withColumn("redacted", redacted).drop("_runs", "_rest", "_found")
+    return found.withColumn("redacted", redacted).drop("_runs", "_rest", "_listed", "_found")

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from loomframe.llm import secrets
 from loomframe.llm.cells import finite
+from loomframe.llm.decontamination import contamination
+from loomframe.llm.fill_middle import fill_in_middle
 from loomframe.llm.html_text import extract
 from loomframe.llm.inner_products import top_inner_products
 from loomframe.llm.lsh_forest import near_duplicates
@@ -18,6 +20,7 @@ from loomframe.llm.rp_forest import nearest
 from loomframe.llm.segmentation import encode_texts
 from loomframe.llm.suffix_dedup import repeated_spans
 from loomframe.llm.url_filter import Rule, filter_urls
+from loomframe.llm.whitening import whitened
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -225,3 +228,85 @@ def op10_inner_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     whole = F.transform("embedding", lambda x: F.floor(1024 * x.cast("double")).cast("long"))
     vectors = vectors.select("vec_id", whole.alias("vector"))
     return top_inner_products(vectors, vectors.where("vec_id % 100 = 0"), k=10)
+
+
+@query(
+    """
+    WITH drawn AS (
+        SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS d
+        FROM documents
+    ), cut AS (
+        SELECT *, ('0x' || d[1:8])::UBIGINT % (n + 1) AS a, ('0x' || d[9:16])::UBIGINT % (n + 1) AS b,
+            CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                OR ('0x' || d[17:24])::UBIGINT % 100 >= 90 THEN 'plain'
+                WHEN ('0x' || d[25:32])::UBIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+        FROM drawn
+    ), parts AS (
+        SELECT *, least(a, b)::BIGINT AS lo, greatest(a, b)::BIGINT AS hi FROM cut
+    ), made AS (
+        SELECT *, substr(t, 1, lo) AS p, substr(t, lo + 1, hi - lo) AS m, substr(t, hi + 1) AS s FROM parts
+    )
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN lo END AS prefix_chars,
+        CASE WHEN form <> 'plain' THEN hi - lo END AS middle_chars,
+        sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+            ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+        sha256(t) AS restored_sha256
+    FROM made
+    """
+)
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = fill_in_middle(docs, restored=True)
+    digests = [F.sha2(F.col(c).cast("binary"), 256).alias(f"{c}_sha256") for c in ("output", "restored")]
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+@query(
+    r"""
+    WITH docs AS (
+        SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+        FROM documents
+    ), items AS (
+        SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+        FROM benchmark
+    ), item_windows AS (
+        SELECT DISTINCT item_id, least(len(w), 10) AS size, unnest(list_transform(range(1, greatest(len(w) - 9, 1) + 1),
+            lambda i: array_to_string(w[i:i + 9], ' '))) AS words
+        FROM items WHERE len(w) > 0
+    ), sizes AS (
+        SELECT DISTINCT size FROM item_windows
+    ), doc_windows AS (
+        SELECT r, size, unnest(range(1, len(w) - size + 2)) AS p, unnest(list_transform(range(1, len(w) - size + 2),
+            lambda i: array_to_string(w[i:i + size - 1], ' '))) AS words
+        FROM docs, sizes WHERE len(w) >= size
+    ), hits AS (
+        SELECT r, p, size, item_id FROM doc_windows JOIN item_windows USING (size, words)
+    ), hit_words AS (
+        SELECT r, count(DISTINCT word) AS n_hit FROM (SELECT DISTINCT r, unnest(range(p, p + size)) AS word FROM hits) GROUP BY r
+    ), hit_items AS (
+        SELECT r, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+        FROM hits GROUP BY r
+    )
+    SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM docs LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)
+    """
+)
+def op12_benchmark_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=10)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+@query()
+def op13_chebyshev_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    return whitened(vectors, k=4)

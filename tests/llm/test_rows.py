@@ -22,7 +22,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_every_operator_and_the_pipeline_are_registered():
-    assert [q.split("_")[0] for q in sorted(QUERIES, key=lambda q: int(q[2:].split("_")[0]))] == [f"op{n}" for n in range(1, 11)]
+    assert [q.split("_")[0] for q in sorted(QUERIES, key=lambda q: int(q[2:].split("_")[0]))] == [f"op{n}" for n in range(1, 14)]
     assert set(QUERIES) | {"pipeline"} <= set(__spark_entry__.queries())
     assert set(ORACLES) <= set(__spark_entry__.oracle_sql())
 
@@ -144,7 +144,7 @@ def test_no_findings_without_labels(spark):
 
 
 def test_native_queries_run_no_python(spark):
-    for name in ("op6_url_patterns", "op7_secret_forest"):
+    for name in ("op6_url_patterns", "op7_secret_forest", "op12_benchmark_windows"):
         plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert not any(word in plan for word in ("Python", "Pandas", "Arrow")), name
 

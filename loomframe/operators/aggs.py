@@ -74,6 +74,25 @@ def pivot_sum(
     return df.groupBy(*_list(row)).pivot(col, values).agg(F.sum(value))
 
 
+def pivot_or_map(
+    df: DataFrame, row: Keys, col: str, value: Column | str, limit: int = 1000, name: str = "by_value"
+) -> DataFrame:
+    """``pivot_sum`` without given values: a column for each value of ``col``, or one map where there are more than ``limit``.
+
+    A first query looks for at most ``limit + 1`` values. Beyond the limit a plan with a
+    column for each would not do, so ``name`` then maps the values that a row has, as text,
+    to its sums; it holds no entry for the others. NULL is the text ``null`` in both forms.
+    """
+    text = F.coalesce(F.col(col).cast("string"), F.lit("null"))
+    sums = df.groupBy(*_list(row), text.alias("_value")).agg(F.sum(value).alias("_sum"))
+    found = df.select(text.alias("_value")).distinct().limit(limit + 1).collect()
+    if len(found) <= limit:
+        return sums.groupBy(*_list(row)).pivot("_value", sorted(r[0] for r in found)).agg(F.sum("_sum"))
+    # One entry for each value of a row, after the sums: what a map holds is as long as a row of the table would be.
+    entries = F.array_sort(F.collect_list(F.struct(F.col("_value"), F.col("_sum"))))
+    return sums.groupBy(*_list(row)).agg(F.map_from_entries(entries).alias(name))
+
+
 def salt(df: DataFrame, salts: int) -> Column:
     """A bucket from 0 to ``salts - 1`` that spreads rows of any one key.
 

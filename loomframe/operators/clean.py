@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Patterns of the data model. Fixed values.
 EMAIL = r"([a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\.[a-zA-Z0-9-.]+)"
@@ -16,6 +18,33 @@ PRODUCT_ID = r"^\w\d{4}$"
 PUNCTUATION = r"[^a-zA-Z0-9\s]"
 
 
+class Account:
+    """Counts what a cleaning job sees and drops, in the pass that does the work.
+
+    Rules take it as ``account`` and attach observed metrics to their step, so the input is
+    not read again. ``report`` waits for the first action on the cleaned rows and gives
+    its counts. A job with an account serves one action. Where Spark has to repeat a step
+    after it lost an executor, the counts of that step may hold the repeated tasks twice.
+    """
+
+    def __init__(self) -> None:
+        self._seen: list[Observation] = []
+
+    def watch(self, df: DataFrame, metrics: dict[str, Column]) -> DataFrame:
+        """``df``, with aggregates to be noted as its rows pass."""
+        seen = Observation()
+        self._seen.append(seen)
+        return df.observe(seen, *[c.alias(n) for n, c in metrics.items()])
+
+    def counts(self) -> dict[str, int]:
+        """What was seen, in the order of the steps."""
+        return {name: n for seen in self._seen for name, n in seen.get.items()}
+
+    def report(self, spark: SparkSession) -> DataFrame:
+        """The counts as rows: ``metric`` and ``n``."""
+        return spark.createDataFrame(list(self.counts().items()), "metric string, n long")
+
+
 def dedupe(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Drop repeated rows, or keep the smallest row per key.
 
@@ -31,8 +60,13 @@ def dedupe(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     return kept.select(*[F.col(c) if c in keys else F.col(f"kept.{c}") for c in df.columns])
 
 
-def drop_nulls(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Drop rows with a NULL in any of the columns."""
+def drop_nulls(df: DataFrame, cols: list[str] | None = None, account: Account | None = None) -> DataFrame:
+    """Drop rows with a NULL in any of the columns; ``account`` counts the NULLs per column and the rows that go."""
+    if account is not None:
+        checked = df.columns if cols is None else cols
+        some = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in checked])
+        nulls = {f"{c}_null": F.count_if(F.col(c).isNull()) for c in checked}
+        df = account.watch(df, nulls | {"rows_with_null": F.count_if(some)})
     return df.dropna(how="any", subset=cols)
 
 
@@ -49,19 +83,21 @@ def fill_const(df: DataFrame, values: dict[str, Any]) -> DataFrame:
 
 def trim_strings(df: DataFrame) -> DataFrame:
     """Strip spaces at both ends of every string column."""
-    text = {name for name, kind in df.dtypes if kind == "string"}
-    return df.select(*[F.trim(c).alias(c) if c in text else F.col(c) for c in df.columns])
+    return df.withColumns({f.name: F.trim(f.name) for f in df.schema if isinstance(f.dataType, StringType)})
 
 
-def validate(df: DataFrame, rules: dict[str, str], anchored: bool = False) -> DataFrame:
+def validate(
+    df: DataFrame, rules: dict[str, str], anchored: bool = False, account: Account | None = None
+) -> DataFrame:
     """Keep values in which the column's pattern is found, NULL the others.
 
-    ``anchored`` asks for the pattern to cover the whole value.
+    ``anchored`` asks for the pattern to cover the whole value. ``account`` counts the values set to NULL per column.
     """
     form = "^(?:{})$" if anchored else "{}"
-    return df.withColumns(
-        {c: F.when(F.col(c).rlike(form.format(p)), F.col(c)) for c, p in rules.items()}
-    )
+    fits = {c: F.col(c).rlike(form.format(p)) for c, p in rules.items()}
+    if account is not None:
+        df = account.watch(df, {f"{c}_invalid": F.count_if(~fit) for c, fit in fits.items()})
+    return df.withColumns({c: F.when(fit, F.col(c)) for c, fit in fits.items()})
 
 
 def strip_chars(df: DataFrame, col: str, pattern: str = PUNCTUATION) -> DataFrame:

@@ -11,14 +11,78 @@ from loomframe.operators.aggs import salt
 from loomframe.operators.layout import hot_hashes
 
 
+#: Copies of a key of the right side that may travel to its task.
+COPIES = 16
+#: Cells of a key filter: what is broadcast has at most so many rows of 8 bytes, whatever the data.
+CELLS = 1 << 20
+
+
 def without(left: DataFrame, right: DataFrame, on: str | list[str]) -> DataFrame:
     """Rows of ``left`` whose key ``right`` does not hold.
 
-    The keys of ``right`` are made distinct first, in the shuffle that the join needs
-    anyway, so a key that fills ``right`` arrives once per task.
+    The keys of ``right`` are first made distinct but for ``COPIES`` of each, so a key that
+    fills ``right`` hardly travels. That takes a shuffle of its own: an aggregate on the
+    very key would share the join's shuffle, and adaptive execution could then no longer
+    split a key that fills ``left``.
+    """
+    on = [on] if isinstance(on, str) else on
+    return left.join(_few_copies(right, on), on, "left_anti")
+
+
+def _few_copies(right: DataFrame, on: list[str]) -> DataFrame:
+    copy = F.pmod(F.spark_partition_id(), F.lit(COPIES)).alias("_copy")
+    return right.select(*on, copy).distinct().drop("_copy")
+
+
+def key_filter(keys: DataFrame, on: list[str], cells: int = CELLS) -> DataFrame:
+    """The cells of a hash table of ``cells`` places that some key falls into, in ``_cell``: a filter with one hash.
+
+    Built by a partial aggregate in each task. It has at most ``cells`` rows, so it may
+    always be broadcast; more keys than that only make it let more through.
+    """
+    return keys.select(_cell(on, cells).alias("_cell")).distinct()
+
+
+def _cell(on: list[str], cells: int) -> Column:
+    return F.pmod(F.xxhash64(*on), F.lit(cells))
+
+
+def reduced_join(
+    big: DataFrame, small: DataFrame, on: str | list[str], how: str = "inner", cells: int = CELLS
+) -> DataFrame:
+    """Join in which rows of ``big`` without a partner mostly go in the scan, before they are shuffled.
+
+    A ``key_filter`` of ``small`` decides. It lets every row with a partner through and a few
+    others, which the join then drops: the rows are those of the plain join. ``how`` is
+    inner, left_semi, left or left_anti. In the last two, rows that the filter holds
+    back are part of the result as they are; ``big`` is then scanned twice.
+    """
+    if how not in ("inner", "left_semi", "left", "left_anti"):
+        raise ValueError(f"how must be inner, left_semi, left or left_anti, not {how}")
+    on = [on] if isinstance(on, str) else on
+    # Keys are hashed as one type.
+    small = small.withColumns({c: F.col(c).cast(big.schema[c].dataType) for c in on})
+    cells_of_small = F.broadcast(key_filter(small, on, cells).withColumn("_held", F.lit(True)))
+    placed = big.withColumn("_cell", _cell(on, cells))
+    if how in ("inner", "left_semi"):
+        return placed.join(cells_of_small, "_cell", "left_semi").drop("_cell").join(small, on, how)
+    marked = placed.join(cells_of_small, "_cell", "left").drop("_cell")
+    maybe, alone = marked.where("_held").drop("_held"), marked.where("_held is null").drop("_held")
+    if how == "left_anti":
+        return without(maybe, small, on).unionByName(alone)
+    return maybe.join(small, on, "left").unionByName(alone.select(*on, *[c for c in alone.columns if c not in on]), allowMissingColumns=True)
+
+
+def split_join(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """Equi-join for a ``right`` that was just aggregated on the very keys, and a ``left`` with hot keys.
+
+    Such a join would use the shuffle of the aggregate, which adaptive execution cannot split.
+    A hash of the keys as a further key asks for a shuffle of its own.
     """
     on = [on] if isinstance(on, str) else on
-    return left.join(right.select(*on).distinct(), on, "left_anti")
+    right = right.withColumns({c: F.col(c).cast(left.schema[c].dataType) for c in on})
+    key = F.xxhash64(*on).alias("_hash")
+    return left.select("*", key).join(right.select("*", key), [*on, "_hash"], how).drop("_hash")
 
 
 def attach(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from loomframe.functions.numeric import seconds_of
 from loomframe.operators.joins import attach
 from loomframe.operators.layout import hot_keys
+from loomframe.sinks.files import scratch_dir
 
 _RANKS = {"dense": F.dense_rank, "gap": F.rank, "none": F.row_number}
 
@@ -162,16 +163,44 @@ def running_sum(
     )
 
 
-def rolling_mean(
-    df: DataFrame, by: str, day: str, col: str, days: int = 7, name: str = "rolling_average"
+def rolling(
+    df: DataFrame, by: str, day: str, value: Column, name: str, days: int = 7, slice: str | None = None
 ) -> DataFrame:
-    """Mean of ``col`` over the last ``days`` day numbers, this one included.
+    """An aggregate over the last ``days`` day numbers of a group, this one included.
 
     Counts days by their number and not by rows, so days may be missing or repeat.
-    For groups with very many rows a day see ``rolling_mean_by_day``.
+    ``slice`` names the slices that ``slice_hot`` cut by ``day``: every slice of a hot
+    group then has a window of its own, and its task also gets the rows of the last days
+    before the slice begins. Only a slice's own rows come out, so the result is the same.
     """
-    recent = _ordered([by], [day]).rangeBetween(1 - days, Window.currentRow)
-    return df.withColumn(name, F.avg(col).over(recent))
+    if slice is None:
+        recent = _ordered([by], [day]).rangeBetween(1 - days, Window.currentRow)
+        return df.withColumn(name, value.over(recent))
+    placed = with_overlap(df, by, day, days, slice)
+    recent = _ordered([by, "_slice"], [day]).rangeBetween(1 - days, Window.currentRow)
+    return placed.withColumn(name, value.over(recent)).where(F.col("_slice") == F.col(slice)).select(*df.columns, name)
+
+
+def with_overlap(df: DataFrame, by: str, day: str, days: int, slice: str) -> DataFrame:
+    """Every row once for its own slice and once for each later one that begins less than ``days`` after it, in ``_slice``."""
+    begins = df.where(F.col(slice) > 0).groupBy(by, slice).agg(F.min(day).alias("_first"))
+    # At most 256 slices of each hot group, which slice_hot bounds.
+    listed = begins.groupBy(by).agg(F.collect_list(F.struct(F.col(slice).alias("slice"), F.col("_first").alias("first"))).alias("_begins"))
+    reached = F.filter("_begins", lambda b: (b["slice"] > F.col(slice)) & (b["first"] - F.col(day) < days))
+    later = F.when(F.col(slice) > 0, F.transform(reached, lambda b: b["slice"]))
+    targets = F.concat(F.array(F.col(slice)), F.coalesce(later, F.array().cast("array<int>")))
+    # An outer generator, as the plain one would compute its array beforehand once more, to see that it is not empty.
+    return attach(df, F.broadcast(listed), [by]).withColumn("_slice", F.explode_outer(targets)).select(*df.columns, "_slice")
+
+
+def rolling_mean(
+    df: DataFrame, by: str, day: str, col: str, days: int = 7, name: str = "rolling_average", slice: str | None = None
+) -> DataFrame:
+    """Mean of ``col`` over the last ``days`` day numbers, see ``rolling``.
+
+    Where one day has very many rows see ``rolling_mean_by_day``.
+    """
+    return rolling(df, by, day, F.avg(col), name, days, slice)
 
 
 def rolling_mean_by_day(
@@ -183,3 +212,50 @@ def rolling_mean_by_day(
     count = F.sum("_count").over(recent)
     mean = F.when(count > 0, F.sum("_sum").over(recent) / count)
     return attach(df, per_day.select(by, day, mean.alias(name)), [by, day])
+
+
+def global_rank(df: DataFrame, order: dict[str, str], ties: str = "none", name: str = "rank") -> DataFrame:
+    """Number or rank every row of a whole table, without bringing its rows together.
+
+    ``order`` maps columns to ``asc`` or ``desc``; NULL is smallest. ``ties`` is as in
+    ``top_per_group``. Rows are dealt to tasks by ranges of ``order`` and written to the
+    shared folder; a window then works inside each range and adds what the ranges before
+    it hold, one number for each task.
+
+    Ranks depend on the order's values alone, so with ``dense`` and ``gap`` only distinct
+    values are dealt, each with its number of rows: a value that holds a third of all rows is
+    one. With ``none`` equal rows are numbered in any order; they are spread over ranges.
+    """
+    if ties not in _RANKS:
+        raise ValueError(f"ties must be one of {sorted(_RANKS)}, not {ties}")
+    sorts = [F.desc(c) if way == "desc" else F.asc(c) for c, way in order.items()]
+    if ties == "none":
+        spread = F.xxhash64(*df.columns, F.spark_partition_id())
+        rows = df.withColumns({"_rows": F.lit(1).cast("long"), "_spread": spread})
+        return _ranked_by_ranges(rows, [*sorts, F.asc("_spread")], "dense", name).select(*df.columns, name)
+    distinct = df.groupBy(*order).agg(F.count("*").alias("_rows"))
+    ranked = _ranked_by_ranges(distinct, sorts, ties, name)
+    return attach(df, ranked.select(*order, name), list(order)).select(*df.columns, name)
+
+
+def _ranked_by_ranges(rows: DataFrame, order: list[Column], ties: str, name: str) -> DataFrame:
+    """Rows numbered (``dense``) or with the number of ``_rows`` before them (``gap``), counted from 1."""
+    spark = rows.sparkSession
+    path = scratch_dir(spark, "ranges")
+    # Ranges come from a sample; written once, so that counts and numbers see the same ranges.
+    rows.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()).write.parquet(path)
+    dealt = spark.read.parquet(path)
+    size = F.count("*") if ties == "dense" else F.sum("_rows")
+    sizes = dealt.groupBy("_range").agg(size.alias("_size"))
+    # One entry for each task of the write.
+    listed = sizes.agg(F.collect_list(F.struct("_range", "_size")).alias("_all"))
+    earlier = F.filter("_all", lambda x: x["_range"] < F.col("_at._range"))
+    before = F.aggregate(earlier, F.lit(0).cast("long"), lambda sum, x: sum + x["_size"])
+    offsets = listed.select("_all", F.explode("_all").alias("_at")).select(F.col("_at._range").alias("_range"), before.alias("_before"))
+    inside = Window.partitionBy("_range").orderBy(*order)
+    if ties == "dense":
+        number = F.row_number().over(inside)
+    else:
+        number = F.sum("_rows").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_rows") + 1
+    numbered = dealt.withColumn("_inside", number).join(F.broadcast(offsets), "_range")
+    return numbered.withColumn(name, (F.col("_inside") + F.col("_before")).cast("long")).drop("_inside", "_before", "_range")

@@ -37,39 +37,53 @@ ORDER_RULES = {"order_id": c.ORDER_ID, "customer_id": c.CUSTOMER_ID, "product_id
 PRODUCT_RULES = {"product_id": c.PRODUCT_ID}
 
 
+def _counted_in(df: DataFrame, name: str, account: c.Account | None) -> DataFrame:
+    return df if account is None else account.watch(df, {name: F.count("*")})
+
+
 def clean_customers(
-    df: DataFrame, trim_first: bool = True, check_id: bool = False
+    df: DataFrame, trim_first: bool = True, check_id: bool = False, account: c.Account | None = None
 ) -> DataFrame:
     """Trimmed, distinct customers with valid mail and phone and no missing value.
 
     ``trim_first`` removes rows that differ in outer spaces only; without it such
-    rows stay. ``check_id`` also asks for a four-digit customer id.
+    rows stay. ``check_id`` also asks for a four-digit customer id. ``account`` counts
+    what goes.
     """
+    df = _counted_in(df, "rows_read", account)
     df = c.dedupe(c.trim_strings(df)) if trim_first else c.trim_strings(c.dedupe(df))
+    df = _counted_in(df, "rows_distinct", account)
     rules = {"email": c.EMAIL, "phone": c.PHONE}
     if check_id:
         rules["customer_id"] = c.CUSTOMER_ID
-    df = c.validate(df, rules)
+    df = c.validate(df, rules, account=account)
     df = c.strip_chars(df, "country")
     df = c.upper(df, "state")
     df = c.clamp_min(df, "loyalty_points")
-    return c.drop_nulls(df)
+    return _counted_in(c.drop_nulls(df, account=account), "rows_kept", account)
 
 
-def clean_orders(df: DataFrame, rules: dict[str, str] = ORDER_RULES) -> DataFrame:
+def clean_orders(
+    df: DataFrame, rules: dict[str, str] = ORDER_RULES, account: c.Account | None = None
+) -> DataFrame:
     """Distinct orders with valid ids, positive amounts and no missing value.
 
     ``rules`` are patterns per column, for ids of another form than the default.
+    ``account`` counts what goes.
     """
-    df = c.validate(c.dedupe(df), rules)
-    return c.drop_nulls(c.fix_sign(df, ["quantity", "unit_price", "total_amount"]))
+    df = _counted_in(c.dedupe(_counted_in(df, "rows_read", account)), "rows_distinct", account)
+    df = c.fix_sign(c.validate(df, rules, account=account), ["quantity", "unit_price", "total_amount"])
+    return _counted_in(c.drop_nulls(df, account=account), "rows_kept", account)
 
 
-def clean_products(df: DataFrame, rules: dict[str, str] = PRODUCT_RULES) -> DataFrame:
-    """Distinct products with a valid id, positive prices, stock of at least 0, no NULL."""
-    df = c.validate(c.dedupe(df), rules)
+def clean_products(
+    df: DataFrame, rules: dict[str, str] = PRODUCT_RULES, account: c.Account | None = None
+) -> DataFrame:
+    """Distinct products with a valid id, positive prices, stock of at least 0, no NULL; ``account`` counts what goes."""
+    df = _counted_in(c.dedupe(_counted_in(df, "rows_read", account)), "rows_distinct", account)
+    df = c.validate(df, rules, account=account)
     df = c.clamp_min(c.fix_sign(df, ["cost", "price"]), "stock_quantity")
-    return c.drop_nulls(df)
+    return _counted_in(c.drop_nulls(df, account=account), "rows_kept", account)
 
 
 def clean_people(df: DataFrame, older_than: float = 30) -> DataFrame:

@@ -19,9 +19,9 @@ def _ranked(counts: DataFrame, key: str, count: str) -> DataFrame:
     return counts.orderBy(F.desc(count), F.asc(key))
 
 
-def access_log(lines: DataFrame, col: str = "value") -> DataFrame:
-    """The ten space-separated fields of each line; missing ones are NULL."""
-    return split_columns(lines.select(col), col, " ", ACCESS_FIELDS)
+def access_log(lines: DataFrame, col: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    """The ten space-separated fields of each line, after the columns in ``keep``; missing ones are NULL."""
+    return split_columns(lines.select(*keep, col), col, " ", ACCESS_FIELDS)
 
 
 def log_counts(lines: DataFrame, by: str, name: str = "n", col: str = "value") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomframe.operators.joins import lookup, pairs
+from loomframe.operators.joins import lookup, pairs, split_join
 from loomframe.operators.ordering import top_k
 
 
@@ -17,7 +17,7 @@ def _score(rating1: Column, rating2: Column) -> list[Column]:
 
 
 def item_similarity(
-    ratings: DataFrame, user: str, item: str, rating: str, min_pairs: int = 1, block: int = 2048
+    ratings: DataFrame, user: str, item: str, rating: str, min_pairs: int = 1, block: int = 2048, rounds: int = 2
 ) -> DataFrame:
     """Cosine score and number of common users for every pair of items.
 
@@ -25,15 +25,47 @@ def item_similarity(
     ``min_pairs`` pairs of ratings by one user. A user who rated an item several times
     gives as many pairs, so an item rated once can be in a pair with more.
 
+    With ``min_pairs`` items that cannot be in such a pair are left out before pairs are
+    formed, in ``rounds`` rounds (see ``could_reach``); the result is the same. A least
+    score does not help there: two items with proportional ratings by their common users
+    score 1 whatever else they were rated.
+
     Pairs are folded into partial sums in the task that forms them; only one row
     per item pair and task is shuffled. Integer ratings keep the sums exact.
     """
     rows = ratings.select(user, item, F.col(rating).cast(_sum_type(ratings, rating)).alias(rating))
+    if min_pairs > 1:
+        rows = could_reach(rows, user, item, min_pairs, rounds)
     paired = pairs(rows, user, item, rating, block)
     sims = paired.groupBy("item1", "item2").agg(*_score(F.col("value1"), F.col("value2")))
     return sims if min_pairs <= 1 else sims.where(F.col("num_pairs") >= min_pairs)
 
 
+def could_reach(rows: DataFrame, user: str, item: str, min_pairs: int, rounds: int = 2) -> DataFrame:
+    """The ratings of items that may be in a pair with ``min_pairs`` pairs of ratings.
+
+    A user who rated an item ``a`` times and no other item more than ``b`` times gives it at
+    most ``a * b`` pairs with any one other item. Where the sum over an item's users is below
+    ``min_pairs``, no pair of it can reach that. The items that go lower the bounds of others,
+    hence the rounds. Each round is two aggregates of (user, item) counts.
+    """
+    counts = rows.where(F.col(user).isNotNull() & F.col(item).isNotNull()).groupBy(user, item).agg(F.count("*").alias("_times"))
+    able = None
+    for _ in range(rounds):
+        left = counts if able is None else split_join(counts, able, item, "left_semi")
+        # Of one user the two largest numbers of ratings of an item, found without bringing the user's rows together.
+        most = left.groupBy(user).agg(
+            F.max("_times").alias("_most"),
+            F.max_by(F.col(item), F.struct("_times", item)).alias("_item"),
+            F.sum("_times").alias("_all"),
+            F.count("*").alias("_items"),
+        )
+        others = F.when(F.col(item) != F.col("_item"), F.col("_most")).otherwise(F.least("_most", F.col("_all") - F.col("_most")))
+        reach = split_join(left, most, user).groupBy(item).agg(F.sum(F.col("_times") * others).alias("_reach"))
+        able = reach.where(F.col("_reach") >= min_pairs).select(item)
+    return split_join(rows, able, item, "left_semi")
+
+
 def similarity_to_item(
     ratings: DataFrame, user: str, item: str, rating: str, target: int | str
 ) -> DataFrame:

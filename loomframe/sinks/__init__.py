@@ -1,4 +1,5 @@
 from loomframe.sinks.files import (
+    replace_partitions,
     scratch_dir,
     write_csv,
     write_lines,
@@ -17,6 +18,7 @@ from loomframe.sinks.tables import (
     preview,
     register_external,
     replace_table,
+    write_bucketed,
 )
 
 __all__ = [
@@ -29,8 +31,10 @@ __all__ = [
     "list_tables",
     "preview",
     "register_external",
+    "replace_partitions",
     "replace_table",
     "scratch_dir",
+    "write_bucketed",
     "write_csv",
     "write_lines",
     "write_parquet",

@@ -57,3 +57,14 @@ def write_partitioned(
     """
     by = [by] if isinstance(by, str) else by
     df.hint("rebalance", *by).write.partitionBy(*by).format(fmt).mode(mode).save(path)
+
+
+def replace_partitions(df: DataFrame, path: str, by: str | list[str], fmt: str = "parquet") -> None:
+    """Replace the directories of those values of ``by`` that ``df`` holds, and no others.
+
+    A repeated run of one day thus gives the same table as one run. A value without
+    rows in ``df`` keeps its directory; to empty it, delete it.
+    """
+    by = [by] if isinstance(by, str) else by
+    writer = df.hint("rebalance", *by).write.partitionBy(*by).format(fmt).mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").save(path)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from loomframe.operators.layout import hot_keys
 
 #: Property of tables whose files were written for them.
 OWNED = "loomframe.owned"
@@ -62,6 +63,27 @@ def replace_table(df: DataFrame, name: str, fmt: str = "parquet", path: str | No
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def write_bucketed(
+    df: DataFrame, name: str, by: str | list[str], buckets: int, fmt: str = "parquet", most: float = 4.0
+) -> None:
+    """A catalog table whose rows lie in ``buckets`` files by the hash of ``by``, each sorted by it.
+
+    Tables with equal buckets on their keys are joined and grouped on them without a shuffle.
+    The price is that no task can share a bucket, so a key that by itself holds more
+    than ``most`` buckets' share of the rows is refused: in a table without buckets
+    adaptive execution splits such a key.
+    """
+    by = [by] if isinstance(by, str) else by
+    share = most / buckets
+    if share < 1:
+        hot = hot_keys(df.select(*by), by, share, 1).limit(1).collect()
+        if hot:
+            raise ValueError(f"key {tuple(hot[0])} holds more than {share:.3f} of all rows; leave the table without buckets")
+    # One task for each bucket, so that a bucket is one file.
+    dealt = df.repartition(buckets, *by)
+    dealt.write.format(fmt).bucketBy(buckets, *by).sortBy(*by).mode("overwrite").saveAsTable(name)
+
+
 def _property(spark: SparkSession, name: str, key: str) -> str:
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(name)}").where(F.col("col_name") == key)
     found = rows.select("data_type").first()

@@ -146,3 +146,19 @@ def test_reused_result_is_released(spark):
         assert df.count() == df.count() == 10
         assert df.is_cached
     assert not df.is_cached
+
+
+def test_pivot_becomes_a_map_beyond_the_limit(spark):
+    rows = [("r", "x", 1), ("r", "x", 2), ("r", "y", 5), ("s", None, 7), (None, "z", None)]
+    df = spark.createDataFrame(rows, "row string, col string, value long")
+    wide = aggs.pivot_or_map(df, "row", "col", "value", limit=4)
+    assert wide.columns == ["row", "null", "x", "y", "z"]
+    assert bag(wide) == {("r", None, 3, 5, None): 1, ("s", 7, None, None, None): 1, (None, None, None, None, None): 1}
+    found = aggs.pivot_or_map(df, "row", "col", "value", limit=3)
+    assert {r["row"]: r.by_value for r in found.collect()} == {"r": {"x": 3, "y": 5}, "s": {"null": 7}, None: {"z": None}}
+
+
+def test_pivot_of_very_many_values(spark):
+    df = spark.range(30_000).select((F.col("id") % 3).alias("row"), F.col("id").alias("col"), F.lit(1).alias("value"))
+    found = aggs.pivot_or_map(df, "row", "col", "value", limit=100)
+    assert len(found.columns) == 2 and found.agg(F.sum(F.size("by_value"))).first()[0] == 30_000

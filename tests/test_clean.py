@@ -125,3 +125,38 @@ def test_empty_input(spark):
     assert etl.clean_people(empty).count() == 0
     assert clean.dedupe(empty, ["name"]).count() == 0
     assert clean.fill_mean(empty, "age").select(F.col("age")).count() == 0
+
+
+def test_account_counts_in_the_pass_that_cleans(spark, tmp_path):
+    rows = [
+        ("000001", "0001", "P0001", 3, 2.0, 9.0), ("000001", "0001", "P0001", 3, 2.0, 9.0), ("1", "0001", "P0001", -3, 2.0, 9.0),
+        ("000002", "01", "P1", 3, 2.0, 9.0), ("000003", None, "P0001", 3, 2.0, None), ("000004", "0004", "P0001", 3, -2.0, 9.0),
+    ]
+    schema = "order_id string, customer_id string, product_id string, quantity int, unit_price double, total_amount double"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "in"))
+    account = clean.Account()
+    cleaned = etl.clean_orders(spark.read.parquet(str(tmp_path / "in")), account=account)
+    plan = cleaned._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("== Initial Plan ==")[0].count("FileScan") == 1
+    cleaned.write.parquet(str(tmp_path / "out"))
+    assert account.counts() == {
+        "rows_read": 6, "rows_distinct": 5, "order_id_invalid": 1, "customer_id_invalid": 1, "product_id_invalid": 1,
+        "order_id_null": 1, "customer_id_null": 2, "product_id_null": 1, "quantity_null": 0, "unit_price_null": 0,
+        "total_amount_null": 1, "rows_with_null": 3, "rows_kept": 2,
+    }
+    assert bag(account.report(spark)) == {(m, n): 1 for m, n in account.counts().items()}
+    assert bag(spark.read.parquet(str(tmp_path / "out"))) == bag(etl.clean_orders(spark.createDataFrame(rows, schema)))
+
+
+def test_accounts_of_customers_and_products(spark):
+    people = spark.createDataFrame([(" a ", "x@y.z", "555-123-4567", "n.", "s", -1), ("b", "no", "1", "n", "s", 2)], "first_name string, email string, phone string, country string, state string, loyalty_points int")
+    account = clean.Account()
+    assert etl.clean_customers(people, account=account).count() == 1
+    assert {k: v for k, v in account.counts().items() if v} == {
+        "rows_read": 2, "rows_distinct": 2, "email_invalid": 1, "phone_invalid": 1, "email_null": 1, "phone_null": 1,
+        "rows_with_null": 1, "rows_kept": 1,
+    }
+    goods = spark.createDataFrame([("P0001", -1.0, 2.0, -3), ("P1", 1.0, 2.0, 3)], "product_id string, cost double, price double, stock_quantity int")
+    account = clean.Account()
+    assert etl.clean_products(goods, account=account).count() == 1
+    assert account.counts()["product_id_invalid"] == account.counts()["rows_with_null"] == 1

@@ -5,7 +5,7 @@ import random
 from collections import Counter
 
 import pytest
-from conftest import bag, values
+from conftest import bag, final_plan, values
 from pyspark.sql import functions as F
 
 from loomframe.operators import joins, sets
@@ -13,31 +13,110 @@ from loomframe.plans.sales import customers_without_orders
 
 
 @pytest.fixture
-def customers(spark):
-    return spark.createDataFrame([(1, "Alice"), (2, "Bob")], "id long, name string")
+def ports(spark):
+    return spark.createDataFrame([(31, "Bergen"), (32, "Vigo"), (None, "nowhere"), (36, "Split")], "id long, name string")
 
 
 @pytest.fixture
-def orders(spark):
-    return spark.createDataFrame([(1, 100), (1, 50), (3, 25)], "id long, amount long")
+def calls(spark):
+    # Calls of ships at ports, two of them at a port that is not listed.
+    return spark.createDataFrame([(31, 4), (36, 9), (31, 7), (40, 1), (40, 1), (None, 5)], "id long, ships long")
 
 
-def test_anti_join(customers, orders):
-    assert bag(joins.without(customers, orders, "id")) == {(2, "Bob"): 1}
-    assert bag(customers_without_orders(customers, orders, "id")) == {(2, "Bob"): 1}
+def test_anti_join(ports, calls):
+    assert bag(joins.without(ports, calls, "id")) == {(32, "Vigo"): 1, (None, "nowhere"): 1}
+    assert bag(customers_without_orders(ports, calls, "id")) == {(32, "Vigo"): 1, (None, "nowhere"): 1}
 
 
-def test_lookup_keeps_unknown_keys(customers, orders):
-    assert bag(joins.lookup(orders, customers, "id"), "id", "name") == {
-        (1, "Alice"): 2, (3, None): 1,
+def test_lookup_keeps_unknown_keys(ports, calls):
+    assert bag(joins.lookup(calls, ports, "id"), "id", "name") == {
+        (31, "Bergen"): 2, (36, "Split"): 1, (40, None): 2, (None, None): 1,
     }
 
 
-def test_aggregate_then_join_equals_join_then_aggregate(customers, orders):
-    o = orders.withColumnRenamed("id", "customer_id")
-    first = joins.agg_then_join(customers, o, "id", "customer_id", [F.sum("amount").alias("total")])
-    after = customers.join(orders, "id").groupBy("id", "name").agg(F.sum("amount").alias("total"))
-    assert bag(first) == bag(after) == {(1, "Alice", 150): 1}
+def test_aggregate_then_join_equals_join_then_aggregate(ports, calls):
+    c = calls.withColumnRenamed("id", "port")
+    first = joins.agg_then_join(ports, c, "id", "port", [F.sum("ships").alias("total")])
+    after = ports.join(calls, "id").groupBy("id", "name").agg(F.sum("ships").alias("total"))
+    assert bag(first) == bag(after) == {(31, "Bergen", 11): 1, (36, "Split", 9): 1}
+
+
+#: Small enough that the hot keys of a test are split.
+SKEW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.shuffle.partitions": "12",
+}
+
+
+@pytest.fixture
+def skewed(spark):
+    before = {k: spark.conf.get(k, None) for k in SKEW}
+    for k, v in SKEW.items():
+        spark.conf.set(k, v)
+    yield spark.range(0, 60_000, 1, 8).select(F.when(F.col("id") % 2 == 0, -1).otherwise(F.col("id")).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_a_hot_left_key_of_an_anti_join_is_split(spark, skewed):
+    right = spark.range(0, 40_000, 1, 8).select(F.when(F.col("id") < 30_000, 5).otherwise(F.col("id")).alias("k"))
+    found = joins.without(skewed, right, "k")
+    assert "SortMergeJoin(skew=true)" in final_plan(found)
+    assert found.count() == skewed.count() - skewed.where("k = 5 or (k >= 30000 and k < 40000)").count()
+    # The copies of the key that fills the right side hardly travel.
+    assert joins._few_copies(right, ["k"]).where("k = 5").count() <= joins.COPIES
+
+
+def test_a_join_with_an_aggregate_on_its_key_is_split(spark, skewed):
+    sums = skewed.groupBy("k").agg(F.count("*").alias("n"))
+    joined = joins.split_join(skewed, sums, "k")
+    assert "SortMergeJoin(skew=true)" in final_plan(joined)
+    assert bag(joined.groupBy("n").agg(F.count("*").alias("rows"))) == {(30_000, 30_000): 1, (1, 30_000): 1}
+    assert "skew=true" not in final_plan(skewed.join(sums, "k"))
+
+
+@pytest.mark.parametrize("cells", [4, 1 << 16])
+@pytest.mark.parametrize("how", ["inner", "left_semi", "left", "left_anti"])
+def test_reduced_join_equals_plain_join(spark, how, cells):
+    rng = random.Random(9)
+    big = spark.createDataFrame([(rng.choice([None, *range(300)]), i) for i in range(500)], "k int, v int")
+    small = spark.createDataFrame([(rng.choice([None, *range(0, 600, 3)]), f"n{i}") for i in range(60)], "k long, name string")
+    reduced = joins.reduced_join(big, small, "k", how, cells=cells)
+    plain = big.join(small.withColumn("k", F.col("k").cast("int")), "k", how)
+    assert reduced.columns == plain.columns and bag(reduced) == bag(plain)
+
+
+def test_reduced_join_shuffles_less(spark, skewed):
+    small = spark.range(0, 60_000, 999).select(F.col("id").alias("k"))
+
+    def shuffled(df) -> int:
+        final_plan(df)
+        plan, total = [df._jdf.queryExecution().executedPlan()], 0
+        while plan:
+            node = plan.pop()
+            name = node.getClass().getSimpleName()
+            if name == "AdaptiveSparkPlanExec":
+                plan.append(node.executedPlan())
+            elif name.endswith("QueryStageExec"):
+                plan.append(node.plan())
+            elif name == "ShuffleExchangeExec":
+                total += node.metrics().apply("shuffleBytesWritten").value()
+            children = node.children()
+            plan += [children.apply(i) for i in range(children.size())]
+        return total
+
+    plain, reduced = skewed.join(small, "k"), joins.reduced_join(skewed, small, "k")
+    assert bag(plain, "k") == bag(reduced, "k")
+    assert shuffled(reduced) < shuffled(plain) / 10
+
+
+def test_reduced_join_refuses_other_kinds(ports, calls):
+    with pytest.raises(ValueError, match="left_anti"):
+        joins.reduced_join(ports, calls, "id", "outer")
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])

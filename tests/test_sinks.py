@@ -124,3 +124,39 @@ def test_registered_files_outlive_a_replacement(spark, tmp_path):
     assert spark.table("given_rows").count() == 1
     assert spark.read.parquet(f"{tmp_path}/given").count() == 4
     sinks.drop_table(spark, "given_rows")
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    left = spark.range(1000).select("id", (F.col("id") * 2).alias("v"))
+    right = spark.range(500).select((F.col("id") % 200).alias("id"), F.lit(1).alias("w"))
+    sinks.write_bucketed(left, "left_side", "id", 4)
+    sinks.write_bucketed(right, "right_side", "id", 4)
+    joined = spark.table("left_side").join(spark.table("right_side").hint("merge"), "id").groupBy("id").agg(F.sum("w").alias("n"))
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "SortMergeJoin" in plan
+    assert bag(joined) == bag(left.join(right, "id").groupBy("id").agg(F.sum("w").alias("n")))
+    sinks.write_bucketed(left.limit(10), "left_side", "id", 4)
+    assert spark.table("left_side").count() == 10
+
+
+def test_a_key_too_large_for_a_bucket_is_refused(spark):
+    df = spark.range(1000).select(F.when(F.col("id") < 400, 7).otherwise(F.col("id")).alias("k"))
+    with pytest.raises(ValueError, match="holds more than"):
+        sinks.write_bucketed(df, "hot_side", "k", 16)
+    assert not spark.catalog.tableExists("hot_side")
+    sinks.write_bucketed(df, "hot_side", "k", 4)
+    assert spark.table("hot_side").count() == 1000
+
+
+def test_only_the_given_partitions_are_replaced(spark, tmp_path):
+    path = str(tmp_path / "days")
+    days = spark.createDataFrame([(d, f"{d}-{i}") for d in (1, 2, 3) for i in range(4)], "day int, v string")
+    sinks.replace_partitions(days, path, "day")
+    untouched = {f for f in parts(path) if "day=2" not in f}
+    again = spark.createDataFrame([(2, "new"), (2, "newer")], "day int, v string")
+    for _ in range(2):
+        sinks.replace_partitions(again, path, "day")
+    assert {f for f in parts(path) if "day=2" not in f} == untouched
+    assert bag(spark.read.parquet(path), "day", "v") == bag(days.where("day <> 2").union(again))
+    sinks.replace_partitions(again.limit(0), path, "day")
+    assert spark.read.parquet(path).count() == 10

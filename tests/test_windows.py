@@ -5,7 +5,7 @@ from collections import defaultdict
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import bag
+from conftest import bag, final_plan
 from pyspark.sql import functions as F
 
 from loomframe.operators import windows
@@ -179,3 +179,63 @@ def test_rolling_mean_is_one_shuffle_and_equals_the_form_by_day(spark):
     assert one._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
     two = windows.rolling_mean_by_day(rows, "u", "d", "v", name="m")
     assert bag(one.withColumn("m", F.round("m", 9))) == bag(two.withColumn("m", F.round("m", 9)))
+
+
+def rolled_by_hand(rows, days, fold):
+    """(group, day, folded values) of each row."""
+    out = defaultdict(int)
+    for group, day, _ in rows:
+        recent = [v for g, d, v in rows if g == group and day - days < d <= day and v is not None]
+        out[(group, day, fold(recent) if recent else None)] += 1
+    return out
+
+
+@pytest.mark.parametrize("span", [12, 400])
+def test_rolling_over_slices_equals_one_window(spark, span):
+    # Slices of a day or less, and slices of many days; days are missing and repeat.
+    rng = random.Random(span)
+    rows = [("hot", rng.randrange(span), rng.choice([None, *range(9)])) for _ in range(900)]
+    rows += [(u, rng.randrange(span), rng.randrange(9)) for u in ("a", None, "b") for _ in range(25)]
+    df = spark.createDataFrame(rows, "u string, d int, v long")
+    sliced = windows.slice_hot(df, "u", "d", share=0.2, min_rows=100)
+    assert sliced.where("slice > 0").select("slice").distinct().count() > 8
+    mean = windows.rolling_mean(sliced, "u", "d", "v", days=5, slice="slice")
+    assert bag(mean, "u", "d", "rolling_average") == rolled_by_hand(rows, 5, lambda v: sum(v) / len(v))
+    largest = windows.rolling(sliced, "u", "d", F.max("v"), "m", days=3, slice="slice")
+    assert bag(largest, "u", "d", "m") == rolled_by_hand(rows, 3, max)
+
+
+def test_no_window_gets_more_than_a_slice_and_its_overlap(spark):
+    df = spark.range(20_000).select(F.lit("hot").alias("u"), (F.col("id") % 1000).cast("int").alias("d"), "id")
+    sliced = windows.slice_hot(df, "u", "d", share=0.2, min_rows=100)
+    placed = windows.with_overlap(sliced, "u", "d", 7, "slice").groupBy("u", "_slice").count()
+    # Twenty rows a day; a slice has about four days.
+    assert placed.agg(F.max("count")).first()[0] <= 20 * (12 + 6)
+
+
+@pytest.mark.parametrize("ties", ["dense", "gap", "none"])
+def test_global_rank_equals_one_window(spark, ties):
+    rng = random.Random(7)
+    rows = [(rng.choice([None, 5, 5, 5, *range(40)]), rng.choice("ab"), i) for i in range(600)]
+    df = spark.createDataFrame(rows, "v int, s string, rank int").repartition(5)
+    order = {"v": "desc", "s": "asc"} | ({"rank": "asc"} if ties == "none" else {})
+    key = lambda r: (-(r[0] if r[0] is not None else -1), r[1], *([r[2]] if ties == "none" else []))
+    keys = sorted(key(r) for r in rows)
+    places = {"gap": lambda k: keys.index(k) + 1, "none": lambda k: keys.index(k) + 1, "dense": lambda k: sorted(set(keys)).index(k) + 1}
+    ranked = windows.global_rank(df, order, ties, "place")
+    assert ranked.columns == ["v", "s", "rank", "place"]
+    assert bag(ranked) == {(*r, places[ties](key(r))): 1 for r in rows}
+    # Every window works inside ranges.
+    plan = final_plan(ranked)
+    assert plan.count("windowspecdefinition(") == plan.count("windowspecdefinition(_range") > 0
+
+
+def test_global_rank_numbers_copies_and_empty_tables(spark):
+    df = spark.range(0, 3000, 1, 6).select(F.when(F.col("id") < 1000, 1).otherwise(F.col("id")).alias("v"))
+    numbered = windows.global_rank(df, {"v": "asc"})
+    assert sorted(r.rank for r in numbered.collect()) == list(range(1, 3001))
+    assert numbered.where("v = 1").agg(F.max("rank")).first()[0] == 1000
+    assert windows.global_rank(df.limit(0), {"v": "asc"}).count() == 0
+    assert windows.global_rank(df.limit(0), {"v": "asc"}, "gap").count() == 0
+    with pytest.raises(ValueError, match="ties"):
+        windows.global_rank(df, {"v": "asc"}, "some")

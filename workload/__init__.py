@@ -13,6 +13,7 @@ from workload import (
     sets,
     sinks,
     sources,
+    streams,
     windows,
 )
 from workload.registry import ORACLES, QUERIES
@@ -32,5 +33,6 @@ __all__ = [
     "sets",
     "sinks",
     "sources",
+    "streams",
     "windows",
 ]

@@ -173,3 +173,31 @@ def agg_pivot(t: Tables):
 @query("SELECT DISTINCT l_suppkey, l_returnflag FROM lineitem")
 def agg_distinct(t: Tables):
     return t.lineitem.select("l_suppkey", "l_returnflag").distinct()
+
+
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+MAP_TEXT = "array_join(transform(map_entries(by_value), e -> concat(e.key, '=', e.value)), ';')"
+
+
+@query(
+    """
+    SELECT c_nationkey, string_agg(c_mktsegment || '=' || n, ';' ORDER BY c_mktsegment) AS sums
+    FROM (SELECT c_nationkey, c_mktsegment, CAST(sum(c_custkey) AS BIGINT) AS n FROM customer GROUP BY 1, 2)
+    GROUP BY 1
+    """
+)
+def agg_pivot_map(t: Tables):
+    # A limit below the number of segments, so that the sums come as a map.
+    found = aggs.pivot_or_map(t.customer, "c_nationkey", "c_mktsegment", "c_custkey", limit=3)
+    return found.select("c_nationkey", F.expr(MAP_TEXT).alias("sums"))
+
+
+@query(
+    "SELECT c_nationkey, "
+    + ", ".join(f"CAST(sum(c_custkey) FILTER (c_mktsegment = '{s}') AS BIGINT) AS \"{s}\"" for s in SEGMENTS)
+    + " FROM customer GROUP BY 1"
+)
+def agg_pivot_found(t: Tables):
+    # Without given values: a first query finds them. Segments that a scale lacks are added as empty columns.
+    found = aggs.pivot_or_map(t.customer, "c_nationkey", "c_mktsegment", "c_custkey", limit=100)
+    return found.select("c_nationkey", *[F.col(s) if s in found.columns else F.lit(None).cast("long").alias(s) for s in SEGMENTS])

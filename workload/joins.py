@@ -162,3 +162,44 @@ def join_salted(t: Tables):
     lines = t.lineitem.select(hot.cast("long").alias("key"), "l_linenumber", "l_partkey")
     orders = t.orders.select(F.col("o_orderkey").alias("key"), "o_custkey")
     return joins.salted_join(lines, orders, ["key"], salts=16, min_rows=1000)
+
+
+HOT_SUPPLIER_SQL = "CASE WHEN l_linenumber <= 2 THEN 0 ELSE l_suppkey END"
+
+
+def _lines_of_hot_supplier(t: Tables):
+    key = F.when(F.col("l_linenumber") <= 2, F.lit(0)).otherwise(F.col("l_suppkey"))
+    return t.lineitem.select(key.cast("long").alias("s_suppkey"), "l_orderkey", "l_linenumber")
+
+
+@query(
+    f"""
+    SELECT s_suppkey, l_orderkey, l_linenumber FROM (SELECT {HOT_SUPPLIER_SQL} AS s_suppkey, * FROM lineitem) l
+    WHERE NOT EXISTS (SELECT 1 FROM supplier s WHERE s.s_suppkey = l.s_suppkey AND s_acctbal > 0)
+    """
+)
+def join_anti_hot(t: Tables):
+    # Nearly a third of the left rows have one key, which is not on the right.
+    return joins.without(_lines_of_hot_supplier(t), t.supplier.where("s_acctbal > 0"), "s_suppkey")
+
+
+@query(
+    """
+    SELECT l_orderkey, l_linenumber, o_custkey, o_orderpriority FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+    WHERE o_totalprice > 300000
+    """
+)
+def join_filtered(t: Tables):
+    orders = t.orders.where("o_totalprice > 300000").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderpriority")
+    return joins.reduced_join(t.lineitem.select("l_orderkey", "l_linenumber"), orders, "l_orderkey")
+
+
+@query(
+    f"""
+    SELECT s_suppkey, l_orderkey, l_linenumber FROM (SELECT {HOT_SUPPLIER_SQL} AS s_suppkey, * FROM lineitem) l
+    WHERE NOT EXISTS (SELECT 1 FROM supplier s WHERE s.s_suppkey = l.s_suppkey AND s_acctbal < 0)
+    """
+)
+def join_anti_filtered(t: Tables):
+    poor = t.supplier.where("s_acctbal < 0").select("s_suppkey")
+    return joins.reduced_join(_lines_of_hot_supplier(t), poor, "s_suppkey", "left_anti")

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loomframe.operators import clean
+from loomframe import sinks
+from loomframe.operators import clean, layout
 from loomframe.plans import etl, graph, sales, similarity, warehouse
 from workload.aggregates import RATINGS_SQL, SIMS_SQL, ratings
 from workload.registry import Tables, day_text, query
@@ -426,3 +427,51 @@ def customers_without_orders(t: Tables):
     orders = large.select(F.col("o_custkey").alias("c_custkey"))
     without = sales.customers_without_orders(t.customer, orders, "c_custkey")
     return without.select("c_custkey", "c_name")
+
+
+VALID_ORDERS_SQL = r"""
+    distinct_orders AS (SELECT DISTINCT * FROM dirty_orders),
+    valid_orders AS (
+        SELECT *, regexp_matches(order_id, '^\d{6,}$') AS good_order, regexp_matches(customer_id, '^\d{4,}$') AS good_customer,
+            regexp_matches(product_id, '^\w\d{4,}$') AS good_product FROM distinct_orders
+    )
+"""
+KEPT_SQL = "good_order AND good_customer AND good_product AND order_date IS NOT NULL"
+REPORT_SQL = {
+    "order_id_invalid": "NOT good_order",
+    "customer_id_invalid": "NOT good_customer",
+    "product_id_invalid": "NOT good_product",
+    "order_id_null": "NOT good_order",
+    "customer_id_null": "NOT good_customer",
+    "product_id_null": "NOT good_product",
+    "order_date_null": "order_date IS NULL",
+    "quantity_null": "quantity IS NULL",
+    "unit_price_null": "unit_price IS NULL",
+    "total_amount_null": "total_amount IS NULL",
+    "rows_with_null": f"NOT ({KEPT_SQL})",
+    "rows_distinct": "true",
+    "rows_kept": KEPT_SQL,
+}
+
+
+@query(
+    f"WITH {DIRTY_ORDERS_SQL}, {VALID_ORDERS_SQL} SELECT 'rows_read' AS metric, count(*) AS n FROM dirty_orders"
+    + "".join(f" UNION ALL SELECT '{m}', count(*) FILTER ({c}) FROM valid_orders" for m, c in REPORT_SQL.items())
+)
+def etl_quality_report(t: Tables):
+    # The pass that cleans and writes the orders counts what it drops.
+    account = clean.Account()
+    cleaned = etl.clean_orders(dirty_orders(t), ID_RULES, account)
+    sinks.write_parquet(cleaned, sinks.scratch_dir(t.spark, "clean-orders"))
+    return account.report(t.spark)
+
+
+@query(f"WITH {CLEAN_ORDERS_SQL} SELECT order_date, count(*) AS n, count(DISTINCT customer_id) AS customers FROM clean_orders GROUP BY 1")
+def cache_reuse(t: Tables):
+    # Clean orders are kept for two results and released again.
+    path = sinks.scratch_dir(t.spark, "orders-by-day")
+    with layout.reused(_orders(t).select("order_date", "customer_id")) as kept:
+        per_day = kept.groupBy("order_date").agg(F.count("*").alias("n"))
+        people = kept.groupBy("order_date").agg(F.countDistinct("customer_id").alias("customers"))
+        sinks.write_parquet(per_day.join(people, "order_date"), path)
+    return t.spark.read.parquet(path)

@@ -102,3 +102,35 @@ def table_preview(t: Tables):
 @query("SELECT count(*) AS n_rows FROM lineitem")
 def count_rows(t: Tables):
     return sinks.count_rows(t.lineitem)
+
+
+@query(
+    """
+    SELECT o_orderkey, o_custkey, count(*) AS n_lines, CAST(sum(l_linenumber) AS BIGINT) AS lines
+    FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1, 2
+    """
+)
+def sink_bucketed(t: Tables):
+    # Both tables in equal buckets: the join and the grouping need no shuffle.
+    orders, lines = _table_name("orders_bucketed"), _table_name("lines_bucketed")
+    sinks.write_bucketed(t.orders.select("o_orderkey", "o_custkey"), orders, "o_orderkey", 8)
+    sinks.write_bucketed(t.lineitem.select("l_orderkey", "l_linenumber"), lines, "l_orderkey", 8)
+    joined = t.spark.table(orders).join(t.spark.table(lines).hint("merge"), F.col("o_orderkey") == F.col("l_orderkey"))
+    return joined.groupBy("o_orderkey", "o_custkey").agg(F.count("*").alias("n_lines"), F.sum("l_linenumber").alias("lines"))
+
+
+@query(
+    """
+    SELECT c_custkey, c_mktsegment, CAST(floor(c_acctbal) AS BIGINT) + CASE c_mktsegment WHEN 'MACHINERY' THEN 5 ELSE 0 END AS points
+    FROM customer
+    """
+)
+def sink_replace_partitions(t: Tables):
+    # All segments once, then one of them anew, by a run that is repeated.
+    path = sinks.scratch_dir(t.spark, "points")
+    points = t.customer.select("c_custkey", "c_mktsegment", F.floor("c_acctbal").alias("points"))
+    sinks.replace_partitions(points, path, "c_mktsegment")
+    for _ in range(2):
+        machinery = points.where("c_mktsegment = 'MACHINERY'").withColumn("points", F.col("points") + 5)
+        sinks.replace_partitions(machinery, path, "c_mktsegment")
+    return t.spark.read.parquet(path)

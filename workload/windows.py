@@ -169,3 +169,39 @@ def win_lag_hot(t: Tables):
     sliced = windows.slice_hot(hot_events(t), "user_id", "ts", **HOT)
     found = windows.previous(sliced, "user_id", ["ts", "event_id"], "cents", slice="slice")
     return found.select("event_id", "user_id", "previous")
+
+
+DAY_OF_EVENT_SQL = "CAST(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS INTEGER)"
+
+
+@query(
+    f"""
+    WITH {HOT_EVENTS_SQL}, dated AS (SELECT event_id, user_id, {DAY_OF_EVENT_SQL} AS day, cents FROM hot_events)
+    SELECT event_id, user_id, day, round(avg(cents) OVER (PARTITION BY user_id ORDER BY day
+        RANGE BETWEEN 6 PRECEDING AND CURRENT ROW), 6) AS rolling_average,
+        max(cents) OVER (PARTITION BY user_id ORDER BY day RANGE BETWEEN 6 PRECEDING AND CURRENT ROW) AS largest
+    FROM dated
+    """
+)
+def win_rolling_range_hot(t: Tables):
+    day = F.datediff("ts", F.lit("1970-01-01").cast("date")).alias("day")
+    dated = hot_events(t).select("event_id", "user_id", day, "cents")
+    sliced = windows.slice_hot(dated, "user_id", "day", **HOT)
+    rolled = windows.rolling_mean(sliced, "user_id", "day", "cents", slice="slice")
+    rolled = windows.rolling(rolled, "user_id", "day", F.max("cents"), "largest", slice="slice")
+    return rolled.select("event_id", "user_id", "day", F.round("rolling_average", 6).alias("rolling_average"), "largest")
+
+
+@query(
+    """
+    SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS place,
+        rank() OVER (ORDER BY o_orderdate) AS day_rank, dense_rank() OVER (ORDER BY o_orderdate) AS day_number
+    FROM orders
+    """
+)
+def win_global_rank(t: Tables):
+    orders = t.orders.select("o_orderkey", "o_totalprice", "o_orderdate")
+    placed = windows.global_rank(orders, {"o_totalprice": "desc", "o_orderkey": "asc"}, name="place")
+    ranked = windows.global_rank(placed, {"o_orderdate": "asc"}, ties="gap", name="day_rank")
+    numbered = windows.global_rank(ranked, {"o_orderdate": "asc"}, ties="dense", name="day_number")
+    return numbered.select("o_orderkey", "place", "day_rank", "day_number")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomframe.llm.cells import best, finite, matrix, per_id, searched
+from loomframe.llm.cells import FOUND, best, distinct_rows, finite, matrix, searched
 from loomframe.llm.common import kept
 
 TREES = 4
@@ -131,9 +131,7 @@ def _into_leaves(trees: list[Tree], dimensions: int):
                 for t, tree in enumerate(trees):
                     leaf = pa.array(tree.leaves(x).astype(np.int32))
                     number = pa.array(np.full(len(x), t, np.int32))
-                    yield pa.RecordBatch.from_arrays(
-                        [number, leaf, batch.column("vec_id"), batch.column("vector")], names=["tree", "leaf", "vec_id", "vector"]
-                    )
+                    yield pa.RecordBatch.from_arrays([number, leaf, *batch.columns], names=["tree", "leaf", *batch.schema.names])
 
     return place
 
@@ -145,8 +143,8 @@ def _walks(trees: list[Tree], dimensions: int, n_leaves: int):
                 found = [walk(trees, x, n_leaves) for x in matrix(batch.column("vector"), dimensions)]
                 row = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))
                 places = np.array([p for f in found for p in f], np.int32)
-                columns = [pa.array(places[:, 0]), pa.array(places[:, 1]), batch.column("vec_id").take(row), batch.column("vector").take(row)]
-                yield pa.RecordBatch.from_arrays(columns, names=["tree", "leaf", "vec_id", "vector"])
+                columns = [pa.array(places[:, 0]), pa.array(places[:, 1]), *(c.take(row) for c in batch.columns)]
+                yield pa.RecordBatch.from_arrays(columns, names=["tree", "leaf", *batch.schema.names])
 
     return ask
 
@@ -155,14 +153,14 @@ def _nearest(k: int):
     def find(query_ids, queries, _, ids, vectors):
         """Exact distances of a leaf, for as many queries at a time as memory allows."""
         out = []
-        for q, x in zip(query_ids, queries, strict=True):
+        for at, (q, x) in enumerate(zip(query_ids, queries, strict=True)):
             distance = np.sqrt(((vectors - x) ** 2).sum(axis=1))
             other = np.flatnonzero(ids != q)
             if len(other) > k:
                 # Of ties at the border all stay, so that the smaller ids can win.
                 other = other[distance[other] <= np.partition(distance[other], k - 1)[k - 1]]
             other = other[np.lexsort((ids[other], distance[other]))[:k]]
-            out.append((np.full(len(other), q), ids[other], distance[other]))
+            out.append((np.full(len(other), at), other, distance[other]))
         return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
     return lambda: find
@@ -176,19 +174,20 @@ def nearest(
     Both inputs have ``vec_id`` and ``vector`` (array of numbers). The score is the
     Euclidean distance of the original vectors in double precision; a query never
     finds its own id; ties go to the smaller id. With fewer candidates than ``k``
-    all that are found are returned.
+    all that are found are returned. Up to ``LEAF`` vectors are one leaf, and the result is exact.
 
     Vectors that are null, zero or hold null or non-finite components take no part,
-    and neither do null ids; of several rows of one id the first vector in order
-    counts; shorter vectors are filled up with zeros. Other columns are ignored.
-    Empty inputs give an empty result.
+    and neither do null ids. Every row is a candidate of its own, also where rows have
+    equal ids or are equal; queries of one id share ``k`` ranks for what any of them finds.
+    Shorter vectors are filled up with zeros. Other columns are ignored. Empty inputs
+    give an empty result.
     """
     spark = vectors.sparkSession
     doubled = F.col("vector").cast("array<double>")
 
     def clean(df: DataFrame) -> DataFrame:
         some = finite(F.col("vector")) & F.exists("vector", lambda x: x != 0)
-        return per_id(df.select("vec_id", doubled.alias("vector")), some)
+        return distinct_rows(df.select("vec_id", doubled.alias("vector")), some)
 
     data = kept(clean(vectors), "vectors")
     asks = kept(clean(queries), "queries")
@@ -197,18 +196,16 @@ def nearest(
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     longest = asks.agg(F.max(F.size("vector"))).first()[0]
     dimensions = max(dimensions, longest)
-    drawn = data.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toArrow().combine_chunks()
+    drawn = data.orderBy(F.xxhash64("vec_id", "row"), "vec_id").select("vector").limit(SAMPLE).toArrow().combine_chunks()
     sample = matrix(drawn.column("vector").combine_chunks(), dimensions)
     rng = np.random.default_rng(seed)
     leaf = max(2, round(LEAF * len(sample) / count))
     forest = [grow(sample, leaf, rng) for _ in range(trees)]
-    # Up to a few times k vectors are all looked at.
-    leaves = enough_leaves(forest, sample, k, recall if count > 20 * k else 1.0, rng)
-    placed = data.mapInArrow(_into_leaves(forest, dimensions), "tree int, leaf int, vec_id long, vector array<double>")
-    walked = asks.repartition(F.col("vec_id")).mapInArrow(
-        _walks(forest, dimensions, leaves), "tree int, leaf int, vec_id long, vector array<double>"
-    )
+    leaves = enough_leaves(forest, sample, k, recall, rng)
+    schema = "tree int, leaf int, vec_id long, vector array<double>, copies long, row long"
+    placed = data.mapInArrow(_into_leaves(forest, dimensions), schema)
+    walked = asks.repartition(F.col("vec_id")).mapInArrow(_walks(forest, dimensions, leaves), schema)
     walked = walked.withColumn("least", F.lit(None).cast("double"))
     found = searched(placed, walked, ["tree", "leaf"], _nearest(k), dimensions, "double")
-    # Found in several trees, a vector counts once.
-    return best(found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score")), k, highest=False)
+    # Found in several trees, a pair counts once.
+    return best(found.select(*FOUND).distinct(), k, highest=False)

@@ -1,12 +1,23 @@
 from __future__ import annotations
 
+import os
+import sys
+import tracemalloc
+
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from loomframe.llm import cells, inner_products, rp_forest
-from loomframe.llm.inner_products import top_inner_products
-from loomframe.llm.rp_forest import nearest
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path.insert(0, os.path.join(ROOT, "scripts"))
+
+from compare import mismatch  # noqa: E402
+
+from loomframe.llm import cells, inner_products, rp_forest  # noqa: E402
+from loomframe.llm.inner_products import top_inner_products  # noqa: E402
+from loomframe.llm.queries import ORACLES, QUERIES  # noqa: E402
+from loomframe.llm.rp_forest import nearest  # noqa: E402
 
 VECTORS = "vec_id long, vector array<double>, score string, rank int"
 
@@ -59,7 +70,7 @@ def test_nearest_finds_most_true_neighbours_with_exact_scores(spark, monkeypatch
 def test_few_vectors_and_none(spark):
     rows = [(1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [0.0, 1.0]), (3, [0.0, 1.0])]
     found = nearest(frame(spark, rows), frame(spark, rows[:1]), k=10).collect()
-    assert [(r["rank"], r.vec_id, round(r.score, 6)) for r in found] == [(1, 2, 0.0), (2, 3, 1.414214)]
+    assert [(r["rank"], r.vec_id, round(r.score, 6)) for r in found] == [(1, 2, 0.0), (2, 3, 1.414214), (3, 3, 1.414214)]
     assert nearest(frame(spark, []), frame(spark, rows)).count() == 0
     assert nearest(frame(spark, rows), frame(spark, [])).count() == 0
 
@@ -90,3 +101,70 @@ def test_inner_products_of_few_and_none(spark):
     assert [(r["rank"], r.vec_id, r.score) for r in found] == [(1, 1, 2), (2, 5, -6)]
     assert top_inner_products(df.limit(0), df).count() == 0
     assert top_inner_products(df, df.limit(0)).count() == 0
+
+
+def with_repeats(n: int, seed: int) -> list[tuple]:
+    """Ids that stand on several rows, some of them equal."""
+    rng = np.random.default_rng(seed)
+    rows = [(int(rng.integers(0, n // 2)), [float(c) for c in rng.integers(-4, 5, 6)]) for _ in range(n)]
+    return rows + rows[:20] + [rows[3]] * 15 + [(100, rows[0][1]), (100, rows[1][1]), (100, rows[1][1])]
+
+
+def all_pairs(rows, score):
+    """Ranks of every query id over all pairs of rows of different ids."""
+    out = {}
+    for q, x in rows:
+        if q % 100 == 0:
+            out.setdefault(q, []).extend((score(np.array(x), np.array(v)), i) for i, v in rows if i != q)
+    return {(q, n, i, s) for q, found in out.items() for n, (s, i) in enumerate(sorted(found)[:10], 1)}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_rows_of_equal_ids_are_all_candidates(spark, monkeypatch, seed):
+    for module, name, value in ((inner_products, "BLOCK", 60), (inner_products, "TILE", 2), (cells, "VECTORS", 40), (cells, "QUERIES", 2)):
+        monkeypatch.setattr(module, name, value)
+    rows = with_repeats(400, seed)
+    df = frame(spark, rows)
+    queries = df.where("vec_id % 100 = 0")
+    whole = df.select("vec_id", F.col("vector").cast("array<long>").alias("vector"))
+    found = top_inner_products(whole, whole.where("vec_id % 100 = 0"), k=10).collect()
+    expected = all_pairs(rows, lambda a, b: -int(a @ b))
+    assert {(r.query_id, r["rank"], r.vec_id, -r.score) for r in found} == expected and len(found) == len(expected)
+    usable = [(i, v) for i, v in rows if any(v)]
+    found = nearest(df, queries, k=10).collect()
+    expected = all_pairs(usable, lambda a, b: float(np.sqrt(((a - b) ** 2).sum())))
+    assert {(r.query_id, r["rank"], r.vec_id, r.score) for r in found} == expected and len(found) == len(expected)
+
+
+def test_inner_products_of_repeated_ids_equal_the_sql(spark, tmp_path):
+    rows = [(i, [float(c) / 8 for c in v]) for i, v in with_repeats(300, 5)] + [(None, [1.0] * 6), (100, None), (7, [float("nan")] * 6)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").coalesce(1).write.parquet(f"{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    assert mismatch(QUERIES["op10_inner_products"](spark, str(tmp_path)).toArrow(), con.sql(ORACLES["op10_inner_products"]).to_arrow_table()) is None
+
+
+def test_scores_beyond_what_doubles_hold(spark):
+    big = 1 << 30
+    rows = [(0, [big, 1]), (1, [big, 3]), (2, [big, 2]), (3, [big, 3])]
+    df = spark.createDataFrame(rows, "vec_id long, vector array<long>")
+    found = top_inner_products(df, df.where("vec_id = 0"), k=2).collect()
+    assert [(r.vec_id, r.score) for r in found] == [(1, big * big + 3), (3, big * big + 3)]
+
+
+def test_a_cell_of_wide_vectors_stays_small():
+    rng = np.random.default_rng(1)
+    queries, vectors = rng.integers(-900, 900, (4096, 768)), rng.integers(-900, 900, (4096, 768))
+    find = inner_products._top(10, np.eye(768))()
+    tracemalloc.start()
+    q, v, s = find(np.arange(4096), queries, np.full(4096, np.nan), np.arange(4096) + 5000, vectors)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(q) == 40_960 and peak < 500_000_000
+    assert (s == np.einsum("ij,ij->i", queries[q], vectors[v])).all()
+
+
+def test_no_query_meets_every_block(spark):
+    vectors = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+    plan = QUERIES["op10_inner_products"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert vectors.count() and "NestedLoop" not in plan and "Cartesian" not in plan

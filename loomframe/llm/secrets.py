@@ -24,8 +24,12 @@ PRIVATE_KEY = (
     r"|(?:(?:\s|\\[nr]){1,4}+[A-Za-z0-9+/=]{16,}+){1,400}+(?:(?:\s|\\[nr]){1,4}+[A-Za-z0-9+/]++={0,2}+\z)?+"
     r"|)"
 )
-#: What stands between a user and a host: after ``user:`` and up to the last @ before the host.
-USERINFO = r"""(?<=:)(?<=(?://[^\s/:@"'<>]{0,256}|[\w.%+-]):)[^\s/"'<>]+(?=@[\w\[])"""
+#: What stands between a user and a host, up to the last @ before the host: after ``//user:``, or after ``user:`` with
+#: at most three further colons. Runs that begin at different colons hardly overlap, so that the search is linear.
+USERINFO = (
+    r"""(?<=:)(?:(?<=//[^\s/:@"'<>]{0,256}:)[^\s/"'<>]+(?=@[\w\[])"""
+    r"""|(?<=[\w.%+-]:)[^\s/"'<>:]+(?::[^\s/"'<>:]*){0,3}(?=@[\w\[]))"""
+)
 #: The end of a name that secrets are assigned to, the sign, and an opening quote.
 NAMED = (
     r"(?:pass|pwd|secret|token|credential|authorization|(?<![a-z])auth(?![a-z])|bearer"
@@ -33,21 +37,25 @@ NAMED = (
     r"[\w.\]-]{0,24}(?:\\?[\"'`])?[\"'`\]]?(?:[ \t]?:[ \t]?[a-z]{1,12})?[ \t]{0,3}(?:[!=]?={1,2}>?|:=?|[?]=)[ \t]{0,3}"
     r"(?:(?:bearer|basic|token|digest)[ \t])?"
 )
-#: A value: between quotes, or up to white space, without closing punctuation and further fields.
+#: A value: between quotes, or up to white space, without closing punctuation and further fields. Without quotes it
+#: holds at most 40 runs of = and :, so that a chain of names and signs is not searched to its end from each of them;
+#: a quote with a backslash before it opens no value but that up to the next of its kind.
 ASSIGNED = (
     # The first tests are cheap and fail nearly everywhere, so that names are seldom looked for.
     r"""(?<=[=:>"'`\\ \t])(?<=[=:>]["'`\\ \t]{0,5}|(?i:earer|asic|oken|igest)[ \t]["'`\\]{0,2})"""
     rf"""(?<=(?i:{NAMED})(?:\\?["'`])?)(?:"""
     r"""(?<=\\")[^"\\\r\n]++(?=\\")"""
-    r"""|(?<=")(?:[^"\\\r\n]++|\\.)++(?=")"""
-    r"""|(?<=')(?:[^'\\\r\n]++|\\.)++(?=')"""
+    r"""|(?<=")(?<!\\")(?:[^"\\\r\n]++|\\.)++(?=")"""
+    r"""|(?<=')(?<!\\')(?:[^'\\\r\n]++|\\.)++(?=')"""
     r"""|(?<=`)[^`\r\n]++(?=`)"""
-    r"""|(?!(?i:bearer|basic|token|digest)[ \t])(?!\\["'])(?=[^\s=:"'`>])\S+?"""
+    r"""|(?!(?i:bearer|basic|token|digest)[ \t])(?!\\["'])(?=[^\s=:"'`>])[^\s=:]+?(?:[=:]++[^\s=:]*?){0,40}?"""
     r"""(?=[.,;:!?)\]}>"'`\\]{0,3}(?:\s|\z)|[&;,][\w.-]{1,40}[=:]|["']\s?/?>|</))"""
 )
 #: A run of key characters with a digit or a change to upper case in it, from after any = on.
 RUN = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*(?:[0-9]|[a-z][A-Z]))[A-Za-z0-9+/_-]{16,}+(?:={1,2}(?![A-Za-z0-9+/_=-]))?"
 CANDIDATE = f"{PRIVATE_KEY}|{USERINFO}|{ASSIGNED}|{RUN}"
+#: Every name that ``ASSIGNED`` looks for holds one of these.
+STEMS = ("pass", "pwd", "secret", "token", "credential", "auth", "bearer", "key")
 BEFORE, AFTER = 48, 24
 REDACTED = "[SECRET]"
 
@@ -280,10 +288,24 @@ def with_candidates(texts: DataFrame) -> DataFrame:
 
     What stands before and after a candidate may reach into its neighbours.
     """
-    pattern = _sql_text(CANDIDATE)
-    runs = texts.withColumn("_runs", F.expr(f"regexp_extract_all(text, {pattern}, 0)"))
+    # Where a text has no @ or none of the names, the parts of the pattern that need them cannot match and are left
+    # out: they look back from many places, which is most of the work.
+    low = texts.withColumn("_low", F.lower("text"))
+    named = " OR ".join(f"contains(_low, '{stem}')" for stem in STEMS)
+    marked = low.withColumn("_named", F.expr(named)).withColumn("_at", F.expr("contains(text, '@')")).drop("_low")
+
+    def by_pattern(call: str) -> str:
+        """``call`` with the pattern of every combination of both marks."""
+        cases = []
+        for has_at, has_name in ((False, False), (False, True), (True, False), (True, True)):
+            parts = [PRIVATE_KEY, *[USERINFO] * has_at, *[ASSIGNED] * has_name, RUN]
+            cases.append(f"WHEN {'' if has_at else 'NOT '}_at AND {'' if has_name else 'NOT '}_named THEN {call.format(_sql_text('|'.join(parts)))}")
+        return f"CASE {' '.join(cases)} END"
+
+    runs = marked.withColumn("_runs", F.expr(by_pattern("regexp_extract_all(text, {}, 0)")))
     # One part more than there are candidates.
-    parts = runs.withColumn("_rest", F.expr(f"CASE WHEN size(_runs) > 0 THEN split(text, {pattern}, -1) END"))
+    split = by_pattern("split(text, {}, -1)")
+    parts = runs.withColumn("_rest", F.expr(f"CASE WHEN size(_runs) > 0 THEN {split} END")).drop("_named", "_at")
     before = f"right(concat(coalesce(right(get(_runs, i - 1), {BEFORE}), ''), right(_rest[i], {BEFORE})), {BEFORE})"
     after = f"left(concat(left(_rest[i + 1], {AFTER}), coalesce(left(get(_runs, i + 1), {AFTER}), '')), {AFTER})"
     listed = f"transform(_runs, (r, i) -> struct(r AS text, {before} AS before, {after} AS after))"
@@ -298,7 +320,7 @@ def scan(docs: DataFrame, forest: list[Node], threshold: float = 0.5) -> DataFra
     have no findings and stay null, as do texts without candidates. Columns of the
     same names are replaced, others stay; rows are judged alone.
     """
-    given = docs.drop("findings", "redacted", "_runs", "_rest", "_listed", "_found").withColumn("text", F.col("text").cast("string"))
+    given = docs.drop("findings", "redacted", "_low", "_named", "_at", "_runs", "_rest", "_listed", "_found").withColumn("text", F.col("text").cast("string"))
     found = with_candidates(given).withColumn("_found", F.expr(f"CASE WHEN size(_runs) > 0 THEN {_described('_listed')} END"))
     scored = f"transform(_found, f -> struct(f.text AS text, {forest_sql(forest, 'f')} AS score))"
     judged = f"transform({scored}, s -> struct(s.text AS text, s.score AS score, s.score >= {threshold}D AS secret))"

@@ -1,11 +1,14 @@
 """Main text of web pages by the distribution of text over line blocks.
 
 A page is cut into lines at its block elements. Markup is stripped, and every line gets
-the length of its text; lines of menus, headers, footers, sidebars, notices, adverts,
-forms and reader comments, and lines that are mostly links, have no length. The lengths
-are summed over sliding windows of lines: where the sums surge from nothing to something
-a stretch of text begins, where they dive to nothing again it ends. Of the stretches the
-longest and those not far below it are kept, with every line of text in them.
+the length of its text. Lines of menus, headers, footers, sidebars, notices, adverts,
+forms and reader comments have no length and never come out; entries of lists and tables
+that are mostly links, and other such lines outside of a marked main part, have no length
+either. The lengths are summed over sliding windows of lines: where the sums surge from
+nothing to something a stretch of text begins, where they dive to nothing again it ends.
+All from the first to the last line with a length in a stretch is text, linked lines
+between them too; a run of linked lines as long as a window is a menu, and so is one
+before or behind all text.
 """
 
 from __future__ import annotations
@@ -13,15 +16,14 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterable, Iterator
-from itertools import pairwise
+from dataclasses import dataclass
+from itertools import accumulate, pairwise
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 #: Lines in a sliding window.
 WINDOW = 3
-#: Share of the longest stretch that a further stretch needs, where a page marks no main part.
-FURTHER = 0.3
 #: Share of a line's text in links above which it counts as a menu.
 LINKS = 0.6
 
@@ -44,17 +46,29 @@ ASIDE = frozenset(
 CLOSES_P = BLOCKS - frozenset("body html caption dd dt td th tr tbody thead tfoot option optgroup title noscript".split())
 #: Of these, an open one ends where the next begins.
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}, "option": {"option"}}
+#: Elements whose lines count as entries of a menu if they are mostly links, also in an article.
+ENTRIES = frozenset("li dt dd td th".split())
 #: Words of class, id and role that mark parts beside the article.
-BESIDE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|adsense|banner|breadcrumbs?|byline-share|comments?|"
-    r"comment-?list|commentary|cookies?|consent|contentinfo|disqus|disclaimer|footer|form|gdpr|header|masthead|menus?|modal|"
-    r"nav|navbar|navigation|newsletter|notices?|notifications?|pager|pagination|paywall|popup|promo(?:tion)?s?|recommended|"
-    r"related|repl(?:y|ies)|respond|rss|search|share|sharing|sidebars?|skip|social|sponsor(?:ed|s)?|subscribe|subscription|"
-    r"tags|toolbar|widgets?|complementary|alert|alertdialog|reader-comments|user-comments)(?:$|[\s_-])",
-    re.IGNORECASE,
+BESIDE = frozenset(
+    "ad ads advert adverts advertisement advertisements advertising adsense alert alertdialog banner breadcrumb breadcrumbs "
+    "comment comments commentlist commentary complementary consent contentinfo cookie cookies disclaimer disqus footer form "
+    "gdpr header masthead menu menus modal nav navbar navigation newsletter notice notices notification notifications pager "
+    "pagination paywall popup promo promos promotion promotions recommended related replies reply respond rss search share "
+    "sharing sidebar sidebars skip social sponsor sponsored sponsors subscribe subscription tags toolbar widget widgets".split()
 )
-COMMENT = re.compile(r"(?:^|[\s_-])(?:comments?|repl(?:y|ies))(?:$|[\s_-])", re.IGNORECASE)
-ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]*))?""", re.IGNORECASE)
+COMMENT = frozenset("comment comments reply replies commentlist".split())
+#: What may follow such a word in a name: boxes, places and lists, which change nothing in what it says.
+BOXES = frozenset(
+    "area articles bar block body bottom box button buttons column container content wrapper wrap entry field group head holder "
+    "icons inner input item items left link links list main outer overlay panel posts region right row section slot small "
+    "stories text title top unit wide".split()
+)
+#: Words that turn it: the element has or lacks such a part and is not one.
+TURNED = frozenset("has have with without no not is hide hides hidden show shows enable enabled disable disabled before after above below".split())
+#: Words that make a header one of the article's own.
+OWN = frozenset("article entry post story content section title chapter".split())
+ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]*))?|"[^"]*"|'[^']*'""")
+PARTS = re.compile(r"[-_]+")
 TAG = re.compile(r"""</?[a-zA-Z](?:[^"'<>]|"[^"<]*"|'[^'<]*')*+>""")
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 SPACES = re.compile(r"\s+")
@@ -109,45 +123,88 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
             at = lt + 1
 
 
-def _beside(name: str, attributes: str) -> bool:
-    """Whether an element stands beside the article by its name or what its attributes say."""
-    if name in ASIDE:
-        return True
-    if not attributes or name in ("html", "body", "main"):
+def attributes_of(text: str) -> dict[str, str]:
+    """Attributes by name, the first of each; what stands in a quoted value is no attribute."""
+    found: dict[str, str] = {}
+    for m in ATTRIBUTE.finditer(text):
+        if m[1]:
+            value = m[2] or ""
+            found.setdefault(m[1].lower(), value[1:-1] if value[:1] in ('"', "'") else value)
+    return found
+
+
+def _marks(name: str, words: frozenset[str]) -> bool:
+    """Whether one name of a class, id or role says that an element is one of ``words``."""
+    parts = [p for p in PARTS.split(name.lower()) if p]
+    if not parts or len(parts) > 3 or not TURNED.isdisjoint(parts):
         return False
+    if parts[-1] in words:
+        return not (parts[-1] == "header" and not OWN.isdisjoint(parts[:-1]))
+    return parts[0] in words and all(p in BOXES or p in words for p in parts[1:])
+
+
+#: How an element stands to the article: not beside it, beside it by what a wrapper is called, or in any case.
+IN, WRAPPED, OUT = 0, 1, 2
+
+
+def _beside(name: str, attributes: str, inside: bool) -> int:
+    """What an element says of all in it; ``inside`` the main part its class counts as much as its name."""
+    if name == "form":
+        return OUT if inside else WRAPPED
+    if name in ASIDE:
+        return OUT
+    if not attributes or name in ("html", "body"):
+        return IN
+    given = attributes_of(attributes)
+    if "hidden" in given or given.get("aria-hidden", "").lower() == "true":
+        return OUT
+    if name == "main":
+        return IN
     # An article may be called anything but a comment.
     words = COMMENT if name == "article" else BESIDE
-    for key, value in ATTRIBUTE.findall(attributes):
-        key, value = key.lower(), value.strip("\"'")
-        if key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
-            return True
-        if key in ("class", "id", "role") and words.search(value):
-            return True
-    return False
+    if any(_marks(word, words) for key in ("class", "id", "role") for word in given.get(key, "").split()):
+        return OUT if inside or name == "article" else WRAPPED
+    return IN
 
 
-def lines(page: str) -> tuple[list[tuple[str, int]], bool]:
-    """Lines of a page with the length that counts, and whether the page marks its main part.
+@dataclass(frozen=True)
+class Line:
+    """A line of a page: its text, how it stands to the article, in a marked main part or not, and mostly links or not."""
 
-    Length 0 stands for lines beside the article; where there is an ``article`` or ``main``, for all outside of it too.
-    """
-    out: list[tuple[str, int, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, beside, in the main part
+    text: str
+    beside: int
+    form: bool
+    main: bool
+    menu: bool
+
+
+@dataclass(frozen=True)
+class Open:
+    """An open element with what it and those around it say."""
+
+    name: str
+    beside: int = IN
+    form: bool = False
+    main: bool = False
+
+
+def lines(page: str) -> list[Line]:
+    """The lines of a page, cut at its block elements."""
+    out: list[Line] = []
+    stack: list[Open] = []
     text: list[str] = []
-    linked = 0
-    beside = main = False
+    linked = links = 0
+    now = Open("")
 
     def flush() -> None:
         nonlocal linked
         line = SPACES.sub(" ", html.unescape("".join(text))).strip()
         if line or not text:
-            # Outside of a marked main part, lines that are mostly links are menus.
-            menu = not main and linked > LINKS * len(line)
-            out.append((line, 0 if beside or menu else len(line), main))
+            entry = any(s.name in ENTRIES for s in stack[-3:])
+            out.append(Line(line, now.beside, now.form, now.main, (entry or not now.main) and linked > LINKS * len(line)))
         text.clear()
         linked = 0
 
-    links = 0
     for kind, value, attributes in tokens(page):
         if kind == "text":
             text.append(value)
@@ -163,78 +220,85 @@ def lines(page: str) -> tuple[list[tuple[str, int]], bool]:
             ends = ends | SIBLINGS.get(value, set())
             if ends:
                 _close_open(stack, ends)
-                beside, main = _state(stack)
+                now = _state(stack)
             if value not in VOID:
-                was = _state(stack)
-                is_main = value in ("article", "main") or (value != "body" and 'role="main"' in attributes)
-                inner = _beside(value, attributes)
+                main = value in ("article", "main")
+                if value != "body" and not main and "role" in attributes.lower():
+                    main = "main" in attributes_of(attributes).get("role", "").lower().split()
+                inner = IN if main and value != "article" and value != "main" else _beside(value, attributes, now.main)
                 # An article's own heading stands in a header without being beside it.
-                if value in ("header", "hgroup") and was[1]:
-                    inner = False
-                stack.append((value, was[0] or inner, was[1] or is_main))
-                beside, main = _state(stack)
+                if value in ("header", "hgroup") and now.main:
+                    inner = IN
+                form = now.form or (value == "form" and inner == WRAPPED)
+                inner = IN if value == "form" and inner == WRAPPED else inner
+                now = Open(value, max(now.beside, inner), form, now.main or main)
+                stack.append(now)
                 links += value == "a"
         elif kind == "close":
             if value in BLOCKS or value in ASIDE:
                 flush()
             for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == value:
-                    links -= sum(s[0] == "a" for s in stack[depth:])
+                if stack[depth].name == value:
+                    links -= sum(s.name == "a" for s in stack[depth:])
                     del stack[depth:]
                     break
-                if stack[depth][0] in ("article", "main", "body", "td", "table") and value not in BLOCKS:
+                if stack[depth].name in ("article", "main", "body", "td", "table") and value not in BLOCKS:
                     break
-            beside, main = _state(stack)
+            now = _state(stack)
     flush()
-    marked = any(length and inside for _, length, inside in out)
-    return [(line, length if inside or not marked else 0) for line, length, inside in out], marked
+    return out
 
 
-def _state(stack: list[tuple[str, bool, bool]]) -> tuple[bool, bool]:
-    return stack[-1][1:] if stack else (False, False)
+def _state(stack: list[Open]) -> Open:
+    return stack[-1] if stack else Open("")
 
 
-def _close_open(stack: list[tuple[str, bool, bool]], names: set[str]) -> None:
+def _close_open(stack: list[Open], names: set[str]) -> None:
     """Close the innermost of ``names`` with what is open in it, unless another block stands between."""
     for depth in range(len(stack) - 1, -1, -1):
-        if stack[depth][0] in names:
+        if stack[depth].name in names:
             del stack[depth:]
             return
-        if stack[depth][0] in BLOCKS:
+        if stack[depth].name in BLOCKS:
             return
 
 
 def main_text(page: str | None) -> str:
-    """Main text of a page: its blocks in order, joined by line feeds; empty where there is none."""
+    """Main text of a page: its blocks in order, joined by line feeds; empty where there is none.
+
+    What a wrapper around the whole article is called does not count: where nothing else
+    is left, the lines of a marked main part count in spite of the names of wrappers, and
+    those of a form that holds the page.
+    """
     if not page:
         return ""
-    found, marked = lines(page)
-    lengths = [length for _, length in found]
+    found = [line for line in lines(page) if line.text]
+    usable = [line.beside == IN and not line.form for line in found]
+    if not any(usable):
+        usable = [line.beside != OUT and (line.main or line.beside == IN) for line in found]
+    marked = any(ok and line.main for line, ok in zip(found, usable, strict=True))
+    usable = [ok and (line.main or not marked) for line, ok in zip(found, usable, strict=True)]
+    if marked and all(line.menu for line, ok in zip(found, usable, strict=True) if ok):
+        # An article of links alone is no menu.
+        return "\n".join(line.text for line, ok in zip(found, usable, strict=True) if ok)
+    lengths = [len(line.text) if ok and not line.menu else 0 for line, ok in zip(found, usable, strict=True)]
+    return "\n".join(found[i].text for lo, hi in stretches(lengths) for i in range(lo, hi) if usable[i])
+
+
+def stretches(lengths: list[int]) -> list[tuple[int, int]]:
+    """Ranges of lines from a surge of the window sums to the next dive, from their first to their last line with a length."""
     n = len(lengths)
-    sums = [0]
-    for length in lengths:
-        sums.append(sums[-1] + length)
+    sums = [0, *accumulate(lengths)]
     blocks = [sums[min(n, i + WINDOW)] - sums[i] for i in range(n)]
-    stretches: list[tuple[int, int]] = []  # from the surge to the dive
-    begin = None
+    out: list[tuple[int, int]] = []
+    begin = 0
     for i, (before, block) in enumerate(pairwise([0, *blocks, 0])):
         if block and not before:
             begin = i
-        if before and not block and begin is not None:
-            stretches.append((begin, i))
-            begin = None
-    if not stretches:
-        return ""
-    weight = [sums[min(n, hi)] - sums[lo] for lo, hi in stretches]
-    least = 0 if marked else FURTHER * max(weight)
-    kept_lines = [
-        found[i][0]
-        for (lo, hi), w in zip(stretches, weight, strict=True)
-        if w >= least
-        for i in range(lo, min(n, hi))
-        if lengths[i]
-    ]
-    return "\n".join(kept_lines)
+        if before and not block:
+            full = [j for j in range(begin, min(n, i)) if lengths[j]]
+            out.append((full[0], full[-1] + 1))
+    return out
 
 
 def _extract(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -16,8 +16,8 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
 from itertools import accumulate, pairwise
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -167,8 +167,7 @@ def _beside(name: str, attributes: str, inside: bool) -> int:
     return IN
 
 
-@dataclass(frozen=True)
-class Line:
+class Line(NamedTuple):
     """A line of a page: its text, how it stands to the article, in a marked main part or not, and mostly links or not."""
 
     text: str
@@ -178,8 +177,7 @@ class Line:
     menu: bool
 
 
-@dataclass(frozen=True)
-class Open:
+class Open(NamedTuple):
     """An open element with what it and those around it say."""
 
     name: str
@@ -200,8 +198,8 @@ def lines(page: str) -> list[Line]:
         nonlocal linked
         line = SPACES.sub(" ", html.unescape("".join(text))).strip()
         if line or not text:
-            entry = any(s.name in ENTRIES for s in stack[-3:])
-            out.append(Line(line, now.beside, now.form, now.main, (entry or not now.main) and linked > LINKS * len(line)))
+            menu = linked > LINKS * len(line) and (not now.main or any(s.name in ENTRIES for s in stack[-3:]))
+            out.append(Line(line, now.beside, now.form, now.main, menu))
         text.clear()
         linked = 0
 

@@ -88,14 +88,14 @@ def chunks(lengths: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
         yield first, len(lengths)
 
 
-def pack_texts(key: str):
-    """A function for ``mapInArrow``: the rows' ``key`` and their compressed ``text``, for a shuffle of texts."""
+def pack_texts(*keys: str):
+    """A function for ``mapInArrow``: the rows' ``keys`` and their compressed ``text``, for a shuffle of texts."""
 
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=3)
         for batch in sliced(batches):
             packed = [packer.compress(t) for t in utf8(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(packed, pa.binary())], names=[key, "packed"])
+            yield pa.RecordBatch.from_arrays([*map(batch.column, keys), pa.array(packed, pa.binary())], names=[*keys, "packed"])
 
     return pack
 

@@ -33,6 +33,7 @@ from pyspark.sql.window import Window
 from loomframe.llm.common import chunks, group_bounds, kept, mixed, pack_texts, sliced, utf8, whole_groups
 from loomframe.llm.components import components
 from loomframe.llm.shingles import minhash_seeds, minhashes, shingle_set
+from loomframe.operators.joins import split_join
 
 TREES = 20
 DEPTH = 8
@@ -44,7 +45,7 @@ MISS = 1e-6
 BLOCK = 2048
 
 CELL = ["tree", "key", "cell"]
-SIGNED = "doc_id long, n_shingles long, h1 long, h2 long, keys array<long>, orders array<binary>, sig binary"
+SIGNED = "doc_id long, content long, n_shingles long, h1 long, h2 long, keys array<long>, orders array<binary>, sig binary"
 
 
 def least_depth(percent: int, trees: int = TREES) -> int:
@@ -93,6 +94,7 @@ def _signer(size: int, depth: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(lo, n).cast(pa.int64()),
+                        batch.column("content").slice(lo, n),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array(ids[:, 0].view(np.int64)),
                         pa.array(ids[:, 1].view(np.int64)),
@@ -100,7 +102,7 @@ def _signer(size: int, depth: int):
                         pa.array(orders, pa.list_(pa.binary())),
                         pa.array(sigs, pa.binary()),
                     ],
-                    names=["doc_id", "n_shingles", "h1", "h2", "keys", "orders", "sig"],
+                    names=["doc_id", "content", "n_shingles", "h1", "h2", "keys", "orders", "sig"],
                 )
 
     return sign
@@ -242,38 +244,43 @@ def _cut(tree: Column, rows: Column, order: Column, doc: Column, depth: int) ->
     return F.xxhash64(deeper, salt)
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` for every row of ``docs`` (doc_id, text).
+def _read(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``text`` and ``content``: id and hash of the text tell rows apart, also where texts share an id."""
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("content"))
 
-    Two documents are linked if ``100 * intersection >= percent * union`` holds for
-    their sets of ``size``-word shingles; ``component_id`` is the smallest doc_id
-    that links lead to, ``kept`` marks the document that carries it. Documents with
-    equal sets form a class of which one goes through the search.
 
-    Null and empty texts and texts of white space have no shingles and are linked
-    with nothing. Repeated rows get the same result. A null doc_id takes part in
-    nothing and is its own component, null, and kept. An empty table gives an
-    empty result; other columns are ignored.
+def _grouped(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The signed rows of ``docs``, and all classes of equal sets with the row that stands for each and their component.
+
+    Classes are numbered when they are written; ``component`` is the number of one of them.
     """
     depth, least = least_depth(percent), least_matches(percent)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = kept(docs.mapInArrow(_signer(size, depth), SIGNED), "signed")
     usable = signed.where("doc_id is not null and n_shingles > 0")
-    classes = kept(usable.groupBy("h1", "h2", "n_shingles").agg(F.min("doc_id").alias("class")), "classes")
-    # One row of every class: the signature is that of any member. Only keys are moved to find shared regions. What
-    # these joins look for grows with the corpus, so none of it is broadcast.
-    heads = classes.select(F.col("class").alias("doc_id"))
-    keys = usable.select("doc_id", "keys").join(heads.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    keys = kept(keys, "keys")
+    classes = usable.groupBy("h1", "h2", "n_shingles").agg(F.min(F.struct("doc_id", "content")).alias("head"))
+    classes = classes.select("h1", "h2", "n_shingles", "head.doc_id", "head.content", F.monotonically_increasing_id().alias("class"))
+    classes = kept(classes, "classes")
+    # One row of every class goes through the search, under the number of the class. Only keys are moved to find
+    # shared regions. What these joins look for grows with the corpus, so none of it is broadcast.
+    row = ["doc_id", "content"]
+    heads = classes.select(*row, "class")
+
+    def of_heads(rows: DataFrame, heads: DataFrame, *columns: str) -> DataFrame:
+        found = rows.join(heads.hint("merge"), row).dropDuplicates(["class"])
+        return found.select(F.col("class").alias("doc_id"), *columns)
+
+    keys = kept(of_heads(usable.select(*row, "keys"), heads, "keys"), "keys")
     places = keys.select("doc_id", F.posexplode("keys").alias("tree", "key"))
     # Written first, so that both sides of the join are plain shuffles and a region with very many rows can be split.
     counts = kept(places.groupBy("tree", "key").agg(F.count("*").alias("rows")).where("rows > 1"), "counts")
     regions = kept(places.join(counts.hint("merge"), ["tree", "key"]), "regions")
-    sharing = kept(regions.select("doc_id").distinct(), "sharing")
-    signs = usable.select("doc_id", "n_shingles", "sig", "keys", "orders")
-    signs = kept(signs.join(sharing.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "signs")
-    texts = docs.mapInArrow(pack_texts("doc_id"), "doc_id long, packed binary")
-    texts = texts.join(sharing.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    sharing = regions.select(F.col("doc_id").alias("class")).distinct()
+    sharing = kept(heads.join(sharing.hint("merge"), "class"), "sharing")
+    signs = usable.select(*row, "n_shingles", "sig", "keys", "orders")
+    signs = kept(of_heads(signs, sharing, "n_shingles", "sig", "keys", "orders"), "signs")
+    texts = docs.mapInArrow(pack_texts(*row), "doc_id long, content long, packed binary")
+    texts = of_heads(texts, sharing, "packed")
     sets = kept(texts.mapInArrow(_set_maker(size), "doc_id long, words binary"), "sets")
 
     chained = regions.where(F.col("tree") < CHAINS).join(signs.hint("merge"), "doc_id")
@@ -345,11 +352,60 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
             )
         )
     )
-    by_class = classes.join(found.withColumnRenamed("node", "class"), "class", "left").select(
-        "h1", "h2", "n_shingles", F.coalesce("component", "class").alias("component_id")
-    )
-    result = signed.select("doc_id", "n_shingles", "h1", "h2").join(by_class, ["h1", "h2", "n_shingles"], "left")
+    labels = found.select(F.col("node").alias("class"), "component")
+    labelled = classes.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    return signed, kept(labelled, "labelled")
+
+
+def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` for every row of ``docs`` (doc_id, text).
+
+    Two documents are linked if ``100 * intersection >= percent * union`` holds for
+    their sets of ``size``-word shingles; ``component_id`` is the smallest doc_id
+    that links lead to, ``kept`` marks the document that carries it. Documents with
+    equal sets form a class of which one goes through the search. Rows of one id with
+    different texts are one document that has the links of all its texts.
+
+    Null and empty texts and texts of white space have no shingles and are linked
+    with nothing. Repeated rows get the same result. A null doc_id takes part in
+    nothing and is its own component, null, and kept. An empty table gives an
+    empty result; other columns are ignored.
+    """
+    signed, classes = _grouped(_read(docs), size, percent)
+    same = ["h1", "h2", "n_shingles"]
+    # Ids that stand on several texts, which are few or none, tie the components of these together.
+    usable = signed.where("doc_id is not null and n_shingles > 0").select("doc_id", *same)
+    several = usable.groupBy("doc_id").agg(F.min(F.struct(*same)).alias("low"), F.max(F.struct(*same)).alias("high")).where("low <> high")
+    ties = split_join(usable, several.select("doc_id"), "doc_id", "left_semi").distinct().join(classes.select(*same, "component"), same)
+    ties = kept(ties.select("doc_id", "component"), "ties")
+    first = ties.groupBy("doc_id").agg(F.min("component").alias("a"))
+    tied = components(split_join(ties, first, "doc_id").select("a", F.col("component").alias("b")))
+    whole = classes.join(tied.select(F.col("node").alias("component"), F.col("component").alias("whole")), "component", "left")
+    whole = kept(whole.withColumn("whole", F.coalesce("whole", "component")), "whole")
+    smallest = whole.groupBy("whole").agg(F.min("doc_id").alias("component_id"))
+    # Written, so that neither a large component nor a large class makes one task of its rows.
+    by_class = kept(split_join(whole, smallest, "whole").select(*same, "component_id"), "by-class")
+    result = signed.select("doc_id", *same).join(by_class, same, "left")
     own = F.when(F.col("doc_id").isNull() | (F.col("n_shingles") == 0), F.col("doc_id")).otherwise(F.col("component_id"))
     return result.select("doc_id", "n_shingles", own.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
     )
+
+
+def representatives(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` with one text of every group of near duplicates: that of the smallest id.
+
+    Here a text is a document, also where several share an id, so unrelated texts of one
+    id all stay. Repeated rows become one; texts without shingles stay, once for each id;
+    rows without an id all stay. The columns are those of ``docs``.
+    """
+    signed, classes = _grouped(_read(docs), size, percent)
+    row = ["doc_id", "content"]
+    chosen = classes.groupBy("component").agg(F.min(F.struct(*row)).alias("head")).select("head.*")
+    empty = signed.where("doc_id is not null and n_shingles = 0").select(*row).distinct()
+    chosen = kept(chosen.union(empty), "chosen").select(F.col("doc_id").alias("_id"), F.col("content").alias("_content"))
+    named = docs.where("doc_id is not null")
+    named = named.withColumns({"_id": F.col("doc_id").cast("long"), "_content": F.xxhash64(F.col("text").cast("string"))})
+    # Copies of a row become one in each task before they are moved.
+    once = named.dropDuplicates(["_id", "_content"])
+    return once.join(chosen.hint("merge"), ["_id", "_content"], "left_semi").select(*docs.columns).union(docs.where("doc_id is null"))

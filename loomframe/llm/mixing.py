@@ -222,5 +222,6 @@ def take(docs: DataFrame, **how) -> DataFrame:
     content = F.xxhash64("doc_id", F.col("source").cast("string"), F.col("text").cast("string"))
     copies = mix(docs, part=False, **how).groupBy("content").agg(F.sum("copies").cast("int").alias("copies"))
     whole = docs.select(content.alias("content"), F.struct(*docs.columns).alias("row"))
-    rows = whole.join(copies.where("copies > 0"), "content").dropDuplicates(["content"])
+    # Repeated rows become one in each task before they are moved.
+    rows = whole.dropDuplicates(["content"]).join(copies.where("copies > 0"), "content")
     return rows.select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")

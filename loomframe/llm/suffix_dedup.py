@@ -277,7 +277,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     )
     marks = settled.union(asked).groupBy("doc").agg(F.collect_set("mark").alias("marks"))
     packed = docs.select("doc", "text").mapInArrow(_pack, "doc long, packed binary")
-    touched = kept(packed.join(marks, "doc").dropDuplicates(["doc"]), "touched")
+    # Repeated rows become one in each task before they are moved.
+    touched = kept(packed.dropDuplicates(["doc"]).join(marks, "doc"), "touched")
 
     around = touched.where(F.exists("marks", lambda m: m["gram"].isNotNull())).mapInArrow(_cut_out, CUT_OUT)
     around = kept(around, "surroundings")

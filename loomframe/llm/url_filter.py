@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomframe.operators.joins import split_join
+
 TOKEN = "[a-z0-9]+"
 #: Rules up to this number are broadcast; more are joined by token with a shuffle.
 BROADCAST_RULES = 100_000
@@ -99,7 +101,8 @@ def filter_urls(pages: DataFrame, rules: list[Rule], junk: tuple[Rule, ...] = JU
         .groupBy("host", "path")
         .agg(F.max(F.struct("by_site", "length", "order", "rule", "verdict")).alias("best"))
     )
-    found = judged.join(best, ["host", "path"], "left")
+    # A URL that fills the table, or rows without one, are split over tasks.
+    found = split_join(judged, best, ["host", "path"], "left")
     return found.select(
         "page_id",
         "host",

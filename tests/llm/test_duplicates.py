@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 from brute import near_duplicates as plain
-from brute import repeated_bytes
+from brute import repeated_bytes, shingles
 from conftest import bag
 
 from loomframe.llm import lsh_forest, suffix_dedup
@@ -57,6 +57,61 @@ def test_large_regions_are_cut_and_stay_whole(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found.collect()} == plain(rows, 3, 85)
 
 
+def by_id(rows: list[tuple], size: int, percent: int) -> dict:
+    """doc_id -> smallest id that links of any of its texts lead to."""
+    sets = {}
+    for i, t in rows:
+        if i is not None:
+            sets.setdefault(i, set()).add(shingles(t, size))
+    reach = {i: i for i in sets}
+    linked = [
+        (a, b)
+        for a in sets
+        for b in sets
+        if any(x and y and 100 * len(x & y) >= percent * len(x | y) for x in sets[a] for y in sets[b])
+    ]
+    for _ in sets:
+        for a, b in linked:
+            reach[b] = min(reach[a], reach[b])
+    return reach
+
+
+def test_links_of_all_texts_of_an_id(spark):
+    a, b = ("the quick brown fox jumps over the lazy dog " * 3).split(), [f"w{i}" for i in range(30)]
+    text = " ".join
+    rows = [(5, text(a)), (5, text(b)), (7, text(a + ["x"])), (9, text([*b[:-1], "y"]))]
+    found = bag(near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 80), "doc_id", "component_id", "kept")
+    assert found == {(5, 5, True): 2, (7, 5, False): 1, (9, 5, False): 1}
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_repeated_ids_equal_brute_force(spark, seed):
+    rng = random.Random(seed)
+    rows = [(rng.choice([i, i % 50, 3]), t) for i, t in corpus(seed, 90) if i is not None] + [(None, "one")]
+    found = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 80).collect()
+    expected = by_id(rows, 3, 80)
+    assert len(found) == len(rows)
+    empty = {i for i, t in rows if not shingles(t, 3)}
+    for r in found:
+        if r.doc_id is not None and r.n_shingles:
+            assert r.component_id == expected[r.doc_id], r
+        elif r.doc_id in empty:
+            assert r.component_id == r.doc_id and r.kept
+
+
+def test_representatives_keep_a_text_of_every_group(spark):
+    a, b = ("the quick brown fox jumps over the lazy dog " * 4).split(), [f"w{i}" for i in range(40)]
+    text = " ".join
+    rows = [
+        (5, text(a), 1), (5, text(b), 2), (7, text([*a, "x"]), 3), (9, text([*b, "y"]), 4), (5, text(a), 1), (11, "alone", 5),
+        (12, None, 6), (12, None, 6), (13, "", 7), (None, text(a), 8), (None, text(a), 8), (12, "other", 9),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, content int")
+    kept_rows = bag(lsh_forest.representatives(docs))
+    assert kept_rows == {rows[0]: 1, rows[1]: 1, rows[5]: 1, rows[6]: 1, rows[8]: 1, rows[9]: 2, rows[11]: 1}
+    assert lsh_forest.representatives(docs.limit(0)).count() == 0
+
+
 def test_near_duplicates_of_nothing(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     found = near_duplicates(empty)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from loomframe.llm import quality, secrets
 from loomframe.llm.common import kept
-from loomframe.llm.lsh_forest import near_duplicates
+from loomframe.llm.lsh_forest import representatives
 from loomframe.llm.mixing import take
 from loomframe.llm.queries import PIECES
 from loomframe.llm.segmentation import encode_texts
@@ -28,13 +28,11 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every group of near duplicates (five-word shingles, similarity 0.8).
+    """One text of every group of near duplicates (five-word shingles, similarity 0.8), that of the smallest id.
 
-    Repeated rows of one id become one; rows without an id all stay.
+    Repeated rows become one; different texts of one id are documents of their own; rows without an id all stay.
     """
-    chosen = near_duplicates(docs, size=5, percent=80).where("kept and doc_id is not null").select("doc_id").distinct()
-    one = docs.join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return one.select(*docs.columns).union(docs.where("doc_id is null"))
+    return representatives(docs, size=5, percent=80)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

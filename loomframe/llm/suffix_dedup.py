@@ -34,7 +34,8 @@ LENGTH = 200
 GRAM = 25
 #: q-grams of a window.
 WIDTH = LENGTH - GRAM + 1
-#: Low bits of a sliding minimum that hold the position: documents may have up to 2^28 bytes.
+#: Windows of a text that are looked at once, and the low bits of a sliding minimum that hold a position among them.
+PIECE = 1 << 22
 PLACE = 28
 #: Surroundings of a bucket that one task compares.
 LARGE = 2000
@@ -80,12 +81,15 @@ def _anchor_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             data = np.frombuffer((text or "").encode(), np.uint8)
             if len(data) < LENGTH:
                 continue
-            gram, around, at, left, right = anchors(data)
-            held.append((gram.view(np.int64), around.view(np.int64), np.full(len(at), doc), at.astype(np.int32), left.astype(np.int16), right.astype(np.int16)))
-            size += len(at)
-            if size > 200_000:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held, strict=True)], names=names)
-                held, size = [], 0
+            # Windows of a longer text are dealt out; an anchor at a border then has two rows, with other windows each.
+            for first in range(0, len(data) - LENGTH + 1, PIECE):
+                gram, around, at, left, right = anchors(data[first : first + PIECE + LENGTH - 1])
+                at = (at + first).astype(np.int32)
+                held.append((gram.view(np.int64), around.view(np.int64), np.full(len(at), doc), at, left.astype(np.int16), right.astype(np.int16)))
+                size += len(at)
+                if size > 200_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held, strict=True)], names=names)
+                    held, size = [], 0
         if held:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held, strict=True)], names=names)
 

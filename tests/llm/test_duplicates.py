@@ -149,9 +149,10 @@ def texts_with_repeats(seed: int) -> list[tuple]:
     ]
 
 
-@pytest.mark.parametrize("large", [suffix_dedup.LARGE, 1])
-def test_repeated_spans_equal_brute_force(spark, monkeypatch, large):
+@pytest.mark.parametrize(("large", "piece"), [(suffix_dedup.LARGE, suffix_dedup.PIECE), (1, 70), (suffix_dedup.LARGE, 33)])
+def test_repeated_spans_equal_brute_force(spark, monkeypatch, large, piece):
     monkeypatch.setattr(suffix_dedup, "LARGE", large)
+    monkeypatch.setattr(suffix_dedup, "PIECE", piece)
     rows = texts_with_repeats(3)
     df = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, doc string, spans int")
     found = suffix_dedup.repeated_spans(df.repartition(3))

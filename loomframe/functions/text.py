@@ -7,8 +7,9 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A run of characters that are no Unicode white space and no separator control. Fixed value.
-WORD = r"(?U)[^\s\x1c-\x1f]+"
+# A run of characters that are no Unicode white space and no separator control. Fixed value. Ranges are much faster
+# than the class \s with its Unicode meaning.
+WORD = r"[^\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
 
 
 def _col(c: Column | str) -> Column:

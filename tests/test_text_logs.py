@@ -151,3 +151,13 @@ def test_graph(spark, hero_lines):
     names = spark.createDataFrame([(1, "A"), (2, "B"), (3, "C")], "id int, name string")
     assert bag(graph.most_connected(degree, names)) == {("5", 4, None): 1}
     assert bag(graph.least_connected(degree, names)) == {("2", 1, "B"): 1, ("3", 1, "C"): 1}
+
+
+def test_words_end_at_every_kind_of_white_space(spark):
+    """The ranges of ``WORD`` are the Unicode meaning of white space, for every code point."""
+    points = spark.range(1, 0x110000).where("id not between 55296 and 57343").select(F.col("id"), F.expr("decode(unhex(lpad(hex(id), 8, '0')), 'UTF-32')").alias("c"))
+    text = F.concat(F.lit("a"), "c", F.lit("b"))
+    unicode = F.regexp_extract_all(text, F.lit(r"(?U)[^\s\x1c-\x1f]+"), F.lit(0))
+    differing = points.where(~unicode.eqNullSafe(fn.tokens(text)))
+    assert [hex(r.id) for r in differing.collect()] == []
+    assert points.where(F.size(fn.tokens(text)) == 2).count() == 29

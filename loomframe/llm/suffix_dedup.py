@@ -8,8 +8,8 @@ put in buckets, and a window is judged in the bucket of its anchor alone:
 2. A bucket is refined by an identifier of all that its anchor's windows span. Suffixes
    that still share a bucket are repeated with all their windows.
 3. In buckets that hold different surroundings, one suffix for each surrounding goes on.
-   Its q-gram identifiers are refined by those at later offsets (25 -> 50 -> 100 -> 200
-   bytes, each level named by sorting and used again by the next), which gives the
+   Its buckets of q-grams are refined by the bucket pointers at later offsets, and those
+   renewed serve to refine further (25 -> 50 -> 100 -> 200 bytes), which gives the
    bucket of every single window. A bucket with more surroundings than one task should
    hold is refined window by window with a shuffle instead.
 
@@ -138,10 +138,26 @@ def _named(*ids: np.ndarray) -> np.ndarray:
     return out
 
 
+def _pointers(order: np.ndarray, *ids: np.ndarray) -> np.ndarray:
+    """Bucket pointers of rows in this sorted order: the place of the first row with equal ids."""
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for x in ids:
+        s = x[order]
+        new[1:] |= s[1:] != s[:-1]
+    out = np.empty(len(order), np.int64)
+    out[order] = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
+    return out
+
+
 def window_buckets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bucket of every window of ``LENGTH`` bytes of the texts, with its text's number and start there.
 
-    The buckets of q-grams are refined with those of later offsets; each level halves the steps to the next.
+    A bucket pointer is the place of a bucket in sorted order. The buckets of q-grams are
+    refined by the pointers at the next offset, and so on with the pointers that this has
+    renewed, until they span a window. A suffix that is alone in its bucket keeps its pointer
+    and is sorted no more; it only serves others. Pointers never span more than a
+    window, as windows that differ behind their end are still equal.
     """
     data = np.frombuffer(b"".join(texts), np.uint8)
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
@@ -149,17 +165,23 @@ def window_buckets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     start = np.arange(len(data)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     left = np.repeat(sizes, sizes) - start  # bytes from here to the end of the text
     sums = prefix_sums(data)
-    bucket = np.full(len(data), -1, np.int64)
+    pointer = np.full(len(data), -1, np.int64)
     at = np.flatnonzero(left >= GRAM)
-    bucket[at] = _named(span_hash(sums, at, at + GRAM))
+    gram = span_hash(sums, at, at + GRAM)
+    pointer[at] = _pointers(np.argsort(gram, kind="stable"), gram)
     step = GRAM
     while step < LENGTH:
         at = np.flatnonzero(left >= 2 * step)
+        shared = at[np.bincount(pointer[at], minlength=1)[pointer[at]] > 1]
         finer = np.full(len(data), -1, np.int64)
-        finer[at] = _named(bucket[at], bucket[at + step])
-        bucket, step = finer, 2 * step
-    at = np.flatnonzero(bucket >= 0)
-    return bucket[at], owner[at], start[at]
+        finer[at] = pointer[at]
+        bucket, later = pointer[shared], pointer[shared + step]
+        order = np.lexsort((later, bucket))
+        # A bucket's part gets the bucket's place and its own within the bucket.
+        finer[shared] = bucket + _pointers(order, bucket, later) - _pointers(order, bucket)
+        pointer, step = finer, 2 * step
+    at = np.flatnonzero(pointer >= 0)
+    return pointer[at], owner[at], start[at]
 
 
 def _runs(owner: np.ndarray, start: np.ndarray) -> np.ndarray:

@@ -82,7 +82,8 @@ def split_join(left: DataFrame, right: DataFrame, on: str | list[str], how: str
     on = [on] if isinstance(on, str) else on
     right = right.withColumns({c: F.col(c).cast(left.schema[c].dataType) for c in on})
     key = F.xxhash64(*on).alias("_hash")
-    return left.select("*", key).join(right.select("*", key), [*on, "_hash"], how).drop("_hash")
+    joined = left.select("*", key).join(right.select("*", key), [*on, "_hash"], how)
+    return joined.select(*left.columns, *[c for c in joined.columns if c not in left.columns and c != "_hash"])
 
 
 def attach(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:

@@ -10,6 +10,7 @@ from conftest import bag, final_plan
 from pyspark.sql import functions as F
 
 from loomframe import sinks, sources
+from loomframe.operators import joins
 from loomframe.plans import etl, sales, similarity, warehouse
 
 
@@ -256,3 +257,44 @@ def test_similarity_scans_each_table_once(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert plan.count("FileScan") == 2 and "ReusedExchange" in plan
+
+
+def plain_similarity(rows, min_pairs):
+    """(item1, item2) -> (score, pairs) over all pairs of ratings by one user."""
+    sums = defaultdict(lambda: [0, 0, 0, 0])
+    for user, a, x in rows:
+        for other, b, y in rows:
+            if user is not None and user == other and a is not None and b is not None and a < b:
+                s = sums[a, b]
+                for i, v in enumerate((x * y, x * x, y * y, 1)):
+                    s[i] += v
+    return {p: (s[0] / (math.sqrt(s[1]) * math.sqrt(s[2])), s[3]) for p, s in sums.items() if s[3] >= min_pairs}
+
+
+@pytest.mark.parametrize("rounds", [1, 2, 4])
+@pytest.mark.parametrize("min_pairs", [2, 4, 9])
+def test_pruned_similarity_loses_no_pair(spark, min_pairs, rounds):
+    """Ratings that repeat, users with one item, items of few users, users and items that are NULL."""
+    rng = random.Random(min_pairs)
+    rows = [(rng.choice([*range(12), *range(60)]), rng.choice([*range(6), *range(80)]), rng.randint(1, 5)) for _ in range(420)]
+    rows += [(99, 70, 3)] * 3 + [(99, 71, 2)] * 3 + [(None, 1, 2), (3, None, 2)]
+    df = spark.createDataFrame(rows, "u int, i int, r int")
+    found = similarity.item_similarity(df, "u", "i", "r", min_pairs=min_pairs, rounds=rounds).collect()
+    expected = plain_similarity(rows, min_pairs)
+    assert {(f.item1, f.item2): (pytest.approx(f.score), f.num_pairs) for f in found} == expected and expected
+
+
+def test_pruning_forms_fewer_pairs(spark):
+    """Many items with few ratings beside some with many: what is left forms a small part of all pairs."""
+    rare = [(u, 1000 + 40 * u + i, 3) for u in range(50) for i in range(40)]
+    often = [(u, i, 1 + (u + i) % 5) for u in range(50) for i in range(6)]
+    df = spark.createDataFrame(rare + often, "u int, i int, r int")
+    left = similarity.could_reach(df, "u", "i", 20)
+    assert bag(left) == bag(spark.createDataFrame(often, "u int, i int, r int"))
+    formed = lambda rows: joins.pairs(rows, "u", "i").count()
+    assert formed(left) * 50 < formed(df)
+    same = similarity.item_similarity(df, "u", "i", "r", min_pairs=20)
+    assert bag(same) == bag(similarity.item_similarity(df, "u", "i", "r").where("num_pairs >= 20"))
+    # A pair with as many pairs of ratings as asked for by one user alone stays.
+    one = spark.createDataFrame([(1, 1, 2)] * 5 + [(1, 2, 3)] * 4, "u int, i int, r int")
+    assert [r.num_pairs for r in similarity.item_similarity(one, "u", "i", "r", min_pairs=20).collect()] == [20]

@@ -142,3 +142,16 @@ def fn_cast(t: Tables):
     return t.orders.select(
         "o_orderkey", dirty.try_cast("double").alias("price"), priority.cast("int").alias("priority")
     )
+
+
+@query(
+    """
+    SELECT n_nationkey, 'nation' AS kind, CAST(7 AS INTEGER) AS whole, 0.5::DOUBLE AS half, true AS yes, CAST(NULL AS VARCHAR) AS nothing
+    FROM nation
+    """
+)
+def fn_literals(t: Tables):
+    return t.nation.select(
+        "n_nationkey", F.lit("nation").alias("kind"), F.lit(7).alias("whole"), F.lit(0.5).alias("half"), F.lit(True).alias("yes"),
+        F.lit(None).cast("string").alias("nothing"),
+    )

@@ -43,3 +43,19 @@ def key_skew(t: Tables):
 )
 def agg_salted(t: Tables):
     return aggs.salted_agg(_hot(t), "key", "l_partkey", salts=16)
+
+
+@query("SELECT count(DISTINCT o_custkey) AS n_keys, CAST(0 AS BIGINT) AS n_parted FROM orders")
+def repartition_by_key(t: Tables):
+    # All rows of a key are in one partition.
+    placed = t.orders.select("o_custkey").repartition(16, "o_custkey").withColumn("partition", F.spark_partition_id())
+    keys = placed.groupBy("o_custkey").agg(F.min("partition").alias("low"), F.max("partition").alias("high"))
+    return keys.agg(F.count("*").alias("n_keys"), F.count_if(F.col("low") < F.col("high")).alias("n_parted"))
+
+
+@query("SELECT 16 AS before, 5 AS after, count(*) AS n_rows FROM orders")
+def coalesce_partitions(t: Tables):
+    # Fewer partitions without a shuffle; the number of partitions is the largest one seen, from 0 on.
+    spread = t.orders.select("o_orderkey").repartition(16).withColumn("before", F.spark_partition_id())
+    fewer = spread.coalesce(5).withColumn("after", F.spark_partition_id())
+    return fewer.agg((F.max("before") + 1).alias("before"), (F.max("after") + 1).alias("after"), F.count("*").alias("n_rows"))

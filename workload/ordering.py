@@ -58,3 +58,20 @@ def limit_n(t: Tables):
     return t.orders.limit(100).agg(
         F.count("*").alias("n_rows"), F.countDistinct("o_orderkey").alias("n_keys")
     )
+
+
+@query(
+    """
+    SELECT 'first' AS action, * FROM (SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 1)
+    UNION ALL SELECT 'take', * FROM (SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 3)
+    UNION ALL SELECT 'tail', * FROM (SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice, o_orderkey DESC LIMIT 2)
+    """
+)
+def fetch_actions(t: Tables):
+    # What the actions bring to the driver: a few rows each.
+    orders = t.orders.select("o_orderkey", "o_totalprice")
+    ordered = orders.orderBy(F.desc("o_totalprice"), F.asc("o_orderkey"))
+    first = ordered.first()
+    found = [("first", *r) for r in ([] if first is None else [first])]
+    found += [("take", *r) for r in ordered.take(3)] + [("tail", *r) for r in ordered.tail(2)]
+    return t.spark.createDataFrame(found, "action string, o_orderkey long, o_totalprice double")

@@ -17,7 +17,7 @@ def _score(rating1: Column, rating2: Column) -> list[Column]:
 
 
 def item_similarity(
-    ratings: DataFrame, user: str, item: str, rating: str, min_pairs: int = 1, block: int = 2048, rounds: int = 2
+    ratings: DataFrame, user: str, item: str, rating: str, min_pairs: int = 1, block: int = 2048, rounds: int = 1
 ) -> DataFrame:
     """Cosine score and number of common users for every pair of items.
 
@@ -41,7 +41,7 @@ def item_similarity(
     return sims if min_pairs <= 1 else sims.where(F.col("num_pairs") >= min_pairs)
 
 
-def could_reach(rows: DataFrame, user: str, item: str, min_pairs: int, rounds: int = 2) -> DataFrame:
+def could_reach(rows: DataFrame, user: str, item: str, min_pairs: int, rounds: int = 1) -> DataFrame:
     """The ratings of items that may be in a pair with ``min_pairs`` pairs of ratings.
 
     A user who rated an item ``a`` times and no other item more than ``b`` times gives it at

@@ -7,8 +7,9 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A run of characters that are no Unicode white space and no separator control. Fixed value.
-WORD = r"(?U)[^\s\x1c-\x1f]+"
+# A run of characters that are no Unicode white space and no separator control; possessive, as a run never has to be
+# given back. Fixed value.
+WORD = r"(?U)[^\s\x1c-\x1f]++"
 
 
 def _col(c: Column | str) -> Column:

@@ -7,7 +7,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import DoubleType, FloatType, StringType
 
 # Patterns of the data model. Fixed values.
 EMAIL = r"([a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\.[a-zA-Z0-9-.]+)"
@@ -61,13 +61,18 @@ def dedupe(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
 
 
 def drop_nulls(df: DataFrame, cols: list[str] | None = None, account: Account | None = None) -> DataFrame:
-    """Drop rows with a NULL in any of the columns; ``account`` counts the NULLs per column and the rows that go."""
+    """Drop rows with a NULL (or NaN) in any of the columns; ``account`` counts the NULLs per column and the rows that go."""
+    checked = df.columns if cols is None else cols
     if account is not None:
-        checked = df.columns if cols is None else cols
         some = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in checked])
         nulls = {f"{c}_null": F.count_if(F.col(c).isNull()) for c in checked}
         df = account.watch(df, nulls | {"rows_with_null": F.count_if(some)})
-    return df.dropna(how="any", subset=cols)
+    kinds = {f.name: f.dataType for f in df.schema}
+    for col in checked:
+        there = F.col(col).isNotNull()
+        # One condition for each column: the optimizer moves each of them as far down as its own column allows.
+        df = df.where(there & ~F.isnan(col) if isinstance(kinds.get(col), (DoubleType, FloatType)) else there)
+    return df
 
 
 def fill_mean(df: DataFrame, col: str) -> DataFrame:

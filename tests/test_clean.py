@@ -42,6 +42,29 @@ def test_fill_const_and_drop_nulls(spark):
     assert clean.drop_nulls(df, ["x"]).count() == 2
 
 
+def test_drop_nulls_takes_nan_and_keeps_empty_strings(spark):
+    rows = [(1.0, "", 1), (float("nan"), "a", 2), (None, "b", 3), (2.0, None, 4), (0.0, " ", 5)]
+    df = spark.createDataFrame(rows, "x double, s string, id int")
+    assert values(clean.drop_nulls(df).select("id")) == values(df.dropna().select("id")) == [1, 5]
+    assert values(clean.drop_nulls(df, ["s"]).select("id")) == [1, 2, 3, 5]
+    assert values(clean.drop_nulls(df, []).select("id")) == [1, 2, 3, 4, 5]
+
+
+def test_conditions_of_cleaning_go_below_a_join(spark, tmp_path):
+    """Each column's rule is a filter of the side that it comes from, before joining and de-duplicating."""
+    spark.createDataFrame([("000001", 7)], "order_id string, k long").write.parquet(str(tmp_path / "a"))
+    spark.createDataFrame([(7, "0001")], "k long, customer_id string").write.parquet(str(tmp_path / "b"))
+    left, right = (spark.read.parquet(str(tmp_path / n)) for n in "ab")
+    rules = {"order_id": clean.ORDER_ID, "customer_id": clean.CUSTOMER_ID}
+    cleaned = clean.drop_nulls(clean.validate(clean.dedupe(left.join(right, "k")), rules))
+    plan = cleaned._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    join = next(i for i, line in enumerate(plan) if "Join Inner" in line)
+    assert not any("RLIKE" in line and "Filter" in line for line in plan[:join]) and "RLIKE" not in plan[join]
+    below = [line for line in plan[join:] if "Filter" in line]
+    assert [sum(f"RLIKE({c}" in line for line in below) for c in rules] == [1, 1]
+    assert bag(cleaned) == {(7, "000001", "0001"): 1}
+
+
 def test_trim_touches_strings_only(spark):
     df = spark.createDataFrame([("  a b ", 1)], "s string, n int")
     assert bag(clean.trim_strings(df)) == {("a b", 1): 1}

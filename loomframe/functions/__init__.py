@@ -3,6 +3,7 @@ from loomframe.functions.numeric import exact_sum, minutes_between, seconds_of
 from loomframe.functions.text import (
     field,
     grep,
+    has_words,
     rest_of_line,
     split_columns,
     split_literal,
@@ -17,6 +18,7 @@ __all__ = [
     "field",
     "flatten_struct",
     "grep",
+    "has_words",
     "minutes_between",
     "parse_json",
     "rest_of_line",

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 # A run of characters that are no Unicode white space and no separator control; possessive, as a run never has to be
 # given back. Fixed value.
 WORD = r"(?U)[^\s\x1c-\x1f]++"
+# The first character of a word. Fixed value.
+IN_WORD = r"(?U)[^\s\x1c-\x1f]"
 
 
 def _col(c: Column | str) -> Column:
@@ -26,6 +28,11 @@ def tokens(c: Column | str) -> Column:
     return F.regexp_extract_all(_col(c), F.lit(WORD), F.lit(0))
 
 
+def has_words(c: Column | str) -> Column:
+    """Whether a text has a word; as a filter, this looks at a text's first word only, and ``tokens`` would be computed twice."""
+    return _col(c).rlike(IN_WORD)
+
+
 def field(c: Column | str, position: int, sep: str = " ") -> Column:
     """The field at a 0-based position, NULL where the line is too short."""
     return F.get(split_literal(c, sep), position)

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomframe.functions.text import tokens
+from loomframe.functions.text import has_words, tokens
 from loomframe.operators.ordering import argmax, argmin_all
 
 
 def degrees(lines: DataFrame, col: str = "value") -> DataFrame:
     """Number of neighbours per node, summed over all lines that start with it."""
-    parts = lines.select(tokens(col).alias("parts")).where(F.size("parts") > 0)
+    parts = lines.where(has_words(col)).select(tokens(col).alias("parts"))
     node, neighbours = F.col("parts")[0].alias("id"), (F.size("parts") - 1).alias("d")
     return parts.select(node, neighbours).groupBy("id").agg(F.sum("d").alias("connections"))
 

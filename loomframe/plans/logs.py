@@ -32,7 +32,8 @@ def log_counts(lines: DataFrame, by: str, name: str = "n", col: str = "value") -
 
 def endpoint_counts(lines: DataFrame, status: str = "200", col: str = "value") -> DataFrame:
     """Requests per endpoint in ``ip method endpoint status time`` lines of one status."""
-    hits = lines.where(token(col, 3) == status)
+    # Most lines of another status are told by a search for its text, before they are split.
+    hits = grep(lines, col, status).where(token(col, 3) == status)
     counts = hits.groupBy(token(col, 2).alias("endpoint")).agg(F.count("*").alias("n"))
     return _ranked(counts, "endpoint", "n")
 

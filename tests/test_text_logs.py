@@ -32,6 +32,13 @@ def test_tokens_split_like_unicode_white_space(spark):
     assert found[None] is None
 
 
+def test_a_text_has_words_if_it_has_tokens(spark):
+    texts = ["", " ", "\x1c\x85\xa0\u2003\t\n", "\u3000x", "a", " b", "\u200b", None]
+    df = lines(spark, *texts)
+    assert df.where(fn.has_words("value").cast("int") != (F.size(fn.tokens("value")) > 0).cast("int")).count() == 0
+    assert df.where(fn.has_words("value")).count() == 4
+
+
 def test_every_single_character_separates_or_not_as_in_python(spark):
     points = [p for p in range(1, 0x3100) if not 0xD800 <= p <= 0xDFFF]
     df = spark.createDataFrame([(p, f"a{chr(p)}b") for p in points], "p int, value string")

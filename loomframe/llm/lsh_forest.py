@@ -5,8 +5,8 @@ that share the first values of a tree form a region; within it, those next to ea
 other in the sorted order have the longest common prefixes. Links are looked for in
 two steps:
 
-1. Neighbours in the sorted order. A region that is too large for one task is cut
-   deeper, by as many further values as it takes, and then by document: nothing is
+1. Neighbours in the sorted order of every tree. A region that is too large for one task
+   is cut deeper, by as many further values as it takes, and then by document: nothing is
    lost by that, since step 2 looks at whole regions.
 2. All pairs of a region that the first step has not put in one component. Regions that
    are one component by then, as large groups of copies are, are left out before any
@@ -37,8 +37,6 @@ from loomframe.operators.joins import split_join
 
 TREES = 20
 DEPTH = 8
-#: Trees whose sorted order gives neighbours in the first step.
-CHAINS = 4
 #: Accepted probability that a pair at the threshold is not compared.
 MISS = 1e-6
 #: Rows of a region that one task compares with each other.
@@ -283,7 +281,7 @@ def _grouped(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataF
     texts = of_heads(texts, sharing, "packed")
     sets = kept(texts.mapInArrow(_set_maker(size), "doc_id long, words binary"), "sets")
 
-    chained = regions.where(F.col("tree") < CHAINS).join(signs.hint("merge"), "doc_id")
+    chained = regions.join(signs.hint("merge"), "doc_id")
     chained = chained.withColumn("order", F.col("orders")[F.col("tree")])
     cut = _cut(F.col("tree"), F.col("rows"), F.col("order"), F.col("doc_id"), depth)
     order = Window.partitionBy("tree", "key", "cut").orderBy("order", "doc_id")

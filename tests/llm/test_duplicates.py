@@ -57,6 +57,17 @@ def test_large_regions_are_cut_and_stay_whole(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found.collect()} == plain(rows, 3, 85)
 
 
+def test_neighbours_of_sorted_orders_find_most_links(spark, monkeypatch):
+    """Of the documents that links tie to another one, the prefix neighbours alone tie at least nine tenths."""
+    rows = corpus(7, 240)
+    seen = []
+    monkeypatch.setattr(lsh_forest, "components", lambda links: seen.append(components(links)) or seen[-1])
+    near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).count()
+    first, second = ([len(r), len({x.component for x in r})] for r in (seen[0].collect(), seen[1].collect()))
+    tied, later = first[0] - first[1], second[0] - second[1]
+    assert tied > 20 and tied >= 0.9 * (tied + later)
+
+
 def by_id(rows: list[tuple], size: int, percent: int) -> dict:
     """doc_id -> smallest id that links of any of its texts lead to."""
     sets = {}

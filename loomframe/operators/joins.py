@@ -15,6 +15,8 @@ from loomframe.operators.layout import hot_hashes
 COPIES = 16
 #: Cells of a key filter: what is broadcast has at most so many rows of 8 bytes, whatever the data.
 CELLS = 1 << 20
+#: Blocks that a key of ``pairs`` is cut into at most: so often a row travels, once more for its own block.
+BLOCKS = 64
 
 
 def without(left: DataFrame, right: DataFrame, on: str | list[str]) -> DataFrame:
@@ -168,7 +170,10 @@ def pairs(
     Keys with up to ``block`` rows are joined to themselves on the key. A larger
     key is cut into blocks of about ``block`` rows and every two blocks meet in a
     join cell of their own, so no task gets more than about ``block ** 2`` pairs of
-    one key, however many rows the key holds. Large keys with more than ``hot_share``
+    one key. There are at most ``BLOCKS`` of them, larger ones if need be, as every row
+    goes to the cells of all blocks: what is shuffled grows with the rows, and one
+    of 2,080 cells still holds a small part of a key's pairs. For sums over pairs see
+    ``windows.pair_sums``, which forms none. Large keys with more than ``hot_share``
     of all rows, of which there are at most ``1 / hot_share``, are told apart by a
     broadcast, so their rows are never brought together. Where there is no large
     key, adaptive execution drops these branches.
@@ -206,8 +211,25 @@ def _pairs_of_large(rows: DataFrame, by: str, with_value: bool, block: int) -> D
     The cells are few bytes but many pairs. A fixed number of partitions and a merge
     join keep adaptive execution, which goes by bytes, from packing them together.
     """
+    left, right, cell = _cells_of_large(rows, by, with_value, block)
+    in_order = F.col("l_item") < F.col("r_item")
+    met = left.join(right.hint("merge"), cell).where((F.col("_lo") < F.col("_hi")) | in_order)
+
+    def ordered(c: str) -> list[Column]:
+        first, second = F.col(f"l_{c}"), F.col(f"r_{c}")
+        return [
+            F.when(in_order, first).otherwise(second).alias(f"{c}1"),
+            F.when(in_order, second).otherwise(first).alias(f"{c}2"),
+        ]
+
+    kept = ["item", "value"] if with_value else ["item"]
+    return met.select(by, *[c for name in kept for c in ordered(name)])
+
+
+def _cells_of_large(rows: DataFrame, by: str, with_value: bool, block: int) -> tuple[DataFrame, DataFrame, list[str]]:
+    """The two sides of the join cells, with every row in one of them for each block of its key, and the key of a cell."""
     partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks = F.ceil(F.col("_n") / block).cast("int")
+    blocks = F.least(F.ceil(F.col("_n") / block), F.lit(BLOCKS)).cast("int")
     mine = F.pmod(F.xxhash64("item"), blocks).cast("int")
     placed = rows.withColumns({"_mine": mine, "_last": blocks - 1})
 
@@ -222,14 +244,4 @@ def _pairs_of_large(rows: DataFrame, by: str, with_value: bool, block: int) -> D
     # A row is on the left in the cells from its own block up and on the right in those down to it.
     left = side("l", F.sequence("_mine", "_last"), "_mine", "_other")
     right = side("r", F.sequence(F.lit(0), F.col("_mine")), "_other", "_mine")
-    in_order = F.col("l_item") < F.col("r_item")
-    met = left.join(right.hint("merge"), cell).where((F.col("_lo") < F.col("_hi")) | in_order)
-
-    def ordered(c: str) -> list[Column]:
-        first, second = F.col(f"l_{c}"), F.col(f"r_{c}")
-        return [
-            F.when(in_order, first).otherwise(second).alias(f"{c}1"),
-            F.when(in_order, second).otherwise(first).alias(f"{c}2"),
-        ]
-
-    return met.select(by, *[c for name in kept for c in ordered(name)])
+    return left, right, cell

@@ -163,6 +163,48 @@ def running_sum(
     )
 
 
+def pair_sums(
+    df: DataFrame,
+    by: str,
+    item: str,
+    sums: dict[str, tuple[Column, Column]],
+    share: float = 1e-4,
+    min_rows: int = 1_000_000,
+) -> DataFrame:
+    """Sums over the pairs that ``joins.pairs`` forms, for each ``by`` key, without forming them.
+
+    ``sums`` maps a name to a column of the row with the smaller item and one of the row with
+    the larger. Each pair adds their product; (1, 1) counts the pairs. NULL products are
+    left out, and a sum without any other is NULL. Keys without a pair do not come out.
+
+    A running sum over the smaller items gives each item what its pairs have in common, so
+    the work is that of a sort. Keys that ``slice_hot`` cuts are summed slice by slice, and the
+    slices of a key then once more in the same way; ``item`` is a number or a time for that.
+    """
+    terms = {"_n": (F.lit(1), F.lit(1))}
+    for i, (low, high) in enumerate(sums.values()):
+        # The second term counts the products that are there.
+        terms |= {f"_s{i}": (low, high), f"_c{i}": (low.isNotNull().cast("long"), high.isNotNull().cast("long"))}
+    found = F.lit(0).cast("long")
+    rows = df.where(F.col(by).isNotNull() & F.col(item).isNotNull())
+    # An item that repeats is in no pair with itself.
+    sides = [F.coalesce(F.sum(c), F.lit(0)).alias(f"{t}_{s}") for t, two in terms.items() for s, c in zip("lh", two, strict=True)]
+    per_item = rows.groupBy(by, item).agg(*sides).withColumns(dict.fromkeys(terms, found))
+    cut = slice_hot(per_item, by, item, share, min_rows, "_slice")
+    total = _paired(_paired(cut, [by, "_slice"], item, list(terms)), [by], "_slice", list(terms))
+    named = [F.when(F.col(f"_c{i}") > 0, F.col(f"_s{i}")).alias(name) for i, name in enumerate(sums)]
+    return total.where(F.col("_n") > 0).select(by, *named)
+
+
+def _paired(rows: DataFrame, groups: list[str], order: str, terms: list[str]) -> DataFrame:
+    """One row per group: its sums of both sides, and of the products of each row with the rows before it."""
+    before = _ordered(groups, [order]).rowsBetween(Window.unboundedPreceding, -1)
+    lower = {f"{t}_before": F.coalesce(F.sum(f"{t}_l").over(before), F.lit(0)) for t in terms}
+    inside = [F.sum(F.col(t) + F.col(f"{t}_h") * F.col(f"{t}_before")).alias(t) for t in terms]
+    sides = [F.sum(f"{t}_{s}").alias(f"{t}_{s}") for t in terms for s in "lh"]
+    return rows.withColumns(lower).groupBy(*groups).agg(*inside, *sides)
+
+
 def rolling(
     df: DataFrame, by: str, day: str, value: Column, name: str, days: int = 7, slice: str | None = None
 ) -> DataFrame:

@@ -8,7 +8,7 @@ import pytest
 from conftest import bag, final_plan, values
 from pyspark.sql import functions as F
 
-from loomframe.operators import joins, sets
+from loomframe.operators import joins, sets, windows
 from loomframe.plans.sales import customers_without_orders
 
 
@@ -169,6 +169,37 @@ def test_pairs_equal_brute_force_for_any_block_size(spark, block, hot_share):
     assert bag(found) == without_value
 
 
+def test_a_row_of_a_large_key_travels_a_bounded_number_of_times(spark):
+    df = spark.range(400).select(F.lit(1).alias("u"), F.col("id").alias("item"), F.lit(400).alias("_n"))
+    left, right, _ = joins._cells_of_large(df, "u", False, 1)
+    assert left.count() + right.count() == 400 * (joins.BLOCKS + 1)
+    assert joins.pairs(df, "u", "item", block=1, hot_share=0.5).count() == 400 * 399 / 2
+
+
+@pytest.mark.parametrize("min_rows", [1, 30, 1_000_000])
+def test_pair_sums_are_those_of_the_pairs(spark, min_rows):
+    """Items that repeat, NULL keys, items and values, a key without a pair, one that is cut into slices."""
+    rng = random.Random(min_rows)
+    rows = [(rng.choice([1, 1, 1, 2, 3, None]), rng.randrange(25), rng.choice([1, -2, None])) for _ in range(120)]
+    rows += [(9, i, 7 - i) for i in range(300)] + [(4, None, 1), (5, 1, 2), (5, 1, 3), (6, 1, 2), (6, 2, None)]
+    df = spark.createDataFrame(rows, "u int, i int, r int").repartition(3)
+    one, r = F.lit(1), F.col("r")
+    sums = {"n": (one, one), "low": (F.col("i"), one), "high": (one, F.col("i")), "dot": (r, r), "mixed": (r, F.col("i"))}
+    found = windows.pair_sums(df, "u", "i", sums, share=0.05, min_rows=min_rows)
+    paired = joins.pairs(df, "u", "i", "r").groupBy("u").agg(
+        F.count("*"), F.sum("item1"), F.sum("item2"), F.sum(F.col("value1") * F.col("value2")), F.sum(F.col("value1") * F.col("item2"))
+    )
+    assert bag(found) == bag(paired) and found.count() == 5
+
+
+def test_pair_sums_form_no_pairs(spark):
+    """A key of 60,000 rows has 1.8 billion pairs."""
+    df = spark.range(60_000, numPartitions=4).select(F.lit(1).alias("u"), "id")
+    one = F.lit(1)
+    found = windows.pair_sums(df, "u", "id", {"n": (one, one), "low": (F.col("id"), one)}, min_rows=10_000).first()
+    assert found.n == 60_000 * 59_999 // 2 and found.low == sum(i * (59_999 - i) for i in range(60_000))
+
+
 def test_pairs_of_nothing(spark):
     assert joins.pairs(spark.createDataFrame([], "u int, i int"), "u", "i").count() == 0
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import os
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -93,6 +94,38 @@ def test_large_ids_stay_exact_beside_nulls(sessions):
     assert bag(sessions.run(), "id") == {(big,): 1, (None,): 1, (big + 2,): 1}
 
 
+@pytest.mark.parametrize("kind", ["long", "string", "double"])
+@pytest.mark.parametrize("buckets", [1, 3])
+def test_users_that_share_a_bucket_keep_their_own_sessions(spark, tmp_path, kind, buckets):
+    """Many users per bucket, in three runs, with NULL users, and NULL and large numbers that break ties."""
+    rng, big, schema = random.Random(buckets), 1 << 60, f"user {kind}, id long, ts timestamp, note string"
+    rows = [(rng.choice([None, *range(9)]), rng.choice([None, big + i]), at(rng.randrange(600)), f"n{i}") for i in range(150)]
+    # Ties that a double could not tell apart, beside a NULL of another user.
+    rows += [(1, big + i, at(700), "tie") for i in range(1, 30)] + [(2, None, at(700), "none"), (None, big, at(701), "null user")]
+    rows = [(None if u is None else {"long": int, "string": str, "double": float}[kind](u), *rest) for u, *rest in rows]
+    job = lambda s: streaming.stream_sessions(s, "user", "ts", tiebreak="id", delay="20 minutes", buckets=buckets)
+    folder = Folder(spark, tmp_path, schema, job)
+    rows.sort(key=lambda r: r[2])
+    for part in (rows[:70], rows[70:], [(None, None, at(2000), None)]):
+        folder.arrive(part)
+        made = folder.run()
+    rows = [r for r in rows if r[0] is not None or r[1] is not None]
+    assert bag(made) == bag(sessionize(spark.createDataFrame(rows, schema), "user", "ts", tiebreak="id"))
+
+
+def test_a_call_numbers_the_users_of_a_bucket(spark, tmp_path):
+    """500 users in two buckets are two calls, and as many states."""
+    rows = [(f"u{i}", i, at(0), "x") for i in range(500)]
+    folder = Folder(spark, tmp_path, EVENTS, lambda s: streaming.stream_sessions(s, "user", "ts", tiebreak="id", buckets=2))
+    folder.arrive(rows)
+    folder.run()
+    folder.arrive([(None, None, at(2000), None)])
+    assert folder.run().count() == 500
+    states = spark.read.format("statestore").load(f"{tmp_path}/state")
+    # The bucket of the NULL user, whose heartbeat is no event, is one of them or has none.
+    assert states.count() == 2
+
+
 LINES = "ts timestamp, value string"
 
 

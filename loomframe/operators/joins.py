@@ -178,6 +178,22 @@ def pairs(
     broadcast, so their rows are never brought together. Where there is no large
     key, adaptive execution drops these branches.
     """
+    light, sized = by_size(df, by, item, value, block, hot_share)
+    a, b = light.alias("a"), light.alias("b")
+    same_key = F.col(f"a.{by}") == F.col(f"b.{by}")
+    ordinary = a.join(b, same_key & (F.col("a.item") < F.col("b.item"))).select(
+        F.col(f"a.{by}").alias(by),
+        F.col("a.item").alias("item1"),
+        F.col("b.item").alias("item2"),
+        *([F.col("a.value").alias("value1"), F.col("b.value").alias("value2")] if value else []),
+    )
+    return ordinary.unionAll(pairs_of_large(sized, by, value is not None, block))
+
+
+def by_size(
+    df: DataFrame, by: str, item: str, value: str | None, block: int, hot_share: float = 1e-4
+) -> tuple[DataFrame, DataFrame]:
+    """The rows ``by``, ``item``, ``value`` of keys with up to ``block`` rows, and those of larger keys with their number ``_n``."""
     cols = {by: F.col(by), "item": F.col(item)} | ({"value": F.col(value)} if value else {})
     rows = df.select(*[c.alias(n) for n, c in cols.items()])
     rows = rows.where(F.col(by).isNotNull() & F.col("item").isNotNull())
@@ -192,20 +208,11 @@ def pairs(
     marked = rows.join(F.broadcast(hot.withColumnRenamed("_n", "_hot")), by, "left")
     rest = marked.where(F.col("_hot").isNull()).drop("_hot")
     light = rest.join(large, by, "left_anti")
-
-    a, b = light.alias("a"), light.alias("b")
-    same_key = F.col(f"a.{by}") == F.col(f"b.{by}")
-    ordinary = a.join(b, same_key & (F.col("a.item") < F.col("b.item"))).select(
-        F.col(f"a.{by}").alias(by),
-        F.col("a.item").alias("item1"),
-        F.col("b.item").alias("item2"),
-        *([F.col("a.value").alias("value1"), F.col("b.value").alias("value2")] if value else []),
-    )
     sized = rest.join(large, by).unionByName(rows.join(F.broadcast(hot), by))
-    return ordinary.unionAll(_pairs_of_large(sized, by, value is not None, block))
+    return light, sized
 
 
-def _pairs_of_large(rows: DataFrame, by: str, with_value: bool, block: int) -> DataFrame:
+def pairs_of_large(rows: DataFrame, by: str, with_value: bool, block: int) -> DataFrame:
     """Pairs within keys of ``_n`` rows each, one join cell per two blocks of a key.
 
     The cells are few bytes but many pairs. A fixed number of partitions and a merge

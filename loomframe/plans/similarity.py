@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomframe.operators.joins import lookup, pairs, split_join
+from loomframe.operators.joins import by_size, lookup, pairs_of_large, split_join
 from loomframe.operators.ordering import top_k
 
 
@@ -16,6 +16,10 @@ def _score(rating1: Column, rating2: Column) -> list[Column]:
     return [score.alias("score"), F.count(rating1 * rating2).alias("num_pairs")]
 
 
+#: Items with more than this share of all ratings, at most 1,000, have their pairs folded before they are shuffled.
+OFTEN = 1e-3
+
+
 def item_similarity(
     ratings: DataFrame, user: str, item: str, rating: str, min_pairs: int = 1, block: int = 2048, rounds: int = 1
 ) -> DataFrame:
@@ -30,17 +34,76 @@ def item_similarity(
     score does not help there: two items with proportional ratings by their common users
     score 1 whatever else they were rated.
 
-    Pairs are folded into partial sums in the task that forms them; only one row
-    per item pair and task is shuffled. Integer ratings keep the sums exact.
+    The ratings of a user travel to the task of each of their items as a list of those of larger
+    items, a few bytes for each pair, and are multiplied and summed where they arrive. Pairs whose
+    smaller item is rated very often (``OFTEN``) and those of large users are folded into partial
+    sums in the task that forms them, so no item fills a task. Integer ratings keep the sums exact.
     """
     rows = ratings.select(user, item, F.col(rating).cast(_sum_type(ratings, rating)).alias(rating))
     if min_pairs > 1:
         rows = could_reach(rows, user, item, min_pairs, rounds)
-    paired = pairs(rows, user, item, rating, block)
-    sims = paired.groupBy("item1", "item2").agg(*_score(F.col("value1"), F.col("value2")))
+    light, large = by_size(rows, user, item, rating, block)
+    lists = _lists(light, user)
+    # Every column is counted, so that this reads the shuffle that the lists read.
+    n_rows = F.count("value") + F.count_if(F.col("value").isNull()) + F.count_if(F.col(user).isNull())
+    counts = rows.where(F.col(user).isNotNull() & F.col(item).isNotNull()).select(
+        F.col(user), F.col(item).alias("item1"), F.col(rating).alias("value")
+    ).groupBy("item1").agg(n_rows.alias("_n"))
+    often = F.broadcast(counts.where(F.col("_n") > counts.agg(F.sum("_n")).scalar() * F.lit(OFTEN)).select("item1"))
+    sent = lists.join(often, "item1", "left_anti")
+    kept = [F.col(c) for c in ("item1", "item2", "value1", "value2")]
+    formed = _unlisted(lists.join(often, "item1")).select(*kept)
+    formed = formed.unionAll(pairs_of_large(large, user, True, block).select(*kept))
+    folded = formed.groupBy("item1", "item2").agg(*_sums(F.col("value1"), F.col("value2")))
+    folded = folded.select("item1", F.array("item2").alias("far"), F.struct("xy", "xx", "yy", "n").alias("folded"))
+    # One shuffle by the smaller item brings together whatever belongs to a pair.
+    met = _unlisted(sent.unionByName(folded, allowMissingColumns=True).repartition("item1"))
+    x, y = F.col("value1"), F.col("value2")
+    terms = {"xy": x * y, "xx": x * x, "yy": y * y, "n": (x * y).isNotNull().cast("long")}
+    # Of a list, a rating that meets a NULL counts for its own norm, as in pairs.
+    merged = met.groupBy("item1", "item2").agg(
+        *[F.sum(F.when(F.col("folded").isNull(), c).otherwise(F.col(f"folded.{t}"))).alias(t) for t, c in terms.items()]
+    )
+    norms = F.sqrt("xx") * F.sqrt("yy")
+    score = F.when(norms != 0, F.col("xy") / norms).otherwise(0.0)
+    sims = merged.select("item1", "item2", score.alias("score"), F.col("n").alias("num_pairs"))
     return sims if min_pairs <= 1 else sims.where(F.col("num_pairs") >= min_pairs)
 
 
+def _sums(x: Column, y: Column) -> list[Column]:
+    return [F.sum(x * y).alias("xy"), F.sum(x * x).alias("xx"), F.sum(y * y).alias("yy"), F.count(x * y).alias("n")]
+
+
+def _lists(rows: DataFrame, user: str) -> DataFrame:
+    """For each rating of a user those of the user's larger items: ``item1``, ``value1``, and lists in narrow types if they fit."""
+    kinds = dict(rows.dtypes)
+    listed = rows.groupBy(user).agg(F.sort_array(F.collect_list(F.struct("item", "value"))).alias("_all"))
+    listed = listed.select(F.col("_all.item").alias("_items"), F.col("_all.value").alias("_values"))
+    narrow = {"near": _narrowed("_items", kinds["item"], "int", 31), "low": _narrowed("_values", kinds["value"], "tinyint", 7)}
+    listed = listed.withColumns(narrow)
+    wide = {"far": F.when(F.col("near").isNull(), F.col("_items")), "high": F.when(F.col("low").isNull(), F.col("_values"))}
+    listed = listed.withColumns(wide)
+    each = listed.select("*", F.posexplode("_items").alias("_at", "item1")).where(F.col("_at") < F.size("_items") - 1)
+    rest = [F.slice(c, F.col("_at") + 2, F.size("_items")).alias(c) for c in ("near", "far", "low", "high")]
+    return each.select("item1", F.get("_values", "_at").alias("value1"), *rest)
+
+
+def _narrowed(values: str, kind: str, narrow: str, bits: int) -> Column:
+    """An array of whole numbers as one of a narrower type, NULL where one does not fit or ``kind`` is another."""
+    if kind not in ("int", "bigint"):
+        return F.lit(None).cast(f"array<{kind}>")
+    fits = (F.array_min(values) >= -(1 << bits)) & (F.array_max(values) < 1 << bits)
+    return F.when(F.coalesce(fits, F.lit(True)), F.col(values).cast(f"array<{narrow}>"))
+
+
+def _unlisted(lists: DataFrame) -> DataFrame:
+    """One row per entry of a list, but for further ratings of the same item: adds ``item2`` and ``value2``."""
+    kind = dict(lists.dtypes)["value1"]
+    each = lists.select("*", F.posexplode(F.coalesce("near", "far")).alias("_at", "item2"))
+    value = F.coalesce(F.get("low", "_at").cast(kind), F.get("high", "_at"))
+    return each.withColumn("value2", value).where(F.col("item1") < F.col("item2"))
+
+
 def could_reach(rows: DataFrame, user: str, item: str, min_pairs: int, rounds: int = 1) -> DataFrame:
     """The ratings of items that may be in a pair with ``min_pairs`` pairs of ratings.
 

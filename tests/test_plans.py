@@ -70,6 +70,34 @@ def test_similarity_with_a_hot_user_equals_brute_force(spark, block):
     assert rounded(frequent) == {k: v for k, v in expected.items() if v[1] >= 3}
 
 
+@pytest.mark.parametrize("block", [4, 2048])
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_similarity_is_that_of_the_pairs(spark, monkeypatch, kind, block):
+    """Items rated often and seldom, ratings that repeat, NULL users, items and ratings, numbers too large for narrow lists."""
+    monkeypatch.setattr(similarity, "OFTEN", 0.03)
+    rng = random.Random(block)
+    rows = [(rng.choice([None, *range(12), *range(60)]), rng.choice([None, *range(6), *range(80)]), rng.choice([None, 300, -5, 1, 2])) for _ in range(420)]
+    rows += [(5, 1 << 40, 3), (6, 1 << 40, 3), (6, -(1 << 40), 2)] + [(99, 70, 3)] * 2 + [(99, 71, 2)]
+    number = "long" if kind == "long" else "double"
+    df = spark.createDataFrame(rows, "u int, i long, r long").select("u", F.col("i").cast(kind).alias("i"), F.col("r").cast(number).alias("r"))
+    x, y = F.col("value1"), F.col("value2")
+    norms = F.sqrt(F.sum(x * x)) * F.sqrt(F.sum(y * y))
+    score = F.when(norms != 0, F.sum(x * y) / norms).otherwise(0.0)
+    plain = joins.pairs(df, "u", "i", "r").groupBy("item1", "item2").agg(F.round(score, 9), F.count(x * y))
+    found = similarity.item_similarity(df, "u", "i", "r", block=block)
+    assert bag(found.withColumn("score", F.round("score", 9))) == bag(plain)
+
+
+def test_similarity_sends_lists_and_not_pairs(spark):
+    """Users with 40 of 4,000 items each: hardly a pair repeats, so partial sums would be one row of 50 bytes or more for each pair."""
+    df = spark.range(500).select(F.col("id").alias("u"), F.explode(F.sequence(F.lit(0), F.lit(39))).alias("k"))
+    df = df.select("u", F.pmod(F.xxhash64("u", "k"), F.lit(4000)).alias("i"), F.lit(3).alias("r")).distinct()
+    lists = similarity._lists(df.select("u", F.col("i").alias("item"), F.col("r").cast("long").alias("value")), "u")
+    rows, pairs, wide = lists.agg(F.count("*"), F.sum(F.size("near") * F.size("low") / F.size("near")), F.count("far") + F.count("high")).first()
+    assert wide == 0 and pairs == joins.pairs(df, "u", "i").count() and rows * 15 < pairs
+    assert dict(lists.dtypes)["near"] == "array<int>" and dict(lists.dtypes)["low"] == "array<tinyint>"
+
+
 def test_similar_items_lookup(spark, ratings):
     sims = similarity.item_similarity(ratings, "user", "item", "rating")
     names = spark.createDataFrame([(20, "Twenty"), (30, "Thirty")], "m int, t string")

@@ -98,6 +98,17 @@ def test_similarity_sends_lists_and_not_pairs(spark):
     assert dict(lists.dtypes)["near"] == "array<int>" and dict(lists.dtypes)["low"] == "array<tinyint>"
 
 
+def test_similarity_with_min_pairs_sends_lists(spark):
+    """Ratings that repeat; what is shuffled last is lists by the smaller item, and no sums by pair follow."""
+    rows = [(u, (u + k) % 2500, 1 + k % 5) for u in range(60) for k in (0, 0, 1, 700, 700, 1400)]
+    df = spark.createDataFrame(rows, "u int, i int, r int")
+    found = similarity.item_similarity(df, "u", "i", "r", min_pairs=4)
+    assert bag(found) == bag(similarity.item_similarity(df, "u", "i", "r").where("num_pairs >= 4")) and found.count() > 0
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    last = next(line for line in plan.splitlines() if "Exchange hashpartitioning" in line)
+    assert "hashpartitioning(item1#" in last and "REPARTITION_BY_COL" in last
+
+
 def test_similar_items_lookup(spark, ratings):
     sims = similarity.item_similarity(ratings, "user", "item", "rating")
     names = spark.createDataFrame([(20, "Twenty"), (30, "Thirty")], "m int, t string")

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomframe.operators.joins import by_size, lookup, pairs_of_large, split_join
@@ -18,6 +22,10 @@ def _score(rating1: Column, rating2: Column) -> list[Column]:
 
 #: Items with more than this share of all ratings, at most 1,000, have their pairs folded before they are shuffled.
 OFTEN = 1e-3
+#: Pairs that a task sums at a time, unless one item has more different ones.
+CHUNK = 1 << 20
+#: Types of items whose pairs are summed in Arrow, which tells their values apart as Spark does.
+PLAIN = ("tinyint", "smallint", "int", "bigint", "string", "date")
 
 
 def item_similarity(
@@ -35,7 +43,8 @@ def item_similarity(
     score 1 whatever else they were rated.
 
     The ratings of a user travel to the task of each of their items as a list of those of larger
-    items, a few bytes for each pair, and are multiplied and summed where they arrive. Pairs whose
+    items, a few bytes for each pair. There they are sorted by item, multiplied and summed an item at
+    a time, so a task holds the sums of one item and not those of all its pairs. Pairs whose
     smaller item is rated very often (``OFTEN``) and those of large users are folded into partial
     sums in the task that forms them, so no item fills a task. Integer ratings keep the sums exact.
     """
@@ -57,13 +66,17 @@ def item_similarity(
     folded = formed.groupBy("item1", "item2").agg(*_sums(F.col("value1"), F.col("value2")))
     folded = folded.select("item1", F.array("item2").alias("far"), F.struct("xy", "xx", "yy", "n").alias("folded"))
     # One shuffle by the smaller item brings together whatever belongs to a pair.
-    met = _unlisted(sent.unionByName(folded, allowMissingColumns=True).repartition("item1"))
-    x, y = F.col("value1"), F.col("value2")
-    terms = {"xy": x * y, "xx": x * x, "yy": y * y, "n": (x * y).isNotNull().cast("long")}
-    # Of a list, a rating that meets a NULL counts for its own norm, as in pairs.
-    merged = met.groupBy("item1", "item2").agg(
-        *[F.sum(F.when(F.col("folded").isNull(), c).otherwise(F.col(f"folded.{t}"))).alias(t) for t, c in terms.items()]
-    )
+    met = sent.unionByName(folded, allowMissingColumns=True).repartition("item1")
+    if dict(met.dtypes)["item1"] in PLAIN:
+        kind, number = dict(met.dtypes)["item1"], dict(met.dtypes)["value1"]
+        schema = f"item1 {kind}, item2 {kind}, xy {number}, xx {number}, yy {number}, n long"
+        merged = met.sortWithinPartitions("item1").mapInArrow(_sum_lists(min_pairs, CHUNK), schema)
+    else:
+        x, y = F.col("value1"), F.col("value2")
+        terms = {"xy": x * y, "xx": x * x, "yy": y * y, "n": (x * y).isNotNull().cast("long")}
+        # Of a list, a rating that meets a NULL counts for its own norm, as in pairs.
+        either = {t: F.when(F.col("folded").isNull(), c).otherwise(F.col(f"folded.{t}")) for t, c in terms.items()}
+        merged = _unlisted(met).groupBy("item1", "item2").agg(*[F.sum(c).alias(t) for t, c in either.items()])
     norms = F.sqrt("xx") * F.sqrt("yy")
     score = F.when(norms != 0, F.col("xy") / norms).otherwise(0.0)
     sims = merged.select("item1", "item2", score.alias("score"), F.col("n").alias("num_pairs"))
@@ -74,18 +87,85 @@ def _sums(x: Column, y: Column) -> list[Column]:
     return [F.sum(x * y).alias("xy"), F.sum(x * x).alias("xx"), F.sum(y * y).alias("yy"), F.count(x * y).alias("n")]
 
 
+def _sum_lists(min_pairs: int, chunk: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function for ``mapInArrow``: the sums of each pair with at least ``min_pairs`` pairs, from lists and partial sums sorted by ``item1``.
+
+    It is nested as a whole, so that it is shipped by value.
+    """
+    sums = ["xy", "xx", "yy", "n"]
+
+    def listed(rows: pa.RecordBatch, items: str, values: str) -> Iterator[pa.Table]:
+        rows = rows.filter(pc.and_(rows[items].is_valid(), rows[values].is_valid()))
+        if rows.num_rows:
+            at = pc.list_parent_indices(rows[items])
+            item1, x = rows["item1"].take(at), rows["value1"].take(at)
+            item2 = pc.list_flatten(rows[items]).cast(item1.type)
+            y = pc.list_flatten(rows[values]).cast(x.type)
+            # A rating that meets a NULL counts for its own norm, as in pairs.
+            xy = pc.multiply_checked(x, y)
+            terms = [xy, pc.multiply_checked(x, x), pc.multiply_checked(y, y), xy.is_valid().cast(pa.int64())]
+            yield pa.table([item1, item2, *terms], ["item1", "item2", *sums]).filter(pc.not_equal(item1, item2))
+
+    def partial(rows: pa.RecordBatch) -> Iterator[pa.Table]:
+        rows = rows.filter(rows["folded"].is_valid())
+        if rows.num_rows:
+            terms = [pc.struct_field(rows["folded"], t) for t in sums]
+            yield pa.table([rows["item1"], pc.list_flatten(rows["far"]), *terms], ["item1", "item2", *sums])
+
+    def summed(parts: list[pa.Table]) -> pa.Table:
+        table = pa.concat_tables(parts)
+        kind = table["xy"].type
+        # A product is no larger than the larger square.
+        most = max(pc.max(table[t]).as_py() or 0 for t in ("xx", "yy")) if kind == pa.int64() else 0
+        wide = most * table.num_rows >= 1 << 63
+        if wide:
+            for t in sums[:3]:
+                table = table.set_column(table.schema.get_field_index(t), t, table[t].cast(pa.decimal128(38, 0)))
+        table = table.group_by(["item1", "item2"], use_threads=False).aggregate([(t, "sum") for t in sums])
+        table = table.select(["item1", "item2", *[f"{t}_sum" for t in sums]]).rename_columns(["item1", "item2", *sums])
+        if wide:
+            for t in sums[:3]:
+                table = table.set_column(table.schema.get_field_index(t), t, table[t].cast(kind))
+        return table
+
+    def enough(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        if min_pairs > 1:
+            table = table.filter(pc.greater_equal(table["n"], min_pairs))
+        return (b for b in table.to_batches(max_chunksize=1 << 16) if b.num_rows)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, size, held = [], 0, 0
+        for batch in batches:
+            longest = pc.max(pc.coalesce(*[pc.list_value_length(batch[c]) for c in ("near", "far")])).as_py()
+            step = max(1, chunk // (longest or 1))
+            for start in range(0, batch.num_rows, step):
+                rows = batch.slice(start, step)
+                fresh = [t for i in ("near", "far") for v in ("low", "high") for t in listed(rows, i, v)]
+                fresh += partial(rows)
+                parts += fresh
+                size += sum(t.num_rows for t in fresh)
+                if size >= max(chunk, held):
+                    table, last = summed(parts), rows["item1"][-1]
+                    yield from enough(table.filter(pc.not_equal(table["item1"], last)))
+                    rest = table.filter(pc.equal(table["item1"], last))
+                    parts, size, held = [rest], 0, rest.num_rows
+        if parts:
+            yield from enough(summed(parts))
+
+    return run
+
+
 def _lists(rows: DataFrame, user: str) -> DataFrame:
     """For each rating of a user those of the user's larger items: ``item1``, ``value1``, and lists in narrow types if they fit."""
     kinds = dict(rows.dtypes)
-    listed = rows.groupBy(user).agg(F.sort_array(F.collect_list(F.struct("item", "value"))).alias("_all"))
-    listed = listed.select(F.col("_all.item").alias("_items"), F.col("_all.value").alias("_values"))
+    # A window sorts the ratings once; an aggregate into lists holds them twice and spills.
+    larger = Window.partitionBy(user).orderBy("item", "value").rowsBetween(1, Window.unboundedFollowing)
+    listed = rows.select(F.col("item").alias("item1"), F.col("value").alias("value1"), F.collect_list(F.struct("item", "value")).over(larger).alias("_all"))
+    listed = listed.where(F.size("_all") > 0).select("item1", "value1", F.col("_all.item").alias("_items"), F.col("_all.value").alias("_values"))
     narrow = {"near": _narrowed("_items", kinds["item"], "int", 31), "low": _narrowed("_values", kinds["value"], "tinyint", 7)}
     listed = listed.withColumns(narrow)
     wide = {"far": F.when(F.col("near").isNull(), F.col("_items")), "high": F.when(F.col("low").isNull(), F.col("_values"))}
-    listed = listed.withColumns(wide)
-    each = listed.select("*", F.posexplode("_items").alias("_at", "item1")).where(F.col("_at") < F.size("_items") - 1)
-    rest = [F.slice(c, F.col("_at") + 2, F.size("_items")).alias(c) for c in ("near", "far", "low", "high")]
-    return each.select("item1", F.get("_values", "_at").alias("value1"), *rest)
+    return listed.withColumns(wide).select("item1", "value1", "near", "far", "low", "high")
 
 
 def _narrowed(values: str, kind: str, narrow: str, bits: int) -> Column:

@@ -5,6 +5,7 @@ import os
 import random
 from collections import defaultdict
 
+import pyarrow as pa
 import pytest
 from conftest import bag, final_plan
 from pyspark.sql import functions as F
@@ -109,6 +110,55 @@ def test_similarity_with_min_pairs_sends_lists(spark):
     assert "hashpartitioning(item1#" in last and "REPARTITION_BY_COL" in last
 
 
+def test_sums_of_pairs_are_given_out_item_by_item():
+    """A task holds the pairs of one item: those of the first ones are out before the last ones are read."""
+    schema = pa.schema([
+        ("item1", pa.int64()), ("value1", pa.int64()), ("near", pa.list_(pa.int32())), ("far", pa.list_(pa.int64())),
+        ("low", pa.list_(pa.int8())), ("high", pa.list_(pa.int64())), ("folded", pa.struct([(c, pa.int64()) for c in ("xy", "xx", "yy", "n")])),
+    ])
+    rng, expected, read = random.Random(1), defaultdict(lambda: [0, 0, 0, 0]), []
+
+    def batches():
+        for item in range(200):
+            rows = [{"item1": item, "far": [item + 1], "folded": {"xy": 2, "xx": 1, "yy": 4, "n": 1}}]
+            for x in (1, None, 400_000_000 if item % 50 == 0 else 5):
+                others = [item, *sorted(rng.choices(range(item + 1, item + 40), k=20))]
+                values = [rng.choice([None, -3, 2]) for _ in others]
+                wide = {"far": [*others, 1 << 40], "high": [*values, 300]} if x == 5 else {"near": others, "low": values}
+                rows.append({"item1": item, "value1": x} | wide)
+            for r in rows:
+                if r.get("folded"):
+                    found = [(r["far"][0], r["folded"].values())]
+                else:
+                    both, x = zip(r.get("far", r.get("near")), r.get("high", r.get("low"))), r["value1"] or 0
+                    found = [(j, (x * (y or 0), x * x, (y or 0) ** 2, r["value1"] is not None and y is not None)) for j, y in both if j != item]
+                for j, terms in found:
+                    expected[item, j] = [a + b for a, b in zip(expected[item, j], terms)]
+            read.append(item)
+            yield pa.RecordBatch.from_pylist(rows, schema)
+
+    for least in (1, 2):
+        expected.clear()
+        read.clear()
+        got, early = {}, None
+        for b in similarity._sum_lists(least, 64)(batches()):
+            early = len(read) if early is None else early
+            got |= {(r["item1"], r["item2"]): [r[c] or 0 for c in ("xy", "xx", "yy", "n")] for r in b.to_pylist()}
+        assert early < 10 and got == {k: v for k, v in expected.items() if least < 2 or v[3] >= least}
+    # As in Spark, no sum wraps around.
+    rows = [{"item1": 1, "value1": 3_000_000_000, "near": [2], "low": [1]}] * 2
+    with pytest.raises(pa.ArrowInvalid):
+        list(similarity._sum_lists(1, 64)([pa.RecordBatch.from_pylist(rows, schema)]))
+
+
+def test_similarity_holds_no_table_of_pairs(spark):
+    """After the last shuffle pairs are summed in the order of their smaller item, and lists are made without an aggregate of lists."""
+    df = spark.createDataFrame([(u, i, 3) for u in range(5) for i in range(4)], "u int, i int, r int")
+    plan = similarity.item_similarity(df, "u", "i", "r", min_pairs=2)._jdf.queryExecution().executedPlan().toString()
+    above = plan.split("REPARTITION_BY_COL")[0]
+    assert "MapInArrow" in above and "HashAggregate" not in above and "ObjectHashAggregate" not in plan
+
+
 def test_similar_items_lookup(spark, ratings):
     sims = similarity.item_similarity(ratings, "user", "item", "rating")
     names = spark.createDataFrame([(20, "Twenty"), (30, "Thirty")], "m int, t string")

@@ -3,10 +3,13 @@ from __future__ import annotations
 import os
 import sys
 import tracemalloc
+from types import SimpleNamespace
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
+from conftest import final_plan
 from pyspark.sql import functions as F
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -168,3 +171,93 @@ def test_no_query_meets_every_block(spark):
     vectors = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
     plan = QUERIES["op10_inner_products"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert vectors.count() and "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_queries_of_the_forest_are_not_sent_leaf_by_leaf(spark, monkeypatch):
+    monkeypatch.setattr(rp_forest, "LEAF", 8)
+    df = frame(spark, clustered(3000))
+    found = nearest(df, df.where("vec_id % 100 = 0"), k=10)
+    plan = final_plan(found)
+    assert "Broadcast" not in plan and "Join" not in plan and found.count() == 300
+    trees = [rp_forest.grow(np.random.default_rng(t).standard_normal((3000, 16)), 8, np.random.default_rng(t)) for t in range(4)]
+    rng = np.random.default_rng(9)
+    together = rng.integers(1, 3, (rp_forest._n_groups(trees)[0], sum(rp_forest._n_groups(trees))))
+    blocks = rp_forest.blocks_of(trees, together, 20)
+    vectors = pa.array(rng.standard_normal((500, 16)).tolist())
+    numbers = [pa.array(np.arange(500)) for _ in range(3)]
+    batch = pa.RecordBatch.from_arrays([*numbers, vectors], names=["vec_id", "row", "copies", "vector"])
+    arrays = SimpleNamespace(value=[(t.directions, t.borders, t.children) for t in trees])
+    sent = [b.num_rows for b in rp_forest._walks(arrays, 16, 900, blocks)([batch])]
+    # Every walk has 900 leaves; it used to send its query to each of them, all queries of a batch at once.
+    assert sum(sent) <= 500 * len(blocks.meets) < 500 * 900 and max(sent) <= 256 * len(blocks.meets)
+
+
+@pytest.mark.parametrize("kind", ["random", "clustered", "lattice", "same"])
+@pytest.mark.parametrize("leaf", [2, 30, 5000])
+def test_leaves_of_many_queries_are_those_of_their_walks(kind, leaf):
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((1500, 8))
+    if kind == "clustered":
+        x = rng.standard_normal((6, 8))[rng.integers(0, 6, 1500)] * 5 + x / 10
+    if kind == "lattice":
+        x = rng.integers(0, 3, (1500, 8)).astype(float)
+    if kind == "same":
+        x[:] = x[0]
+    trees = [rp_forest.grow(x, leaf, rng) for _ in range(4)]
+    first = np.cumsum([0] + [len(t.borders) + 1 for t in trees])
+    queries = x[:20] + rng.standard_normal((20, 8)) / 10
+    for n in (1, 3, max(1, int(first[-1]) // 5), int(first[-1]), int(first[-1]) + 4):
+        reached, sure, ties = rp_forest.first_leaves(trees, queries, n)
+        for q, v in enumerate(queries):
+            assert set(np.flatnonzero(reached[:, q]).tolist()) == {int(first[t]) + i for t, i in rp_forest.walk(trees, v, n)}
+        assert (rp_forest.again(trees, queries[3:9], sure[3:9], ties[3:9]) == reached[:, 3:9]).all()
+
+
+@pytest.mark.parametrize("kind", ["double", "float"])
+def test_blocks_of_the_forest_find_what_all_pairs_do(spark, monkeypatch, kind):
+    for name, value in (("LEAF", 16), ("GROUPS", 4), ("BLOCK", 50), ("BLOCK_BYTES", 60 * 8 * 6), ("STEP", 32), ("PAIRS", 50), ("TABLE", 64)):
+        monkeypatch.setattr(rp_forest, name, value)
+    # With all leaves nothing is left out, so that every cut and every way has to be right.
+    monkeypatch.setattr(rp_forest, "enough_leaves", lambda forest, *_: sum(len(t.borders) + 1 for t in forest))
+    rows = with_repeats(600, 7) + [(i, [2.0, 1.0, 0.0, 0.0, 0.0, 3.0]) for i in range(1000, 1150)]
+    df = frame(spark, rows).withColumn("vector", F.col("vector").cast(f"array<{kind}>"))
+    found = nearest(df, df.where("vec_id % 100 = 0"), k=10).collect()
+    expected = all_pairs([(i, v) for i, v in rows if any(v)], lambda a, b: float(np.sqrt(((a - b) ** 2).sum())))
+    assert {(r.query_id, r["rank"], r.vec_id, r.score) for r in found} == expected and len(found) == len(expected)
+
+
+def test_a_forest_that_reaches_few_leaves_ranks_what_is_in_them(spark, monkeypatch):
+    for name, value in (("LEAF", 16), ("GROUPS", 8), ("BLOCK", 100), ("STEP", 64)):
+        monkeypatch.setattr(rp_forest, name, value)
+    grown = []
+    monkeypatch.setattr(rp_forest, "enough_leaves", lambda forest, *_: grown.append(forest) or 40)
+    rows = clustered(2000)
+    df = frame(spark, rows)
+    found = nearest(df, df.where("vec_id % 100 = 0"), k=10).collect()
+    x = np.array([v for _, v in rows])
+    placed = [t.leaves(x) for t in grown[0]]
+    expected = set()
+    for q in range(0, 2000, 100):
+        seen = {int(i) for t, leaf in rp_forest.walk(grown[0], x[q], 40) for i in np.flatnonzero(placed[t] == leaf)} - {q}
+        assert len(seen) < 1500
+        ranked = sorted((float(np.sqrt(((x[i] - x[q]) ** 2).sum())), i) for i in seen)[:10]
+        expected |= {(q, n, i, s) for n, (s, i) in enumerate(ranked, 1)}
+    assert {(r.query_id, r["rank"], r.vec_id, r.score) for r in found} == expected
+
+
+def test_distances_that_doubles_can_hold_but_squares_cannot(spark):
+    rows = [(0, [1e200, 1.0]), (1, [1e200, 4.0]), (2, [1e200, 2.0]), (3, [-1e200, 1.0]), (4, [1.0, 1.0])]
+    found = nearest(frame(spark, rows), frame(spark, rows[:1]), k=4).collect()
+    assert [(r.vec_id, r.score) for r in found] == [(2, 1.0), (1, 3.0), (3, float("inf")), (4, float("inf"))]
+
+
+def test_equal_vectors_of_the_forest_are_dealt_out():
+    trees = [rp_forest.grow(np.ones((100, 4)), 10, np.random.default_rng(1)) for _ in range(4)]
+    blocks = rp_forest.blocks_of(trees, np.full((1, 4), 1000), 100)
+    ids = pa.array(np.arange(0, 100_000, 100))
+    columns = [ids, pa.array(np.full(1000, -7)), pa.array(np.ones(1000, np.int64)), pa.array([[1.0] * 4] * 1000)]
+    batch = pa.RecordBatch.from_arrays(columns, names=["vec_id", "row", "copies", "vector"])
+    arrays = SimpleNamespace(value=[(t.directions, t.borders, t.children) for t in trees])
+    (sent,) = rp_forest._into_blocks(arrays, 4, blocks)([batch])
+    sizes = np.bincount(sent.column("block").to_numpy(), minlength=10)
+    assert len(sizes) == len(blocks.meets) == 10 and sizes.min() > 50 and sizes.max() < 150
